@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadsift.llm import bpe_automaton, media, packing, sharding, token_counts, url_filter
+from roadsift.llm import bpe_automaton, media, near_dedup, packing, sharding, substring_dedup, token_counts, toxicity, url_filter
 from roadsift.llm.common import read_table, sha256_text, utf8_crc32
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,11 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("record.doc_id").alias("doc_id"), sharding.record_size(text).alias("size"), utf8_crc32(text).alias("text_crc32"), F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup.remove_repeats(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "dedup.n_words", "dedup.n_removed", sha256_text(F.col("dedup.kept")).alias("kept_sha256"))
+
+
 def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(read_table(spark, sf_dir, "pages"), RULES)
 
@@ -50,6 +55,11 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), sha256_text(ids).alias("ids_sha256"), sha256_text(F.col("decoded")).alias("decoded_sha256"))
 
 
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = near_dedup.near_duplicates(read_table(spark, sf_dir, "documents").select("doc_id", "text"), shingle=4, percent=80)
+    return out.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = packing.pack_documents(read_table(spark, sf_dir, "documents"), WORD_BPE)
     return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -64,8 +74,14 @@ def op9_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_digests(read_table(spark, sf_dir, "documents"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = toxicity.score_texts(docs, toxicity.fit(docs, read_table(spark, sf_dir, "labels")))
+    return out.select("doc_id", (toxicity.remainder(F.col("doc_id")) == toxicity.HELD_OUT).alias("held_out"), "score", "predicted")
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_sharding, op3_url_filters, op4_bpe, op6_packing, op7_token_counts, op9_media)}
+    return {f.__name__: f for f in (op1_sharding, op2_substring_dedup, op3_url_filters, op4_bpe, op5_near_dedup, op6_packing, op7_token_counts, op9_media, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
