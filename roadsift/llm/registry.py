@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadsift.llm import bpe_automaton, media, near_dedup, packing, sharding, substring_dedup, token_counts, toxicity, url_filter
+from roadsift.llm import bpe_automaton, media, near_dedup, packing, sharding, substring_dedup, token_counts, toxicity, url_filter, vector_search
 from roadsift.llm.common import read_table, sha256_text, utf8_crc32
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,6 +70,11 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
 
 
+def op8_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return vector_search.search(rows, rows.filter("vec_id % 20 = 0"), k=20)
+
+
 def op9_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_digests(read_table(spark, sf_dir, "documents"))
 
@@ -81,7 +86,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_sharding, op2_substring_dedup, op3_url_filters, op4_bpe, op5_near_dedup, op6_packing, op7_token_counts, op9_media, op10_toxicity)}
+    return {f.__name__: f for f in (op1_sharding, op2_substring_dedup, op3_url_filters, op4_bpe, op5_near_dedup, op6_packing, op7_token_counts, op8_vector_search, op9_media, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
