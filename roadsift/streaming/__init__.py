@@ -1,0 +1 @@
+"""Streaming of the scenario mining library."""
