@@ -27,10 +27,12 @@ from pyspark.sql import functions as F
 
 from roadsift.llm.common import map_batches
 from roadsift.llm.int_table import IntTable
-from roadsift.llm.pretokens import Vocabulary, WordCache, byte_symbols
+from roadsift.llm.pretokens import Vocabulary, WordCache, blocks, byte_symbols
 
 _NEVER = 1 << 40
 _ARCS = 1_000_000
+#: Words that step through the tables together.
+WORDS_AT_ONCE = 50_000
 #: Words of more bytes than this take encode_word(), as stepping them beside short ones wastes steps.
 LONG_WORD = 64
 
@@ -235,15 +237,23 @@ class Encoder:
     def __init__(self, vocabulary_json: str):
         self.vocabulary = Vocabulary(vocabulary_json)
         self.automaton = TokenAutomaton(self.vocabulary)
-        self.words = WordCache(self.automaton.encode_words)
+        self.words = WordCache(self._words)
         self.chunks = WordCache(self._pieces)
 
+    def _words(self, words: list[str]) -> list[bytes]:
+        return [ids for k in range(0, len(words), WORDS_AT_ONCE) for ids in self.automaton.encode_words(words[k : k + WORDS_AT_ONCE])]
+
     def _pieces(self, texts: list[str]) -> list[bytes]:
         pieces = self.vocabulary.pieces_of(texts)
         ids = self.words.many(itertools.chain.from_iterable(pieces))
         return [b"".join(map(ids.__getitem__, p)) for p in pieces]
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
+    def encode(self, texts: list[str | None]) -> Iterator[bytes]:
+        """Ids of each text; texts go through in blocks of bounded size."""
+        for block in blocks(texts):
+            yield from self._encode(block)
+
+    def _encode(self, texts: list[str | None]) -> list[bytes]:
         split = [self.vocabulary.split(t or "") for t in texts]
         ids = self.chunks.many(itertools.chain.from_iterable(s for part in split for s, special in part if special is None))
         return [b"".join(b"".join(map(ids.__getitem__, s)) if special is None else special.to_bytes(4, "little") for s, special in part) for part in split]
@@ -272,7 +282,7 @@ def encode_texts(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(vocabulary)
         for batch in batches:
-            ids = enc.encode(batch.column(1).to_pylist())
+            ids = list(enc.encode(batch.column(1).to_pylist()))
             ends = np.cumsum([0, *(len(x) // 4 for x in ids)], dtype=np.int32)
             values = pa.array(np.frombuffer(b"".join(ids), dtype="<i4"))
             decoded = pa.array([enc.decode(x) for x in ids], pa.string())

@@ -6,7 +6,7 @@ import functools
 import json
 import re
 import unicodedata
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import regex
 
@@ -54,21 +54,19 @@ class Vocabulary:
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # letters are lowered one by one, without context
         return text.lower()
 
-    def pieces(self, text: str) -> list[str]:
-        """Pre-split words of a text without special strings, in order."""
-        return self.pattern.findall(self.normalize(text))
-
-    def pieces_of(self, texts: list[str]) -> list[list[str]]:
-        """pieces() of many texts; those without white space go through the pattern together."""
-        if not self.lower or any(SPACES.search(t) for t in texts):
-            return list(map(self.pieces, texts))
-        out: list[list[str]] = [[]]
-        for piece in self.lines.findall(self.normalize("\n".join(texts))):
+    def pieces_of(self, chunks: list[str]) -> list[list[str]]:
+        """Pre-split words of each chunk, in order; chunks without white space go through the pattern together."""
+        if not self.lower or any(SPACES.search(t) for t in chunks):
+            return list(map(self.pattern.findall, chunks))
+        out = [[c] if c.isalpha() and c.isascii() else [] for c in chunks]
+        rest = (k for k, p in enumerate(out) if not p)
+        to: list[str] = []
+        for piece in self.lines.findall("\n".join(["", *(c for c, p in zip(chunks, out, strict=True) if not p)])):
             if piece == "\n":
-                out.append([])
+                to = out[next(rest)]
             else:
-                out[-1].append(piece)
-        return out if texts else []
+                to.append(piece)
+        return out
 
     def parts(self, text: str) -> list[tuple[str, int | None]]:
         """The text cut at its special strings: (text, None) or (string, its id)."""
@@ -77,11 +75,11 @@ class Vocabulary:
         return [(x, self.special[x] if k % 2 else None) for k, x in enumerate(self.cut.split(text)) if x]
 
     def split(self, text: str) -> list[tuple[list[str], int | None]]:
-        """(chunks, None) for ordinary text and ([], id) for a special string, in order."""
-        return [([], special) if special is not None else (self.chunks(part), None) for part, special in self.parts(text)]
+        """(chunks of normalized text, None) for ordinary text and ([], id) for a special string, in order."""
+        return [([], special) if special is not None else (self.chunks(self.normalize(part)), None) for part, special in self.parts(text)]
 
     def chunks(self, text: str) -> list[str]:
-        """The text cut at white space so that pieces() of the chunks are pieces() of the text.
+        """The text cut at white space so that the pieces of the chunks are the pieces of the text.
 
         Lower-case patterns drop all white space, so every run of it is a cut. Byte-level patterns
         give a space to the word after it: cut before each space that has a word after it. Texts
@@ -102,6 +100,24 @@ SPACES = re.compile(rf"[{SPACE}]")
 LOOSE = re.compile(rf" (?:[{SPACE}]|$)")
 
 
+#: Characters of texts that are split at once.
+BLOCK_CHARACTERS = 2_000_000
+
+
+def blocks(texts: list[str | None]) -> Iterator[list[str | None]]:
+    """The texts in order, in lists of about BLOCK_CHARACTERS; a longer text is a list of its own."""
+    out: list[str | None] = []
+    held = 0
+    for text in texts:
+        if out and held + len(text or "") > BLOCK_CHARACTERS:
+            yield out
+            out, held = [], 0
+        out.append(text)
+        held += len(text or "")
+    if out:
+        yield out
+
+
 class WordCache:
     """word -> value for lists of words, in two generations: words used since the last turn stay."""
 

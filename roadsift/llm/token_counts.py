@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadsift.llm.common import map_batches
-from roadsift.llm.pretokens import Vocabulary, WordCache, byte_symbols
+from roadsift.llm.pretokens import Vocabulary, WordCache, blocks, byte_symbols
 
 
 class MergeCounter:
@@ -64,11 +64,14 @@ class MergeCounter:
         return n - merged
 
     def _pieces(self, texts: list[str]) -> list[int]:
-        pieces = list(map(self.vocabulary.pieces, texts))
+        pieces = self.vocabulary.pieces_of(texts)
         counts = self.words.many(itertools.chain.from_iterable(pieces))
         return [sum(map(counts.__getitem__, p)) for p in pieces]
 
     def count(self, texts: list[str | None]) -> list[int]:
+        return [n for block in blocks(texts) for n in self._count(block)]
+
+    def _count(self, texts: list[str | None]) -> list[int]:
         split = [self.vocabulary.split(t or "") for t in texts]
         counts = self.chunks.many(itertools.chain.from_iterable(s for part in split for s, special in part if special is None))
         return [sum(sum(map(counts.__getitem__, s)) if special is None else 1 for s, special in part) for part in split]
