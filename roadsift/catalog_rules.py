@@ -263,16 +263,16 @@ def chain_sql(tags: list[str], low: str, gap: int | None = None) -> str:
     for k, t in enumerate(tags):
         first = "a.first_frame" if k else "min(b.frame_index)"
         keep = ", a.first_frame" if k else ""
-        after = "AND b.frame_index >= a.at" if k else ""
-        having = f"HAVING min(b.frame_index) - a.at - 1 <= {gap}" if gap is not None and k else ""
-        at = ", a.at" if k else ""
-        out += f", c{k} AS (SELECT a.scenario_id, a.subject_id, a.anchor, a.anchor_ts, {first} AS first_frame, min(b.frame_index) AS at FROM {before} a JOIN tag b ON a.scenario_id = b.scenario_id AND a.subject_id = b.subject_id AND b.tag_name = '{t}' AND {low} AND b.frame_index <= a.anchor {after} GROUP BY a.scenario_id, a.subject_id, a.anchor, a.anchor_ts{at}{keep} {having})"
+        after = "AND b.frame_index >= a.place" if k else ""
+        having = f"HAVING min(b.frame_index) - a.place - 1 <= {gap}" if gap is not None and k else ""
+        at = ", a.place" if k else ""
+        out += f", c{k} AS (SELECT a.scenario_id, a.subject_id, a.anchor, a.anchor_ts, {first} AS first_frame, min(b.frame_index) AS place FROM {before} a JOIN tag b ON a.scenario_id = b.scenario_id AND a.subject_id = b.subject_id AND b.tag_name = '{t}' AND {low} AND b.frame_index <= a.anchor {after} GROUP BY a.scenario_id, a.subject_id, a.anchor, a.anchor_ts{at}{keep} {having})"
         before = f"c{k}"
     return out + "\n"
 
 
 CHAIN = ["signup", "click", "purchase"]
-CHAIN_OUT = "SELECT scenario_id, subject_id, anchor AS frame_index, anchor_ts AS ts, first_frame, at AS last_frame FROM c2"
+CHAIN_OUT = "SELECT scenario_id, subject_id, anchor AS frame_index, anchor_ts AS ts, first_frame, place AS last_frame FROM c2"
 
 
 @query(ALL_T + chain_sql(CHAIN, "b.frame_index >= a.anchor - 6") + CHAIN_OUT)
@@ -293,7 +293,7 @@ def tmp_05_temporal_event(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("scenario_id", "frame_index", F.array_join(F.col("supporting_frames").cast("array<string>"), ",").alias("supporting"))
 
 
-@query(ALL_T + chain_sql(CHAIN, "b.ts >= a.anchor_ts - 1.0") + "SELECT c.scenario_id, c.anchor AS frame_index, sum(e.review_priority) AS support FROM c2 c JOIN ev e ON e.scenario_id = c.scenario_id AND e.frame_index BETWEEN c.first_frame AND c.at GROUP BY ALL")
+@query(ALL_T + chain_sql(CHAIN, "b.ts >= a.anchor_ts - 1.0") + "SELECT c.scenario_id, c.anchor AS frame_index, sum(e.review_priority) AS support FROM c2 c JOIN ev e ON e.scenario_id = c.scenario_id AND e.frame_index BETWEEN c.first_frame AND c.place GROUP BY ALL")
 def tmp_06_supporting_metadata(spark: SparkSession, sf: str) -> DataFrame:
     tags = wide_tags(spark, sf)
     found = temporal.sequence(tags, CHAIN, seconds=1.0).select("scenario_id", "frame_index", F.explode(F.sequence("first_frame", "last_frame")).alias("at"))
