@@ -277,3 +277,4 @@ def oracle_sql() -> dict[str, str]:
 
 from roadsift import catalog_rules as _rules  # noqa: E402, F401
 from roadsift import catalog_pack as _pack  # noqa: E402, F401
+from roadsift import catalog_review as _review  # noqa: E402, F401
