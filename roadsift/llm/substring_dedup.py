@@ -92,13 +92,13 @@ def _rows(hashes: list[np.ndarray], sids: list[int], starts: list[np.ndarray]) -
 
 
 def _emit(pick: Callable[[Windows, np.ndarray | None], tuple[np.ndarray, np.ndarray]]):
-    """A mapInPandas function over (sid, text[, starts]) that gives the picked windows in blocks."""
+    """A mapInPandas function over sid, the text, [starts] and any other columns that gives the picked windows in blocks."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes, sids, starts, held = [], [], [], 0
         for f in frames:
             found = f["starts"] if "starts" in f else [None] * len(f)
-            for sid, text, before in zip(f["sid"].tolist(), f["text"], found, strict=True):
+            for sid, text, before in zip(f["sid"].tolist(), f[TEXT], found, strict=True):
                 at, h = pick(Windows(split_words(text)), before)
                 if len(at):
                     hashes.append(h)
@@ -114,6 +114,8 @@ def _emit(pick: Callable[[Windows, np.ndarray | None], tuple[np.ndarray, np.ndar
     return run
 
 
+#: The text's name while columns go by neutral names.
+TEXT = "_text"
 ROWS = "part long, sid long, start int, weight byte"
 
 
@@ -148,28 +150,33 @@ def _around(short: int, window: int):
 
 
 def repeated_windows(docs: DataFrame, window: int = WINDOW, text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(texts with their sid, marks): marks hold sid, copied (the text occurs more than once) and the
-    starts of its repeated windows. Rows with equal columns share a sid."""
+    """(rows with their sid, marks): marks hold sid, copied (the text occurs more than once) and the
+    starts of its repeated windows. Rows with equal columns share a sid.
+
+    In the rows the text is named TEXT and the other columns _c0, _c1, ...; every level reads these
+    same rows whole, so that they are shuffled by sid once.
+    """
     if window < 4:
         raise ValueError("windows have four words at least")
     bound_batches(docs.sparkSession)
     half = -(-window // 2)
     quarter = -(-half // 2)
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    texts = docs.withColumn("_text", text)
-    texts = texts.withColumn("sid", F.xxhash64(F.col("_text"), *[F.col(f"`{c}`") for c in docs.columns if c != text_col and docs.schema[c].dataType.typeName() not in ("map", "variant")]))
-    source = texts.select("sid", F.col("_text").alias("text"))
-    keys = texts.select("sid", F.xxhash64("_text").alias("k1"), F.xxhash64("_text", F.lit(1)).alias("k2"))
+    others = [c for c in docs.columns if c != text_col]
+    hashed = [F.col(f"`{c}`") for c in others if docs.schema[c].dataType.typeName() not in ("map", "variant")]
+    text = F.col(f"`{text_col}`").cast("string")
+    sid = F.xxhash64(text, *hashed)
+    rows = docs.select(sid.alias("sid"), text.alias(TEXT), *[F.col(f"`{c}`").alias(f"_c{k}") for k, c in enumerate(others)])
+    keys = docs.select(sid.alias("sid"), F.xxhash64(text).alias("k1"), F.xxhash64(text, F.lit(1)).alias("k2"))
     copies = keys.groupBy("k1", "k2").agg(F.count("*").alias("n"), F.min("sid").alias("one")).filter("n > 1")
     copies = copies.select((-F.col("k1")).alias("l1"), (-F.col("k2")).alias("l2"), "one")  # dealt anew, so that a text with very many copies can be split
     copied = keys.select("sid", (-F.col("k1")).alias("l1"), (-F.col("k2")).alias("l2")).join(copies, ["l1", "l2"]).groupBy("sid").agg(F.max((F.col("sid") == F.col("one")).cast("int")).alias("stands"))
-    apart = source.join(copied, "sid", "left").filter("stands IS NULL OR stands = 1").select("sid", "text")
+    apart = rows.join(copied, "sid", "left").filter("stands IS NULL OR stands = 1").drop("stands")
 
     level = _repeated(apart.mapInPandas(_emit(lambda w, _: least_windows(w, quarter, window)), ROWS))
-    level = _repeated(source.join(level, "sid").mapInPandas(_emit(_extend(quarter, half)), ROWS))
-    level = _repeated(source.join(level, "sid").mapInPandas(_emit(_around(half, window)), ROWS))
+    level = _repeated(rows.join(level, "sid").mapInPandas(_emit(_extend(quarter, half)), ROWS))
+    level = _repeated(rows.join(level, "sid").mapInPandas(_emit(_around(half, window)), ROWS))
     marks = copied.select("sid", F.lit(True).alias("copied")).join(level, "sid", "full")
-    return texts, marks
+    return rows, marks
 
 
 def cover(n: int, copied: bool | None, starts: np.ndarray | None, window: int) -> np.ndarray:
@@ -193,7 +200,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, text_col: str = "text"
     Texts with fewer words than a window keep them all. Repeated rows are copies of each other.
     An empty table gives an empty result. A column named ``dedup`` in ``docs`` is not allowed.
     """
-    texts, marks = repeated_windows(docs, window, text_col)
+    rows, marks = repeated_windows(docs, window, text_col)
 
     @F.pandas_udf("n_words long, n_removed long, kept string")
     def kept(parts: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
@@ -205,10 +212,11 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, text_col: str = "text"
                 out.append((len(words), int(gone.sum()), b" ".join(w for w, g in zip(words, gone.tolist(), strict=True) if not g).decode()))
             yield pd.DataFrame(out, columns=["n_words", "n_removed", "kept"])
 
-    row = texts.select("sid", "_text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
-    joined = row.join(marks, "sid", "left").select("_row", kept("_text", F.coalesce("copied", F.lit(False)), "starts").alias("_d"))
-    whole: Column = F.when(F.col("_d.n_removed") > 0, F.col("_d.kept")).otherwise(F.col(f"_row.`{text_col}`"))
-    return joined.select("_row.*", F.struct("_d.n_words", "_d.n_removed", "_d.kept", whole.alias("text")).alias("dedup"))
+    joined = rows.join(marks, "sid", "left").withColumn("_d", kept(TEXT, F.coalesce("copied", F.lit(False)), "starts"))
+    whole: Column = F.when(F.col("_d.n_removed") > 0, F.col("_d.kept")).otherwise(F.col(TEXT))
+    others = [c for c in docs.columns if c != text_col]
+    named = [F.col(TEXT).alias(c) if c == text_col else F.col(f"_c{others.index(c)}").alias(c) for c in docs.columns]
+    return joined.select(*named, F.struct("_d.n_words", "_d.n_removed", "_d.kept", whole.alias("text")).alias("dedup"))
 
 
 def kept_digest(words: list[bytes]) -> str:
