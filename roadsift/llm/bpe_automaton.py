@@ -27,12 +27,13 @@ from pyspark.sql import functions as F
 
 from roadsift.llm.common import map_batches
 from roadsift.llm.int_table import IntTable
+from roadsift.llm.rank_merges import RankMerger
 from roadsift.llm.pretokens import Vocabulary, WordCache, blocks, byte_symbols
 
 _NEVER = 1 << 40
 _ARCS = 1_000_000
 #: Words that step through the tables together.
-WORDS_AT_ONCE = 50_000
+WORDS_AT_ONCE = 25_000
 #: Words of more bytes than this take encode_word(), as stepping them beside short ones wastes steps.
 LONG_WORD = 64
 
@@ -234,19 +235,25 @@ class TokenAutomaton:
 class Encoder:
     """Whole texts to little-endian unsigned 32-bit ids and back, with bounded caches."""
 
-    def __init__(self, vocabulary_json: str):
+    def __init__(self, vocabulary_json: str, method: str = "automaton"):
         self.vocabulary = Vocabulary(vocabulary_json)
-        self.automaton = TokenAutomaton(self.vocabulary)
+        self.automaton = TokenAutomaton(self.vocabulary) if method == "automaton" else None
+        self.encode_words = self.automaton.encode_words if self.automaton else RankMerger(self.vocabulary).encode_words
         self.words = WordCache(self._words)
         self.chunks = WordCache(self._pieces)
 
     def _words(self, words: list[str]) -> list[bytes]:
-        return [ids for k in range(0, len(words), WORDS_AT_ONCE) for ids in self.automaton.encode_words(words[k : k + WORDS_AT_ONCE])]
+        return [ids for k in range(0, len(words), WORDS_AT_ONCE) for ids in self.encode_words(words[k : k + WORDS_AT_ONCE])]
 
     def _pieces(self, texts: list[str]) -> list[bytes]:
         pieces = self.vocabulary.pieces_of(texts)
         ids = self.words.many(itertools.chain.from_iterable(pieces))
-        return [b"".join(map(ids.__getitem__, p)) for p in pieces]
+        return [ids[p[0]] if len(p) == 1 else b"".join(map(ids.__getitem__, p)) for p in pieces]
+
+    def rest(self) -> None:
+        """Let go of what takes most room between tasks; the words that were met last stay."""
+        self.chunks.clear()
+        self.words.old = {}
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         """Ids of each text; texts go through in blocks of bounded size."""
@@ -264,9 +271,9 @@ class Encoder:
 
 
 @functools.lru_cache(maxsize=2)
-def encoder(vocabulary_json: str) -> Encoder:
-    """One for each worker process and vocabulary."""
-    return Encoder(vocabulary_json)
+def encoder(vocabulary_json: str, method: str = "automaton") -> Encoder:
+    """One for each worker process, vocabulary and method."""
+    return Encoder(vocabulary_json, method)
 
 
 def encode_texts(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -287,6 +294,7 @@ def encode_texts(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id",
             values = pa.array(np.frombuffer(b"".join(ids), dtype="<i4"))
             decoded = pa.array([enc.decode(x) for x in ids], pa.string())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(ends), values), decoded], ["doc_id", "ids", "decoded"])
+        enc.rest()
 
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return map_batches(source, run, "doc_id long, ids array<int>, decoded string")

@@ -40,7 +40,7 @@ def pack_documents(docs: DataFrame, vocabulary_path: str, longest: int = 2048, e
     end = np.uint32(end_id).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(vocabulary)
+        enc = encoder(vocabulary, "merges")
         for batch in batches:
             cols: list[list] = [[], [], [], [], []]
             for doc_id, ids in zip(batch.column(0).to_pylist(), enc.encode(batch.column(1).to_pylist()), strict=True):
@@ -51,6 +51,7 @@ def pack_documents(docs: DataFrame, vocabulary_path: str, longest: int = 2048, e
                     start += length
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["doc_id", "start", "length", "ids", "doc_tokens"])
+        enc.rest()
 
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     pieces = map_batches(source, run, "doc_id long, start long, length long, ids binary, doc_tokens long")

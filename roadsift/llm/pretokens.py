@@ -18,7 +18,7 @@ LOWER_CASE_PATTERN = rf"{CONTRACTIONS}|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]
 BYTE_LEVEL_PATTERN = rf"{CONTRACTIONS}| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 
 #: Most entries in each of the two generations of a worker's cache.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 
 
 @functools.cache
@@ -58,7 +58,7 @@ class Vocabulary:
         """Pre-split words of each chunk, in order; chunks without white space go through the pattern together."""
         if not self.lower or any(SPACES.search(t) for t in chunks):
             return list(map(self.pattern.findall, chunks))
-        out = [[c] if c.isalpha() and c.isascii() else [] for c in chunks]
+        out = [([c] if c.isalpha() else [c[:-1], c[-1]] if c[-1] in MARKS and c[:-1].isalpha() else []) if c.isascii() else [] for c in chunks]
         rest = (k for k, p in enumerate(out) if not p)
         to: list[str] = []
         for piece in self.lines.findall("\n".join(["", *(c for c, p in zip(chunks, out, strict=True) if not p)])):
@@ -86,22 +86,24 @@ class Vocabulary:
         for which that can't be said stay whole.
         """
         if self.lower:
-            return [text] if ODD.search(text) else text.split()
+            return [text] if any(c in text for c in ODD) else text.split()
         if LOOSE.search(text):
             return [text]
         first, *rest = text.split(" ")
         return [first, *map(" ".__add__, rest)]
 
 
+#: Marks that end many words; alone after letters they are a piece of their own.
+MARKS = frozenset(".,;:!?")
 #: Characters that str.split() takes for white space and the patterns do not.
-ODD = re.compile(r"[\x1c-\x1f]")
+ODD = "\x1c\x1d\x1e\x1f"
 SPACES = re.compile(rf"[{SPACE}]")
 #: A space that has no word after it.
 LOOSE = re.compile(rf" (?:[{SPACE}]|$)")
 
 
 #: Characters of texts that are split at once.
-BLOCK_CHARACTERS = 2_000_000
+BLOCK_CHARACTERS = 1_000_000
 
 
 def blocks(texts: list[str | None]) -> Iterator[list[str | None]]:
@@ -124,6 +126,9 @@ class WordCache:
     def __init__(self, compute):
         self.compute, self.young, self.old = compute, {}, {}
 
+    def clear(self) -> None:
+        self.young, self.old = {}, {}
+
     def many(self, words: Iterable[str]) -> dict:
         """A mapping that holds (at least) the given words."""
         words = set(words)
