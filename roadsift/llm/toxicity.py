@@ -16,6 +16,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,7 +28,7 @@ TRAINING_ROWS = 20_000
 HELD_OUT = 2
 THRESHOLD = 0.3
 #: A learnt stem stands in this share of the toxic training documents at least, and is so many times likelier there.
-STEM_SHARE, STEM_ODDS, STEM_DOCS, STEM_SHORTEST, STEM_LONGEST = 0.025, 200.0, 4, 3, 12
+STEM_SHARE, STEM_ODDS, STEM_DOCS, STEM_SHORTEST, STEM_LONGEST = 0.012, 60.0, 4, 3, 12
 MOST_STEMS = 5_000
 
 # Seed words of the classes.
@@ -39,7 +40,7 @@ REPORTS = "said says say saying called calls wrote quoted according dit disait 
 
 TOKEN = re.compile(r"[^\W\d_]+|[.!?;:,…|()\[\]\"«»“”\n]")
 #: Most words whose class a worker remembers.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 KINDS = ("insult", "insult_at_target", "negated_insult", "reported_insult", "threat", "softened_threat")
 
 
@@ -181,6 +182,14 @@ def _word_starts(text: str) -> set[str]:
     return out
 
 
+def distinct_texts(rows: DataFrame) -> DataFrame:
+    """One of the rows whose texts share their least shingle of three words: copies must not count as evidence again."""
+    words = F.split(F.lower("text"), r"\s+")
+    on = lambda k: F.slice(words, F.lit(k), F.lit(1 << 30))
+    shingles = F.zip_with(F.zip_with(words, on(2), lambda a, b: F.xxhash64(a, b)), on(3), lambda h, c: F.xxhash64(h, c))
+    return rows.withColumn("_sig", F.array_min(shingles)).dropDuplicates(["toxic", "_sig"]).drop("_sig")
+
+
 def learn_stems(rows: DataFrame) -> list[str]:
     """Word starts (and whole words, with a $ at their end) that toxic training texts have and others lack."""
     n = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
@@ -188,17 +197,17 @@ def learn_stems(rows: DataFrame) -> list[str]:
     least = max(STEM_DOCS, STEM_SHARE * n1)
 
     def counts(of: frozenset[str] | None):
-        def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             c: Counter[str] = Counter()
-            for f in frames:
-                for text in f["text"]:
+            for batch in batches:
+                for text in batch.column(0).to_pylist():
                     c.update(_word_starts(text) if of is None else of.intersection(_word_starts(text)))
-            yield pd.DataFrame({"stem": list(c), "n": list(c.values())}, columns=["stem", "n"]).astype({"n": "int64"})
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.string()), pa.array(list(c.values()), pa.int64())], ["stem", "n"])
 
         return run
 
     def top(toxic: int, of: frozenset[str] | None) -> dict[str, int]:
-        found = rows.filter(F.col("toxic") == toxic).select("text").mapInPandas(counts(of), "stem string, n long").groupBy("stem").agg(F.sum("n").alias("n"))
+        found = rows.filter(F.col("toxic") == toxic).select("text").mapInArrow(counts(of), "stem string, n long").groupBy("stem").agg(F.sum("n").alias("n"))
         if of is None:
             found = found.filter(F.col("n") >= least).orderBy(F.desc("n"), "stem").limit(MOST_STEMS)
         return {r["stem"]: r["n"] for r in found.collect()}
@@ -239,7 +248,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """Learn stems and weights. Without labelled rows, the seeds and weights of 1 remain."""
     rows = training_rows(docs, labels).persist()
     try:
-        stems = learn_stems(rows)
+        stems = learn_stems(distinct_texts(rows))
         got = counted(rows, stems, keep=("toxic",)).groupBy("toxic", "counts").agg(F.count("*").alias("n")).collect()  # of about TRAINING_ROWS rows
     finally:
         rows.unpersist()
