@@ -4,7 +4,7 @@ from __future__ import annotations
 
 
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadsift import binding as B
@@ -322,18 +322,21 @@ def merged_sql(source: str, gap: int, name: str) -> str:
 """
 
 
-RAW = F.array_join(F.col("raw_frames").cast("array<string>"), ",").alias("raw_frames")
+def raw_frames() -> Column:
+    return F.array_join(F.col("raw_frames").cast("array<string>"), ",").alias("raw_frames")
+
+
 EVENT = ["scenario_id", "tag_name", "subject_id", "frame_index"]
 
 
 @query(", quiet AS (SELECT * REPLACE ('all' AS subject_id) FROM ev WHERE intent <> 'review')\n" + merged_sql("quiet", 1, "i") + "SELECT scenario_id, tag_name, subject_id, frame_index, end_frame, event_count, raw_frames FROM i UNION ALL SELECT scenario_id, tag_name, 'all', frame_index, frame_index, 1, CAST(frame_index AS VARCHAR) FROM ev WHERE intent = 'review'")
 def pol_01_compaction(spark: SparkSession, sf: str) -> DataFrame:
-    return policy.compact(wide_tags(spark, sf)).select(*EVENT, "end_frame", "event_count", RAW)
+    return policy.compact(wide_tags(spark, sf)).select(*EVENT, "end_frame", "event_count", raw_frames())
 
 
 @query(", loud AS (SELECT * FROM ev WHERE intent = 'review')\n" + merged_sql("loud", 4, "i") + "SELECT scenario_id, tag_name, subject_id, frame_index, end_frame, event_count, raw_frames FROM i")
 def pol_02_episodes(spark: SparkSession, sf: str) -> DataFrame:
-    return policy.episodes(B.tag_events(spark, sf).filter("intent = 'review'"), 4).select(*EVENT, "end_frame", "event_count", RAW)
+    return policy.episodes(B.tag_events(spark, sf).filter("intent = 'review'"), 4).select(*EVENT, "end_frame", "event_count", raw_frames())
 
 
 def cool_sql(source: str, frames: int) -> str:
