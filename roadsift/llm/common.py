@@ -26,6 +26,11 @@ def shared_checkpoints(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="roadsift-"))
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """df written to the shared checkpoint folder, without the steps before it."""
+    return df.checkpoint()
+
+
 def bound_batches(spark: SparkSession) -> None:
     """Bound Arrow batches by bytes and not by rows alone."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BATCH_BYTES))

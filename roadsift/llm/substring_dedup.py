@@ -168,8 +168,8 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, text_col: str = "tex
     rows = docs.select(sid.alias("sid"), text.alias(TEXT), *[F.col(f"`{c}`").alias(f"_c{k}") for k, c in enumerate(others)])
     keys = docs.select(sid.alias("sid"), F.xxhash64(text).alias("k1"), F.xxhash64(text, F.lit(1)).alias("k2"))
     copies = keys.groupBy("k1", "k2").agg(F.count("*").alias("n"), F.min("sid").alias("one")).filter("n > 1")
-    copies = copies.select((-F.col("k1")).alias("l1"), (-F.col("k2")).alias("l2"), "one")  # dealt anew, so that a text with very many copies can be split
-    copied = keys.select("sid", (-F.col("k1")).alias("l1"), (-F.col("k2")).alias("l2")).join(copies, ["l1", "l2"]).groupBy("sid").agg(F.max((F.col("sid") == F.col("one")).cast("int")).alias("stands"))
+    copies = copies.select((F.bitwise_not(F.col("k1"))).alias("l1"), (F.bitwise_not(F.col("k2"))).alias("l2"), "one")  # dealt anew, so that a text with very many copies can be split
+    copied = keys.select("sid", (F.bitwise_not(F.col("k1"))).alias("l1"), (F.bitwise_not(F.col("k2"))).alias("l2")).join(copies, ["l1", "l2"]).groupBy("sid").agg(F.max((F.col("sid") == F.col("one")).cast("int")).alias("stands"))
     apart = rows.join(copied, "sid", "left").filter("stands IS NULL OR stands = 1").drop("stands")
 
     level = _repeated(apart.mapInPandas(_emit(lambda w, _: least_windows(w, quarter, window)), ROWS))

@@ -184,7 +184,7 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_
     near = near.join(same, near["vec_id"] == same["head"]).select("h1", "h2", F.col("copy").alias("vec_id"), "score")
     near = near.withColumn("_n", F.row_number().over(best)).filter(F.col("_n") <= k + 1)
     lists = near.groupBy("h1", "h2").agg(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id", "score"))).alias("all"))
-    lists = lists.select((-F.col("h1")).alias("l1"), (-F.col("h2")).alias("l2"), "all")  # dealt anew, so that a vector that many queries share can be split
-    ids = asked.select(F.col("vec_id").alias("query_id"), (-F.col("h1")).alias("l1"), (-F.col("h2")).alias("l2")).distinct()
+    lists = lists.select((F.bitwise_not(F.col("h1"))).alias("l1"), (F.bitwise_not(F.col("h2"))).alias("l2"), "all")  # dealt anew, so that a vector that many queries share can be split
+    ids = asked.select(F.col("vec_id").alias("query_id"), (F.bitwise_not(F.col("h1"))).alias("l1"), (F.bitwise_not(F.col("h2"))).alias("l2")).distinct()
     own = ids.join(lists, ["l1", "l2"]).select("query_id", F.slice(F.filter("all", lambda x: x["vec_id"] != F.col("query_id")), 1, k).alias("all"))
     return own.select("query_id", F.posexplode("all").alias("at", "x")).select("query_id", (F.col("at") + 1).cast("int").alias("rank"), "x.vec_id", "x.score")
