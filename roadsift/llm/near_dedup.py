@@ -3,7 +3,8 @@
 A document is the set of its word shingles and has a sketch of minwise tokens. A tree takes all
 sets at its root; every node picks a few sketch coordinates by a hash of its path and sends each
 set to the children named by the set's tokens there. Nodes of few sets are compared exhaustively,
-larger ones branch further. Independent trees are repeated so that a link is found with high
+larger ones branch further. Members of nodes that are still large at the last level are compared
+exhaustively on their full sets, in blocks. Independent trees are repeated so that a link is found with high
 probability: with two coordinates a node, a pair at similarity 0.8 meets in a tree's leaf with
 probability 0.93 at any depth, and is missed by eight trees less than once in a billion.
 
@@ -31,8 +32,8 @@ from roadsift.llm.substring_dedup import Windows, mix
 SKETCH, FIRST_TREES, TREES, PICKS, LEAF, LEVELS = 64, 3, 8, 2, 64, 3
 #: Times that a first-round link is followed to twice its length; what isn't reached is only compared again.
 JUMPS = 2
-#: Members of a node that is still large at the last level with which all others are compared.
-PIVOTS = 8
+#: Rows and shingles of a block of a family, about; rows that hold a frequent token, at least.
+BLOCK, BLOCK_SHINGLES, OFTEN = 2000, 1_000_000, 64
 #: Sketches must agree on this share below the threshold: four standard deviations.
 SLACK = 0.2
 
@@ -124,9 +125,12 @@ def _confirm(pairs: DataFrame, source: DataFrame, first: DataFrame, size: int, p
 
     @F.pandas_udf("boolean")
     def linked(x: pd.Series, y: pd.Series) -> pd.Series:
-        out = []
+        out, sets = [], {}
         for s, t in zip(x, y, strict=True):
-            p, q = shingles(s, size), shingles(t, size)
+            for text in (s, t):
+                if text not in sets:
+                    sets[text] = shingles(text, size)
+            p, q = sets[s], sets[t]
             common = len(np.intersect1d(p, q, assume_unique=True))
             out.append(100 * common >= percent * (len(p) + len(q) - common) and common > 0)
         return pd.Series(out, dtype=bool)
@@ -154,12 +158,89 @@ def _leaf_pairs(rows: DataFrame) -> DataFrame:
     return small.select(F.explode(pair).alias("p")).select("p.a", "p.b").distinct()
 
 
-def _pivot_pairs(rows: DataFrame) -> DataFrame:
-    """Members of nodes that stay large with each of a few of their node's members, chosen by hash."""
-    chosen = [F.min_by(F.struct("d", "component"), F.xxhash64("d", F.lit(k))) for k in range(PIVOTS)]
-    heads = rows.groupBy("path").agg(F.array_distinct(F.array(*chosen)).alias("heads"))
-    pairs = _restored(rows, heads, "path").select("d", "component", F.explode("heads").alias("head")).filter("component <> head.component")
-    return pairs.select(F.greatest("d", "head.d").alias("a"), F.least("d", "head.d").alias("b")).distinct()
+def _families(rows: DataFrame) -> DataFrame:
+    """(d, family) of the members of nodes; nodes that share a member are one family, so that a pair meets once."""
+    heads = rows.groupBy("path").agg(F.min("d").alias("head"))
+    stars = _restored(rows.select("path", "d"), heads, "path").select(F.col("d").alias("a"), F.col("head").alias("b"))
+    return connected_components(stars).select(F.col("node").alias("d"), F.col("component").alias("family"))
+
+
+def _common(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of sets (rows) with sets (columns)."""
+    told, code = np.unique(np.concatenate([*x, *y]), return_inverse=True)
+    n = sum(len(s) for s in x)
+    of_x, of_y = np.repeat(np.arange(len(x)), [len(s) for s in x]), np.repeat(np.arange(len(y)), [len(s) for s in y])
+    code_x, code_y = code[:n], code[n:]
+    in_y = np.bincount(code_y, minlength=len(told))
+    out = np.zeros((len(x), len(y)), np.float32)
+    often = np.flatnonzero((in_y > OFTEN) & (np.bincount(code_x, minlength=len(told)) > 0))
+    place = np.full(len(told), -1)
+    place[often] = np.arange(len(often))
+    for k in range(0, len(often), 1024):  # frequent tokens by dense products
+        dense = []
+        for code_s, of_s, rows in ((code_x, of_x, len(x)), (code_y, of_y, len(y))):
+            at = (place[code_s] >= k) & (place[code_s] < k + 1024)
+            m = np.zeros((rows, 1024), np.float32)
+            m[of_s[at], place[code_s[at]] - k] = 1
+            dense.append(m)
+        out += dense[0] @ dense[1].T
+    order = np.argsort(code_y, kind="stable")
+    starts, of_y = np.cumsum(in_y) - in_y, of_y[order]
+    ends = np.cumsum([len(s) for s in x])
+    for i in range(len(x)):  # the others by the rows that hold them
+        own = code_x[ends[i] - len(x[i]) : ends[i]]
+        own = own[(place[own] < 0) & (in_y[own] > 0)]
+        if len(own):
+            count = in_y[own]
+            at = np.repeat(starts[own] - (np.cumsum(count) - count), count) + np.arange(count.sum())
+            out[i] += np.bincount(of_y[at], minlength=len(y))
+    return out
+
+
+def _block_links(size: int, percent: int):
+    """Links (a, b) of two blocks of a family, or of one with itself: of all that there are, as many as join its components."""
+
+    def run(f: pd.DataFrame) -> pd.DataFrame:
+        group, ids = pd.factorize(f["component"])[0], f["d"].to_numpy()
+        side = f["side"].to_numpy()
+        left = np.flatnonzero(side == 0)
+        right = np.flatnonzero(side == 1) if (side == 1).any() else left
+        out: list[tuple[int, int]] = []
+        if (f["i"].iloc[0] == f["j"].iloc[0] or right is not left) and len(np.unique(group)) > 1 and len(left):
+            sets = [shingles(t, size) for t in f["text"]]
+            n = np.array([len(s) for s in sets])
+            common = _common([sets[k] for k in left], [sets[k] for k in right])
+            for i, both in zip(left, common, strict=True):
+                hit = (100 * both >= percent * (n[i] + n[right] - both)) & (both > 0) & (group[right] != group[i])
+                for j in right[hit]:
+                    if group[i] != group[j]:
+                        out.append((max(ids[i], ids[j]), min(ids[i], ids[j])))
+                        group[group == group[j]] = group[i]
+        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+
+    return run
+
+
+def _across(pairs: DataFrame, families: DataFrame) -> DataFrame:
+    """The pairs without those within one family, which is compared as a whole."""
+    for side in ("a", "b"):
+        pairs = pairs.join(families.select(F.col("d").alias(side), F.col("family").alias(f"_{side}")), side, "left")
+    return pairs.filter("NOT coalesce(_a = _b, false)").select("a", "b")
+
+
+def _family_links(rows: DataFrame, families: DataFrame, told: DataFrame, source: DataFrame, first: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links between different components among the members of nodes that stay large, all compared on full sets.
+
+    A family is cut in blocks of bounded rows and shingles, and each two blocks meet in one group.
+    """
+    of = families.join(rows.select("d", "component").distinct(), "d")
+    sized = of.join(told.select(F.col("doc_id").alias("d"), "row", "n_shingles").join(first.withColumnRenamed("doc_id", "d"), ["d", "row"]).distinct(), "d")
+    blocks = sized.groupBy("family").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks"), F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").drop("lo", "hi")
+    dealt = _restored(sized, blocks, "family").withColumn("own", F.pmod(F.xxhash64("d"), F.col("blocks")).cast("int"))
+    texts = source.join(dealt.withColumnRenamed("d", "doc_id").withColumnRenamed("row", "_row"), "doc_id").filter("row = _row").select(F.col("doc_id").alias("d"), "family", "component", "blocks", "own", "text").dropDuplicates(["d"])
+    met = texts.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    met = met.select("family", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"), "d", "component", "text")
+    return met.groupBy("family", "i", "j").applyInPandas(_block_links(size, percent), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -194,21 +275,26 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
     of = cut(sketches.select("d").distinct().join(_heads(links).withColumnRenamed("a", "d"), "d", "left").select("d", F.coalesce("b", "d").alias("component")))
 
     nodes = sketches.mapInPandas(_children(TREES), CHILD)
-    found = None
+    found, rest = None, None
     for level in range(LEVELS):
         mixed = cut(nodes.join(of, "d").groupBy("path").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("path", "n"))
         large = mixed.filter(F.col("n") > LEAF).select("path")
         deeper = large.count() > 0
         pairs = _leaf_pairs(_restored(nodes, mixed.filter(F.col("n") <= LEAF).select("path"), "path").join(of, "d"))
-        if deeper and level + 1 == LEVELS:
-            pairs = pairs.union(_pivot_pairs(_restored(nodes, large, "path").join(of, "d")))
         pairs = cut(pairs)
         found = pairs if found is None else found.union(pairs)
         if not deeper:
             break
+        if level + 1 == LEVELS:
+            rows = cut(_restored(nodes, large, "path").join(of, "d"))
+            families = cut(_families(rows))
+            rest = cut(_family_links(rows, families, told, source, first, shingle, percent))
+            found = _across(found.distinct(), families)
+            break
         nodes = cut(_restored(nodes, large, "path").join(sketches, "d").mapInPandas(_children(None), CHILD))
     likely = cut(_agree(found.distinct(), sketches, least).select("a", "b"))
     more = _confirm(likely, source, first, shingle, percent)
+    more = more if rest is None else more.union(rest)
     parts = connected_components(links.union(more).union(shared))
 
     placed = members.select("doc_id", "row").join(parts.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("doc_id", "row", F.coalesce("component", "doc_id").alias("component_id"))

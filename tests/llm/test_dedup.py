@@ -83,6 +83,51 @@ def test_near_dedup_equals_brute_force(docs):
         assert got == components_of(rows, size)
 
 
+def template_pages(n, sets_of=500, seed=3):
+    """Pages of one template at similarities of about 0.74, each some of the words its own, with a few pairs at 0.8 and more."""
+    rng = random.Random(seed)
+    template, fresh, out = [f"t{k}" for k in range(sets_of)], iter(range(10**9)), []
+    for k in range(n):
+        page = list(template)
+        for i in rng.sample(range(0, sets_of, 5), 8):
+            page[i] = f"u{next(fresh)}"
+        if k % 9 == 8:  # linked with an earlier page, by words that only these two have
+            page = list(out[rng.randrange(len(out))])
+            for i in rng.sample(range(0, sets_of, 5), 10):
+                page[i] = f"u{next(fresh)}"
+        out.append(page)
+    return [(k, " ".join(p)) for k, p in enumerate(out)]
+
+
+def test_near_dedup_finds_all_links_of_a_large_family(docs):
+    rows = template_pages(600)
+    expected = components_of_many(rows, 5)
+    assert 400 < len(set(expected.values())) < 600
+    got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(docs(rows)).collect()}
+    assert got == expected
+
+
+def components_of_many(docs, size):
+    """Brute force over arrays: the shared shingles of all pairs at once."""
+    import numpy as np
+
+    sets = [{tuple(w[i : i + size]) for i in range(len(w) - size + 1)} for w in (t.split() for _, t in docs)]
+    count = Counter(s for x in sets for s in x)
+    place = {s: k for k, s in enumerate(s for s, c in count.items() if c > 1)}
+    m = np.zeros((len(docs), len(place)), np.float32)
+    for k, x in enumerate(sets):
+        m[k, [place[s] for s in x if s in place]] = 1
+    common, n = m @ m.T, np.array([len(x) for x in sets])
+    linked = 100 * common >= 80 * (n[:, None] + n[None, :] - common)
+    np.fill_diagonal(linked, True)
+    out = np.arange(len(docs))
+    while True:
+        least = np.array([out[np.flatnonzero(row)].min() for row in linked])
+        if (least == out).all():
+            return {d: docs[k][0] for (d, _), k in zip(docs, out.tolist(), strict=True)}
+        out = least
+
+
 def test_near_dedup_odd_rows(odd, docs):
     got = near_dedup.near_duplicates(odd).collect()
     assert sorted(r["doc_id"] or 0 for r in got) == sorted(r["doc_id"] or 0 for r in odd.collect())
