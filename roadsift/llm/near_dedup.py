@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from roadsift.llm.common import bound_batches, cut, shared_checkpoints
+from roadsift.llm.common import WORD, bound_batches, cut, shared_checkpoints
 from roadsift.llm.components import connected_components
 from roadsift.llm.substring_dedup import Windows, mix
 
@@ -304,8 +304,15 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
 
 
 def one_of_each(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
-    """One document of each group of near-duplicates, with the columns of ``docs``."""
-    judged = near_duplicates(docs, shingle, percent).filter("NOT kept").select(F.col("doc_id").alias("_id"), F.col("row").alias("_row")).distinct()
+    """One document of each group of near-duplicates, with the columns of ``docs``.
+
+    Of rows with words that share a doc_id, which are one node of the links, one stays: the one
+    with the least hash. Rows without words or with a null doc_id all stay.
+    """
+    judged = near_duplicates(docs, shingle, percent).filter("n_shingles > 0 AND doc_id IS NOT NULL")
+    stays = judged.groupBy("doc_id").agg(F.min("row").alias("_row"), F.first("kept").alias("_kept")).filter("_kept").select(F.col("doc_id").alias("_id"), "_row", F.lit(True).alias("_stays"))
     hashed = [F.col(f"`{c}`") for c in docs.columns if docs.schema[c].dataType.typeName() not in ("map", "variant")]
-    marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), F.col("doc_id").alias("_id"), F.xxhash64(*hashed).alias("_row"))
-    return marked.join(judged, ["_id", "_row"], "left_anti").select("_doc.*")
+    judges = F.col("doc_id").isNotNull() & F.coalesce(F.col("text").cast("string"), F.lit("")).rlike(WORD)
+    marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), F.col("doc_id").cast("long").alias("_id"), F.xxhash64(*hashed).alias("_row"), F.when(judges, F.lit(-1)).otherwise(F.monotonically_increasing_id()).alias("_n"))
+    marked = marked.dropDuplicates(["_id", "_row", "_n"])  # repeats of a row with words become one
+    return marked.join(stays, ["_id", "_row"], "left").filter("_n >= 0 OR _stays").select("_doc.*")

@@ -35,6 +35,14 @@ def test_stages(spark):
     assert run == got
 
 
+def test_repeated_rows_keep_their_text_once(spark, docs):
+    text = " ".join(f"w{k}" for k in range(40))
+    rows = docs([(1, text), (1, text), (2, text + " x"), (3, ""), (3, ""), (None, "no id"), (None, "no id")])
+    _, near, cut, _ = (stage for _, stage in corpus_pipeline.STAGES)
+    left = cut(spark, near(spark, rows, SF), SF).collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in left) == [(0, "no id"), (0, "no id"), (1, text), (3, ""), (3, "")]
+
+
 def test_empty_documents(spark, docs):
     none = docs([])
     for _, stage in corpus_pipeline.STAGES:
