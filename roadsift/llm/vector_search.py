@@ -1,7 +1,9 @@
 """Operator 8: nearest neighbours by multiprobe p-stable hashing.
 
 Inner products become distances by one further coordinate that lifts every vector to the
-greatest norm. Each of TABLES tables cuts HASHES random projections into cells of equal width; a
+greatest norm of its band; norms of a band are within a factor of STEP, so that a few long vectors
+don't push the others together. The longest bands of SCAN vectors together, and every band of
+fewer, are scanned whole; the others are probed. Each of TABLES tables cuts HASHES random projections into cells of equal width; a
 vector's cells name its bucket. A query visits its own bucket and those reached by stepping over
 near cell borders, in the order of estimated success: the sum of squared distances to the borders
 that are stepped over. Queries of neighbouring buckets form a block; the vectors that any of a
@@ -29,6 +31,8 @@ from roadsift.llm.common import bound_batches, shared_checkpoints
 TABLES, HASHES, WIDTH, PROBES, SEED = 5, 6, 2.0, 80, 8
 #: Queries of a block, chunks of a block's candidates at least, and vectors of a chunk at most.
 BLOCK, CHUNKS, CHUNK = 2048, 16, 100_000
+#: Greatest quotient of norms within a band; vectors of the bands that are scanned whole, at most.
+STEP, SCAN = 1.25, 400
 
 
 class ProbeHash:
@@ -42,13 +46,18 @@ class ProbeHash:
         steps = np.array(list(itertools.product((-2, -1, 0, 1, 2), repeat=HASHES)), np.int64)
         self.steps = steps[np.abs(steps).sum(axis=1) <= 4]
 
+    def band(self, x: np.ndarray) -> np.ndarray:
+        """0 for vectors near the greatest norm, one more for each STEP below it."""
+        return np.floor(np.maximum(0, np.log(self.norm / np.linalg.norm(x, axis=1)) / math.log(STEP)) + 1e-9).astype(np.int64)
+
     def cells(self, x: np.ndarray, queries: bool) -> np.ndarray:
         """Cell coordinates (rows, tables, hashes), in units of the cell width."""
         length = np.linalg.norm(x, axis=1, keepdims=True)
         if queries:
             lifted = np.hstack([x / length, np.zeros_like(length)])
         else:
-            lifted = np.hstack([x / self.norm, np.sqrt(np.maximum(0, 1 - (length / self.norm) ** 2))])
+            top = self.norm * STEP ** -self.band(x).astype(float)[:, None]
+            lifted = np.hstack([x / top, np.sqrt(np.maximum(0, 1 - (length / top) ** 2))])
         return np.einsum("nd,tdh->nth", lifted, self.lines) / WIDTH + self.shift
 
     @staticmethod
@@ -126,6 +135,18 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_
     n_blocks = max(1, math.ceil(first.count() / BLOCK))
     hashes = ProbeHash(dim, norm)
 
+    @F.pandas_udf("long")
+    def band(v: pd.Series) -> pd.Series:
+        return pd.Series(hashes.band(_matrix(v)) if len(v) else [], dtype="int64")
+
+    vectors = vectors.withColumn("band", band("v"))
+    total, scanned = 0, set()
+    for r in vectors.groupBy("band").count().orderBy("band").collect():  # a row for each factor of STEP between norms
+        total += r["count"]
+        if total <= SCAN or r["count"] <= SCAN:
+            scanned.add(r["band"])
+    vectors = vectors.withColumn("whole", F.col("band").isin(list(scanned)) if scanned else F.lit(False)).drop("band")
+
     @F.pandas_udf("long")
     def home(v: pd.Series) -> pd.Series:
         return pd.Series(hashes.home(_matrix(v)) if len(v) else [], dtype="int64")
@@ -150,9 +171,10 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_
                 yield pd.DataFrame({"vec_id": np.repeat(f["vec_id"].to_numpy(), TABLES), "t": np.tile(np.arange(TABLES), len(f)), "bucket": b.ravel()})
 
     wanted = placed.mapInPandas(visited, "block long, t long, bucket long").distinct()
-    met = vectors.mapInPandas(filed, "vec_id long, t long, bucket long").join(wanted, ["t", "bucket"]).select("block", "vec_id").distinct()
+    met = vectors.filter("NOT whole").select("vec_id", "v").mapInPandas(filed, "vec_id long, t long, bucket long").join(wanted, ["t", "bucket"]).select("block", "vec_id").distinct()
+    met = met.union(placed.select("block").distinct().join(vectors.filter("whole").select("vec_id")))
     chunks = met.groupBy("block").agg(F.greatest(F.lit(CHUNKS), F.ceil(F.count("*") / CHUNK)).cast("int").alias("chunks"))
-    brought = met.join(chunks, "block").join(vectors, "vec_id").select("block", F.pmod(F.xxhash64("vec_id"), F.col("chunks")).cast("int").alias("chunk"), "vec_id", "v")
+    brought = met.join(chunks, "block").join(vectors, "vec_id").select("block", F.pmod(F.xxhash64("vec_id"), F.col("chunks")).cast("int").alias("chunk"), "vec_id", "v", "whole")
     spread = placed.join(chunks, "block").select("block", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "h1", "h2", "v")
 
     def rank(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
@@ -162,9 +184,10 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_
         c = c.sort_values("vec_id")
         x, y, ids = _matrix(q["v"]), _matrix(c["v"]), c["vec_id"].to_numpy()
         probes, buckets = hashes.probes(x), hashes.buckets(y)
+        whole = c["whole"].to_numpy(bool)
         h1, h2, out = q["h1"].to_numpy(), q["h2"].to_numpy(), []
         for i in range(len(x)):
-            seen = np.zeros(len(y), bool)
+            seen = whole.copy()
             for t in range(TABLES):
                 seen |= np.isin(buckets[:, t], probes[i, t])
             at = np.flatnonzero(seen)

@@ -119,6 +119,23 @@ def test_recall_and_order(spark):
     assert hits / (20 * len(got)) >= 0.9
 
 
+def test_search_recall_on_uneven_lengths(spark):
+    rng = np.random.default_rng(4)
+    for lengths in (np.where(np.arange(1200) == 7, 10.0, 1.0), rng.lognormal(sigma=1, size=1200)):
+        x = rng.normal(size=(1200, 64))
+        x *= (lengths / np.linalg.norm(x, axis=1))[:, None]
+        df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+        got = defaultdict(set)
+        for r in vector_search.search(df, df.filter("vec_id % 20 = 0")).collect():
+            got[r["query_id"]].add(r["vec_id"])
+        hits = 0
+        for i in range(0, 1200, 20):
+            s = x @ x[i]
+            s[i] = -np.inf
+            hits += len(got[i] & set(np.argsort(-s)[:20].tolist()))
+        assert hits / (20 * 60) >= 0.9
+
+
 def test_search_odd_vectors(spark):
     rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [0.5, 0.5]), (4, None), (5, [0.0, 0.0]), (6, [float("nan"), 1.0]), (7, [None, 1.0]), (8, [float("inf"), 1.0]), (9, []), (None, [1.0, 1.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
