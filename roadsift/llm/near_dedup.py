@@ -7,6 +7,7 @@ larger ones branch further. Members of nodes that are still large at the last le
 exhaustively on their full sets, in blocks. Independent trees are repeated so that a link is found with high
 probability: with two coordinates a node, a pair at similarity 0.8 meets in a tree's leaf with
 probability 0.93 at any depth, and is missed by eight trees less than once in a billion.
+The filter on sketches before the exact check loses such a pair with probability 1.3e-4.
 
 Equal sets are one class from the start. A first round links each set with the likeliest of its
 nodes' first members; what that joins is one component and isn't compared again, so that a
