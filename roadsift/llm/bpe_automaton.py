@@ -22,13 +22,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadsift.llm.common import map_batches
 from roadsift.llm.int_table import IntTable
 from roadsift.llm.rank_merges import RankMerger
-from roadsift.llm.pretokens import Vocabulary, WordCache, blocks, byte_symbols
+from roadsift.llm.pretokens import Vocabulary, WordCache, blocks, byte_symbols, plain_blocks, spread
 
 _NEVER = 1 << 40
 _ARCS = 1_000_000
@@ -175,7 +176,7 @@ class TokenAutomaton:
         labels that end there and leave a settled state are tried, and one of them is accepted.
         """
         raw = [w.encode() for w in words]
-        short = [k for k, x in enumerate(raw) if len(x) <= LONG_WORD]
+        short = [k for k, x in enumerate(raw) if 0 < len(x) <= LONG_WORD]
         out: list[bytes] = [b""] * len(words)
         for k, x in enumerate(raw):
             if len(x) > LONG_WORD:
@@ -232,6 +233,17 @@ class TokenAutomaton:
         return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
+def joined(cache: WordCache, words: pa.Array, ends: np.ndarray) -> list[bytes]:
+    """The cache's values of the words, joined from each end to the next one; each distinct word is looked up once."""
+    told = words.dictionary_encode()
+    distinct = told.dictionary.to_pylist()
+    found = cache.many(distinct)
+    values = pa.array([found[w] for w in distinct], pa.large_binary()).take(told.indices)
+    at = np.frombuffer(values.buffers()[1], np.int64)[ends].tolist()
+    data = values.buffers()[2].to_pybytes()
+    return [data[a:b] for a, b in itertools.pairwise(at)]
+
+
 class Encoder:
     """Whole texts to little-endian unsigned 32-bit ids and back, with bounded caches."""
 
@@ -246,9 +258,8 @@ class Encoder:
         return [ids for k in range(0, len(words), WORDS_AT_ONCE) for ids in self.encode_words(words[k : k + WORDS_AT_ONCE])]
 
     def _pieces(self, texts: list[str]) -> list[bytes]:
-        pieces = self.vocabulary.pieces_of(texts)
-        ids = self.words.many(itertools.chain.from_iterable(pieces))
-        return [ids[p[0]] if len(p) == 1 else b"".join(map(ids.__getitem__, p)) for p in pieces]
+        pieces, ends = self.vocabulary.pieces_of(texts)
+        return joined(self.words, pieces, ends)
 
     def rest(self) -> None:
         """Let go of what takes most room between tasks; the words that were met last stay."""
@@ -262,8 +273,22 @@ class Encoder:
 
     def _encode(self, texts: list[str | None]) -> list[bytes]:
         split = [self.vocabulary.split(t or "") for t in texts]
-        ids = self.chunks.many(itertools.chain.from_iterable(s for part in split for s, special in part if special is None))
-        return [b"".join(b"".join(map(ids.__getitem__, s)) if special is None else special.to_bytes(4, "little") for s, special in part) for part in split]
+        ids = {kind: cache.many(itertools.chain.from_iterable(s for part in split for s, of, _ in part if of == kind)) for kind, cache in (("chunks", self.chunks), ("pieces", self.words))}
+        return [b"".join(b"".join(map(ids[kind].__getitem__, s)) if kind else special.to_bytes(4, "little") for s, kind, special in part) for part in split]
+
+    def encode_array(self, texts: pa.Array) -> list[bytes]:
+        """encode() of an Arrow array: words of plain texts are split and told apart by Arrow, so that each distinct one is looked up once a block."""
+        out: list[bytes] = [b""] * len(texts)
+        for places, block, kind in plain_blocks(texts, self.vocabulary.special):
+            if kind == "odd" or not self.vocabulary.lower:
+                ids = list(self.encode(block.to_pylist()))
+            else:
+                low = pc.utf8_lower(block)
+                split = pc.utf8_split_whitespace(spread(low) if kind == "simple" else low)
+                ids = joined(self.words if kind == "simple" else self.chunks, split.flatten(), split.offsets.to_numpy() - split.offsets[0].as_py())
+            for k, x in zip(places.tolist(), ids, strict=True):
+                out[k] = x
+        return out
 
     def decode(self, ids: bytes) -> str:
         """Arc labels joined by spaces: a model without a decoder joins its tokens so."""
@@ -289,7 +314,7 @@ def encode_texts(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(vocabulary)
         for batch in batches:
-            ids = list(enc.encode(batch.column(1).to_pylist()))
+            ids = enc.encode_array(batch.column(1))
             ends = np.cumsum([0, *(len(x) // 4 for x in ids)], dtype=np.int32)
             values = pa.array(np.frombuffer(b"".join(ids), dtype="<i4"))
             decoded = pa.array([enc.decode(x) for x in ids], pa.string())

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 #: Arrow batches hold at most this many bytes, so that very long texts don't pile up in a worker.
-ARROW_BATCH_BYTES = 16 << 20
+ARROW_BATCH_BYTES = 4 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

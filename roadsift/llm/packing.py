@@ -43,7 +43,7 @@ def pack_documents(docs: DataFrame, vocabulary_path: str, longest: int = 2048, e
         enc = encoder(vocabulary, "merges")
         for batch in batches:
             cols: list[list] = [[], [], [], [], []]
-            for doc_id, ids in zip(batch.column(0).to_pylist(), enc.encode(batch.column(1).to_pylist()), strict=True):
+            for doc_id, ids in zip(batch.column(0).to_pylist(), enc.encode_array(batch.column(1)), strict=True):
                 ids, start = ids + end, 0
                 for length in binary_lengths(len(ids) // 4, longest):
                     for col, x in zip(cols, (doc_id, start, length, ids[4 * start : 4 * (start + length)], len(ids) // 4), strict=True):

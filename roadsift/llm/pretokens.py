@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import functools
+import itertools
 import json
 import re
-import unicodedata
 from collections.abc import Iterable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
+import tokenizers
 
 # White space as the Unicode property White_Space has it, and the
 # two public split patterns, written over it.
@@ -17,8 +21,15 @@ CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
 LOWER_CASE_PATTERN = rf"{CONTRACTIONS}|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+"
 BYTE_LEVEL_PATTERN = rf"{CONTRACTIONS}| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 
-#: Most entries in each of the two generations of a worker's cache.
-CACHE_WORDS = 200_000
+#: Characters of plain texts: on these NFC changes nothing, lower case is letter for letter and every
+#: Unicode version agrees which are letters and digits. Texts with others are normalized and split by
+#: the library itself, whose Unicode tables are older than those of the regex module.
+PLAIN = r"\t-\r -~\xa0-\u012f\u0131-\u024f\u2010-\u2027\u2030-\u205e\u20ac"
+NOT_PLAIN = re.compile(f"[^{PLAIN}]")
+_NOT_PLAIN_RE2 = "[^" + re.sub(r"\\[xu]([0-9a-f]+)", r"\\x{\1}", PLAIN) + "]"
+
+#: Most entries, and most bytes of words, in each of the two generations of a worker's cache.
+CACHE_WORDS, CACHE_BYTES = 200_000, 8 << 20
 
 
 @functools.cache
@@ -44,29 +55,37 @@ class Vocabulary:
         self.lower = spec.get("normalizer") is not None
         self.pattern = regex.compile(LOWER_CASE_PATTERN if self.lower else BYTE_LEVEL_PATTERN)
         found = "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True))
-        self.lines = regex.compile(self.pattern.pattern + r"|\n")
         self.cut = regex.compile(f"({found})") if found else None
+        self._text = text
+        self._byte_of = {c: b for b, c in enumerate(byte_symbols())}
+
+    @functools.cached_property
+    def library(self) -> tokenizers.Tokenizer:
+        return tokenizers.Tokenizer.from_str(self._text)
+
+    def library_pieces(self, text: str) -> list[str]:
+        """Pre-split words of a text that is not plain, as the library normalizes and splits it."""
+        if self.lower:
+            text = self.library.normalizer.normalize_str(text)
+        byte = self._byte_of
+        return [bytes(map(byte.__getitem__, piece)).decode() for piece, _ in self.library.pre_tokenizer.pre_tokenize_str(text)]
 
-    def normalize(self, text: str) -> str:
+    def pieces_of(self, chunks: list[str]) -> tuple[pa.Array, np.ndarray]:
+        """(pre-split words of all chunks of plain text in order, where each chunk's begin and the last one's end).
+
+        Chunks of a lower-case pattern hold no white space. Without an apostrophe, which may begin a
+        contraction, such a chunk is cut around each digit and each run of marks; the others go
+        through the pattern.
+        """
         if not self.lower:
-            return text
-        if not text.isascii():
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # letters are lowered one by one, without context
-        return text.lower()
-
-    def pieces_of(self, chunks: list[str]) -> list[list[str]]:
-        """Pre-split words of each chunk, in order; chunks without white space go through the pattern together."""
-        if not self.lower or any(SPACES.search(t) for t in chunks):
-            return list(map(self.pattern.findall, chunks))
-        out = [([c] if c.isalpha() else [c[:-1], c[-1]] if c[-1] in MARKS and c[:-1].isalpha() else []) if c.isascii() else [] for c in chunks]
-        rest = (k for k, p in enumerate(out) if not p)
-        to: list[str] = []
-        for piece in self.lines.findall("\n".join(["", *(c for c, p in zip(chunks, out, strict=True) if not p)])):
-            if piece == "\n":
-                to = out[next(rest)]
-            else:
-                to.append(piece)
-        return out
+            pieces = list(map(self.pattern.findall, chunks))
+            return pa.array(itertools.chain.from_iterable(pieces), pa.string()), np.cumsum([0, *map(len, pieces)])
+        kept = spread(given := pa.array(chunks, pa.string()))
+        if (hard := pc.match_substring(given, "'").to_numpy(zero_copy_only=False)).any():
+            at = np.flatnonzero(hard)
+            kept = pc.replace_with_mask(kept, pa.array(hard), pa.array([" ".join(self.pattern.findall(chunks[k])) for k in at], pa.string()))
+        split = pc.utf8_split_whitespace(pc.utf8_trim_whitespace(kept))
+        return split.flatten(), split.offsets.to_numpy() - split.offsets[0].as_py()
 
     def parts(self, text: str) -> list[tuple[str, int | None]]:
         """The text cut at its special strings: (text, None) or (string, its id)."""
@@ -74,9 +93,17 @@ class Vocabulary:
             return [(text, None)]
         return [(x, self.special[x] if k % 2 else None) for k, x in enumerate(self.cut.split(text)) if x]
 
-    def split(self, text: str) -> list[tuple[list[str], int | None]]:
-        """(chunks of normalized text, None) for ordinary text and ([], id) for a special string, in order."""
-        return [([], special) if special is not None else (self.chunks(self.normalize(part)), None) for part, special in self.parts(text)]
+    def split(self, text: str) -> list[tuple[list[str], str, int]]:
+        """The text in order: (chunks, "chunks", 0) of plain text, (pre-split words, "pieces", 0) of other text and ([], "", id) of a special string."""
+        out: list[tuple[list[str], str, int]] = []
+        for part, special in self.parts(text):
+            if special is not None:
+                out.append(([], "", special))
+            elif NOT_PLAIN.search(part):
+                out.append((self.library_pieces(part), "pieces", 0))
+            else:
+                out.append((self.chunks(part.lower() if self.lower else part), "chunks", 0))
+        return out
 
     def chunks(self, text: str) -> list[str]:
         """The text cut at white space so that the pieces of the chunks are the pieces of the text.
@@ -86,18 +113,13 @@ class Vocabulary:
         for which that can't be said stay whole.
         """
         if self.lower:
-            return [text] if any(c in text for c in ODD) else text.split()
+            return text.split()
         if LOOSE.search(text):
             return [text]
         first, *rest = text.split(" ")
         return [first, *map(" ".__add__, rest)]
 
 
-#: Marks that end many words; alone after letters they are a piece of their own.
-MARKS = frozenset(".,;:!?")
-#: Characters that str.split() takes for white space and the patterns do not.
-ODD = "\x1c\x1d\x1e\x1f"
-SPACES = re.compile(rf"[{SPACE}]")
 #: A space that has no word after it.
 LOOSE = re.compile(rf" (?:[{SPACE}]|$)")
 
@@ -120,24 +142,52 @@ def blocks(texts: list[str | None]) -> Iterator[list[str | None]]:
         yield out
 
 
+def spread(texts: pa.Array) -> pa.Array:
+    """Plain texts with a space around each digit and each run of marks."""
+    return pc.replace_substring_regex(texts, r"([^\pL\pN\s\xa0]+|\pN)", r" \1 ")
+
+
+def plain_blocks(texts: pa.Array, special: Iterable[str]) -> Iterator[tuple[np.ndarray, pa.Array, str]]:
+    """(places, texts there, kind) of about BLOCK_BYTES each; null counts as empty. Kinds are "odd" (not plain, or with
+    special strings), "apostrophes" and "simple"."""
+    texts = pc.fill_null(texts, "")
+    odd = pc.match_substring_regex(texts, _NOT_PLAIN_RE2)
+    for s in special:
+        odd = pc.or_(odd, pc.match_substring(texts, s))
+    odd = odd.to_numpy(zero_copy_only=False)
+    apostrophes = pc.match_substring(texts, "'").to_numpy(zero_copy_only=False) & ~odd
+    sizes = pc.binary_length(texts).to_numpy()
+    for kind, which in (("odd", odd), ("apostrophes", apostrophes), ("simple", ~odd & ~apostrophes)):
+        at = np.flatnonzero(which)
+        block = (np.cumsum(sizes[at], dtype=np.int64) - 1) // BLOCK_BYTES
+        for part in np.split(at, np.flatnonzero(np.diff(block)) + 1):
+            if len(part):
+                yield part, texts.take(pa.array(part)), kind
+
+
+#: Bytes of texts whose words are told apart at once.
+BLOCK_BYTES = 4 << 20
+
+
 class WordCache:
-    """word -> value for lists of words, in two generations: words used since the last turn stay."""
+    """word -> value for lists of words, in two generations of bounded entries and bytes: words used since the last turn stay."""
 
     def __init__(self, compute):
-        self.compute, self.young, self.old = compute, {}, {}
+        self.compute, self.young, self.old, self.held = compute, {}, {}, 0
 
     def clear(self) -> None:
-        self.young, self.old = {}, {}
+        self.young, self.old, self.held = {}, {}, 0
 
     def many(self, words: Iterable[str]) -> dict:
         """A mapping that holds (at least) the given words."""
         words = set(words)
         missing = list(words.difference(self.young))
         kept = {w: v for w in missing if (v := self.old.get(w)) is not None}
-        missing = [w for w in missing if w not in kept]
+        missing = [w for w in missing if w not in kept] if kept else missing
+        self.held += sum(map(len, missing)) + sum(map(len, kept))
         self.young.update(kept)
         self.young.update(zip(missing, self.compute(missing), strict=True))
         found = self.young
-        if len(found) >= CACHE_WORDS:
-            self.old, self.young = found, {}
+        if len(found) >= CACHE_WORDS or self.held >= CACHE_BYTES:
+            self.old, self.young, self.held = (found if self.held < 2 * CACHE_BYTES else {}), {}, 0
         return found

@@ -13,6 +13,7 @@ import itertools
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -64,17 +65,20 @@ class MergeCounter:
         return n - merged
 
     def _pieces(self, texts: list[str]) -> list[int]:
-        pieces = self.vocabulary.pieces_of(texts)
-        counts = self.words.many(itertools.chain.from_iterable(pieces))
-        return [sum(map(counts.__getitem__, p)) for p in pieces]
+        pieces, ends = self.vocabulary.pieces_of(texts)
+        told = pieces.dictionary_encode()
+        distinct = told.dictionary.to_pylist()
+        counts = self.words.many(distinct)
+        sums = np.concatenate([[0], np.cumsum(np.array([counts[w] for w in distinct], np.int64)[told.indices.to_numpy()])])
+        return np.diff(sums[ends]).tolist()
 
     def count(self, texts: list[str | None]) -> list[int]:
         return [n for block in blocks(texts) for n in self._count(block)]
 
     def _count(self, texts: list[str | None]) -> list[int]:
         split = [self.vocabulary.split(t or "") for t in texts]
-        counts = self.chunks.many(itertools.chain.from_iterable(s for part in split for s, special in part if special is None))
-        return [sum(sum(map(counts.__getitem__, s)) if special is None else 1 for s, special in part) for part in split]
+        counts = {kind: cache.many(itertools.chain.from_iterable(s for part in split for s, of, _ in part if of == kind)) for kind, cache in (("chunks", self.chunks), ("pieces", self.words))}
+        return [sum(sum(map(counts[kind].__getitem__, s)) if kind else 1 for s, kind, _ in part) for part in split]
 
 
 @functools.lru_cache(maxsize=2)
