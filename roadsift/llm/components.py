@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadsift.llm.common import cut, shared_checkpoints
+from roadsift.llm.common import cut, forget
 
 MOST_ROUNDS = 60
 
@@ -30,7 +30,6 @@ def connected_components(edges: DataFrame) -> DataFrame:
     Each round points larger neighbours and then smaller ones at the least one nearby, which ends
     in stars after a few rounds. Links go through the shared checkpoint folder between rounds.
     """
-    shared_checkpoints(edges.sparkSession)
     now = cut(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct())
     before = None
     for _ in range(MOST_ROUNDS):
@@ -38,7 +37,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
         if told == before:
             break
         before = told
-        now = cut(_round(now))
+        done, now = now, cut(_round(now))
+        forget(done)
     else:
         raise RuntimeError("components didn't settle")
     out = now.groupBy("u").agg(F.min("v").alias("component")).withColumnRenamed("u", "node")

@@ -3,20 +3,27 @@
 A document is the set of its word shingles and has a sketch of minwise tokens. A tree takes all
 sets at its root; every node picks a few sketch coordinates by a hash of its path and sends each
 set to the children named by the set's tokens there. Nodes of few sets are compared exhaustively,
-larger ones branch further. Members of nodes that are still large at the last level are compared
-exhaustively on their full sets, in blocks. Independent trees are repeated so that a link is found with high
-probability: with two coordinates a node, a pair at similarity 0.8 meets in a tree's leaf with
-probability 0.93 at any depth, and is missed by eight trees less than once in a billion.
-The filter on sketches before the exact check loses such a pair with probability 1.3e-4.
-
-Equal sets are one class from the start. A first round links each set with the likeliest of its
-nodes' first members; what that joins is one component and isn't compared again, so that a
-large group of near copies costs a row each and not a pair each. Candidates whose sketches agree
-well enough are confirmed on the full sets.
+larger ones branch further, and independent trees are repeated so that a link is found with high
+probability.
+
+Equal sets are one class from the start. Rounds of stars come first: each set is compared with one
+member of each of its nodes, the likeliest is confirmed on the full sets, and what is linked is one
+component, so that a large group of near copies costs a row or two each and not a pair each. Then
+the trees are walked. In a large node where one component has many members these don't branch: the
+others are compared with them by sketches, in blocks, and those near enough to some member are
+confirmed against their likeliest one and, failing that, against all members on full sets, in
+blocks. The others branch on without them. Members of nodes that are still large at the last level
+are compared exhaustively on full sets, in blocks of a family.
+
+Odds that a pair at similarity exactly 0.8 is missed: it agrees on 72 of 128 sketch values or more
+but with a probability of 3e-10 (binomial), and meets in one of the 16 nodes of the first level but
+for 7e-12; where nodes are large and branch, it misses a tree with probability 0.06 and all eight
+with 9e-8. Pairs of higher similarity are missed less often.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,20 +32,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from roadsift.llm.common import WORD, bound_batches, cut, shared_checkpoints
+from roadsift.llm.common import WORD, bound_batches, cut, forget
 from roadsift.llm.components import connected_components
 from roadsift.llm.substring_dedup import Windows, mix
 
-#: Minwise tokens of a sketch; trees of the first round and of the second; coordinates a node picks; sets of a small node; levels.
-SKETCH, FIRST_TREES, TREES, PICKS, LEAF, LEVELS = 64, 3, 8, 2, 64, 3
-#: Times that a first-round link is followed to twice its length; what isn't reached is only compared again.
-JUMPS = 2
-#: Rows and shingles of a block of a family, about; rows that hold a frequent token, at least.
+#: Values of a sketch; those of them (32 bits each) that nodes branch on; trees; coordinates a node picks; sets of a small node; levels.
+SKETCH, BRANCHING, TREES, PICKS, LEAF, LEVELS = 128, 64, 8, 2, 64, 3
+#: Rounds of stars, and times that links are followed to twice their length after each; what isn't reached is only compared again.
+ROUNDS, JUMPS = 3, 2
+#: Rows and shingles of a block, about; rows that hold a frequent token, at least.
 BLOCK, BLOCK_SHINGLES, OFTEN = 2000, 1_000_000, 64
-#: Sketches must agree on this share below the threshold: four standard deviations.
-SLACK = 0.2
+#: Sketches must agree on the threshold less this share.
+SLACK = 0.2375
 
 _SEEDS = mix(np.arange(1, SKETCH + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_TURNS = mix(_SEEDS) | np.uint64(1)
 
 
 def shingles(text: str | None, size: int) -> np.ndarray:
@@ -53,44 +61,55 @@ def shingles(text: str | None, size: int) -> np.ndarray:
 def sketch(tokens: np.ndarray) -> np.ndarray:
     """The least value of each of SKETCH hash functions over the set."""
     out = np.full(SKETCH, np.uint64(0xFFFFFFFFFFFFFFFF))
-    for k in range(0, len(tokens), 4096):
-        out = np.minimum(out, mix(tokens[k : k + 4096, None] ^ _SEEDS[None, :]).min(axis=0))
+    for k in range(0, len(tokens), 1024):
+        values = tokens[k : k + 1024, None] ^ _SEEDS[None, :]
+        values *= _TURNS[None, :]
+        np.minimum(out, values.min(axis=0), out=out)
     return (out >> np.uint64(32)).astype("<u4")
 
 
 def _described(size: int):
+    """Sizes, identities and sketches: ``tokens`` to branch on, and ``bits``, a byte of each value, to compare."""
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            sets = [shingles(t, size) for t in f["text"]]
-            yield pd.DataFrame({
-                "doc_id": f["doc_id"], "row": f["row"], "n_shingles": np.array([len(s) for s in sets], np.int64),
-                "s1": np.array([mix(s).sum() if len(s) else np.uint64(0) for s in sets], np.uint64).astype(np.int64),
-                "s2": np.array([np.bitwise_xor.reduce(s) if len(s) else np.uint64(0) for s in sets], np.uint64).astype(np.int64),
-                "sketch": [sketch(s).tobytes() if len(s) else b"" for s in sets],
-            })
+            rows = []
+            for text in f["text"]:
+                s = shingles(text, size)
+                if len(s):
+                    values = sketch(s)
+                    rows.append((len(s), int(mix(s).sum().astype(np.int64)), int(np.bitwise_xor.reduce(s).astype(np.int64)), values[:BRANCHING].tobytes(), values.astype(np.uint8).tobytes()))
+                else:
+                    rows.append((0, 0, 0, b"", b""))
+            told = pd.DataFrame(rows, columns=["n_shingles", "s1", "s2", "tokens", "bits"])
+            yield pd.concat([f[["doc_id", "row"]].reset_index(drop=True), told], axis=1)
 
     return run
 
 
+DESCRIBED = "doc_id long, row long, n_shingles long, s1 long, s2 long, tokens binary, bits binary"
+
+
 def _picks(paths: np.ndarray) -> np.ndarray:
     """The PICKS coordinates that each path branches on."""
     turns = np.arange(1, PICKS + 1, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03)
-    return ((mix(paths[:, None] + turns[None, :]) >> np.uint64(40)) % np.uint64(SKETCH)).astype(np.int64)
+    return ((mix(paths[:, None] + turns[None, :]) >> np.uint64(40)) % np.uint64(BRANCHING)).astype(np.int64)
 
 
 def _children(roots: int | None):
-    """(d, path) rows one level below; from the roots of so many trees where there is no path yet."""
+    """(d, path) rows one level below; from the roots of so many trees where there is no path yet, whose picks all differ."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            tokens = np.frombuffer(b"".join(f["sketch"]), "<u4").reshape(len(f), SKETCH)
+            tokens = np.frombuffer(b"".join(f["tokens"]), "<u4").reshape(len(f), BRANCHING)
             if roots is not None:
                 paths = np.tile(mix(np.arange(1, roots + 1, dtype=np.uint64)), len(f))
                 at = np.repeat(np.arange(len(f)), roots)
+                picks = np.tile((np.arange(roots)[:, None] * PICKS + np.arange(PICKS)[None, :]) % BRANCHING, (len(f), 1))
             else:
                 paths, at = f["path"].to_numpy().astype(np.uint64), np.arange(len(f))
-            picks = _picks(paths)
-            out = [mix(mix(paths * np.uint64(SKETCH) + picks[:, k].astype(np.uint64)) ^ tokens[at, picks[:, k]].astype(np.uint64)) for k in range(PICKS)]
+                picks = _picks(paths)
+            out = [mix(mix(paths * np.uint64(BRANCHING) + picks[:, k].astype(np.uint64)) ^ tokens[at, picks[:, k]].astype(np.uint64)) for k in range(PICKS)]
             d = np.tile(f["d"].to_numpy()[at], PICKS)
             yield pd.DataFrame({"d": d, "path": np.concatenate(out).astype(np.int64)}).drop_duplicates()
 
@@ -102,15 +121,15 @@ CHILD = "d long, path long"
 
 @F.pandas_udf(T.DoubleType())
 def agreement(a: pd.Series, b: pd.Series) -> pd.Series:
-    """The share of coordinates on which two sketches agree."""
-    x, y = (np.frombuffer(b"".join(s), "<u4").reshape(-1, SKETCH) for s in (a, b))
+    """The share of values on which two sketches agree."""
+    x, y = (np.frombuffer(b"".join(s), np.uint8).reshape(-1, SKETCH) for s in (a, b))
     return pd.Series((x == y).mean(axis=1))
 
 
 def _agree(pairs: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
     """(a, b, share) of pairs whose sketches agree well."""
-    with_a = pairs.join(sketches.select(F.col("d").alias("a"), F.col("sketch").alias("x")), "a")
-    both = with_a.join(sketches.select(F.col("d").alias("b"), F.col("sketch").alias("y")), "b")
+    with_b = pairs.join(sketches.select(F.col("d").alias("b"), F.col("bits").alias("y")), "b")
+    both = with_b.join(sketches.select(F.col("d").alias("a"), F.col("bits").alias("x")), "a")
     return both.select("a", "b", agreement("x", "y").alias("share")).filter(F.col("share") >= least)
 
 
@@ -120,7 +139,7 @@ def _confirm(pairs: DataFrame, source: DataFrame, first: DataFrame, size: int, p
     Texts are shuffled by doc_id once, and of those that a pair names one side goes to the other.
     """
     named = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct().join(first.withColumnRenamed("row", "_row"), "doc_id")
-    texts = source.join(named, "doc_id").filter("row = _row").select(F.col("doc_id").alias("d"), "text")
+    texts = source.join(named, "doc_id").filter("row = _row").select(F.col("doc_id").alias("d"), "row", "text").dropDuplicates(["d", "row"])
     with_b = pairs.select("a", "b").join(texts.select(F.col("d").alias("b"), F.col("text").alias("y")), "b")
     both = with_b.join(texts.select(F.col("d").alias("a"), F.col("text").alias("x")), "a")
 
@@ -144,12 +163,32 @@ def _restored(rows: DataFrame, small: DataFrame, key: str) -> DataFrame:
     return rows.withColumn("_w", F.bitwise_not(F.col(key))).join(small.withColumn("_w", F.bitwise_not(F.col(key))).drop(key), "_w").drop("_w")
 
 
-def _heads(links: DataFrame) -> DataFrame:
-    """(a, b) with b moved on along the links; each points to a smaller id and no a has two."""
+def _labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """rows (d, ...) with the component of d, which is d itself where there is no label."""
+    if labels is None:
+        return rows.withColumn("component", F.col("d"))
+    return rows.join(labels, "d", "left").withColumn("component", F.coalesce("component", "d"))
+
+
+def _ends(links: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """(hi, lo): the two components of each link that joins different ones."""
+    for side, name in (("a", "u"), ("b", "v")):
+        links = _labelled(links.withColumn("d", F.col(side)), labels).withColumnRenamed("component", name).drop("d")
+    return links.select(F.greatest("u", "v").alias("hi"), F.least("u", "v").alias("lo")).filter("hi <> lo").distinct()
+
+
+def _hooked(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Labels after each component has joined the least one below it that it is linked with. Equal labels mean linked sets; different ones mean nothing yet."""
+    parent = _ends(links, labels).groupBy("hi").agg(F.min("lo").alias("lo"))
     for _ in range(JUMPS):
-        on = links.select((F.bitwise_not(F.col("a"))).alias("_w"), F.col("b").alias("next"))
-        links = links.withColumn("_w", F.bitwise_not(F.col("b"))).join(on, "_w", "left").select("a", F.coalesce("next", "b").alias("b"))
-    return links
+        on = parent.select(F.bitwise_not(F.col("hi")).alias("_w"), F.col("lo").alias("next"))
+        parent = parent.withColumn("_w", F.bitwise_not(F.col("lo"))).join(on, "_w", "left").select("hi", F.coalesce("next", "lo").alias("lo"))
+    fresh = parent.select(F.col("hi").alias("d"), F.col("lo").alias("component"))
+    if labels is None:
+        return fresh
+    moved = parent.select(F.bitwise_not(F.col("hi")).alias("_w"), "lo")
+    old = labels.withColumn("_w", F.bitwise_not(F.col("component"))).join(moved, "_w", "left").select("d", F.coalesce("lo", "component").alias("component"))
+    return old.union(fresh)
 
 
 def _leaf_pairs(rows: DataFrame) -> DataFrame:
@@ -198,16 +237,17 @@ def _common(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _block_links(size: int, percent: int):
-    """Links (a, b) of two blocks of a family, or of one with itself: of all that there are, as many as join its components."""
+def _block_links(size: int, percent: int, alone: bool):
+    """Links (a, b) of two sides of a block, or with ``alone`` of one side with itself: of all that there are, as many as join its components."""
 
     def run(f: pd.DataFrame) -> pd.DataFrame:
         group, ids = pd.factorize(f["component"])[0], f["d"].to_numpy()
         side = f["side"].to_numpy()
-        left = np.flatnonzero(side == 0)
-        right = np.flatnonzero(side == 1) if (side == 1).any() else left
+        left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        if alone and not len(right) and f["i"].iloc[0] == f["j"].iloc[0]:
+            right = left
         out: list[tuple[int, int]] = []
-        if (f["i"].iloc[0] == f["j"].iloc[0] or right is not left) and len(np.unique(group)) > 1 and len(left):
+        if len(left) and len(right) and len(np.unique(group)) > 1:
             sets = [shingles(t, size) for t in f["text"]]
             n = np.array([len(s) for s in sets])
             common = _common([sets[k] for k in left], [sets[k] for k in right])
@@ -222,26 +262,74 @@ def _block_links(size: int, percent: int):
     return run
 
 
-def _across(pairs: DataFrame, families: DataFrame) -> DataFrame:
-    """The pairs without those within one family, which is compared as a whole."""
-    for side in ("a", "b"):
-        pairs = pairs.join(families.select(F.col("d").alias(side), F.col("family").alias(f"_{side}")), side, "left")
-    return pairs.filter("NOT coalesce(_a = _b, false)").select("a", "b")
+def _nearest(least: float):
+    """(a, component, b, share): for each row of side 0 the member of side 1 whose sketch agrees most, if well enough."""
+
+    def run(f: pd.DataFrame) -> pd.DataFrame:
+        left, right = f[f["side"] == 0], f[f["side"] == 1]
+        out: list[tuple[int, int, int, float]] = []
+        if len(left) and len(right):
+            x, y = (np.frombuffer(b"".join(part["bits"]), np.uint8).reshape(-1, SKETCH) for part in (left, right))
+            ids, component = right["d"].to_numpy(), int(right["component"].iloc[0])
+            for d, row in zip(left["d"].tolist(), x, strict=True):
+                share = (y == row).sum(axis=1)
+                if share.max() >= least * SKETCH:
+                    best = int(share.argmax())
+                    out.append((d, component, int(ids[best]), share[best] / SKETCH))
+        return pd.DataFrame(out, columns=["a", "component", "b", "share"]).astype({"a": "int64", "component": "int64", "b": "int64", "share": "float64"})
+
+    return run
 
 
-def _family_links(rows: DataFrame, families: DataFrame, told: DataFrame, source: DataFrame, first: DataFrame, size: int, percent: int) -> DataFrame:
+def _texts(rows: DataFrame, source: DataFrame, first: DataFrame) -> DataFrame:
+    """rows (d, ...) with the text of d's set."""
+    chosen = rows.withColumnRenamed("d", "doc_id").join(first.withColumnRenamed("row", "_row"), "doc_id")
+    return source.join(chosen, "doc_id").filter("row = _row").drop("row").withColumnRenamed("doc_id", "d").withColumnRenamed("_row", "row").dropDuplicates([*rows.columns, "row"])
+
+
+def _against_all(suspects: DataFrame, labels: DataFrame, sketches: DataFrame, source: DataFrame, first: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links of each suspect (d, component) with the members of the component, all compared on full sets, in blocks of bounded rows and shingles."""
+    of = suspects.select("component").distinct()
+    members = labels.join(of, "component").select("component", "d").union(of.select("component", F.col("component").alias("d")))
+    both = suspects.select("component", "d", F.lit(0).alias("side")).union(members.select("component", "d", F.lit(1).alias("side")))
+    both = both.join(sketches.select("d", "n_shingles").groupBy("d").agg(F.max("n_shingles").alias("n_shingles")), "d")
+    n = lambda s: F.greatest(F.lit(1), F.ceil(F.count(F.when(F.col("side") == s, 1)) / BLOCK), F.ceil(F.sum(F.when(F.col("side") == s, F.col("n_shingles"))) / BLOCK_SHINGLES)).cast("int")
+    blocks = both.groupBy("component").agg(n(0).alias("n0"), n(1).alias("n1"))
+    texts = _texts(_restored(both, blocks, "component").select("d", "side", F.col("component").alias("of"), "n0", "n1"), source, first)
+    own = lambda c: F.pmod(F.xxhash64("d"), F.col(c)).cast("int")
+    all_of = lambda c: F.sequence(F.lit(0), F.col(c) - 1)
+    met = texts.withColumn("ij", F.explode(F.when(F.col("side") == 0, F.transform(all_of("n1"), lambda j: F.struct(own("n0").alias("i"), j.alias("j")))).otherwise(F.transform(all_of("n0"), lambda i: F.struct(i.alias("i"), own("n1").alias("j"))))))
+    component = F.when(F.col("side") == 1, F.col("of")).otherwise(F.bitwise_not(F.col("d")))  # a suspect is a component of its own here
+    met = met.select("of", "ij.i", "ij.j", "side", "d", component.alias("component"), "text")
+    return met.groupBy("of", "i", "j").applyInPandas(_block_links(size, percent, False), "a long, b long")
+
+
+def _family_links(rows: DataFrame, families: DataFrame, sketches: DataFrame, source: DataFrame, first: DataFrame, size: int, percent: int) -> DataFrame:
     """Links between different components among the members of nodes that stay large, all compared on full sets.
 
     A family is cut in blocks of bounded rows and shingles, and each two blocks meet in one group.
     """
     of = families.join(rows.select("d", "component").distinct(), "d")
-    sized = of.join(told.select(F.col("doc_id").alias("d"), "row", "n_shingles").join(first.withColumnRenamed("doc_id", "d"), ["d", "row"]).distinct(), "d")
+    sized = of.join(sketches.groupBy("d").agg(F.max("n_shingles").alias("n_shingles")), "d")
     blocks = sized.groupBy("family").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks"), F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").drop("lo", "hi")
-    dealt = _restored(sized, blocks, "family").withColumn("own", F.pmod(F.xxhash64("d"), F.col("blocks")).cast("int"))
-    texts = source.join(dealt.withColumnRenamed("d", "doc_id").withColumnRenamed("row", "_row"), "doc_id").filter("row = _row").select(F.col("doc_id").alias("d"), "family", "component", "blocks", "own", "text").dropDuplicates(["d"])
-    met = texts.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = _restored(sized.drop("n_shingles"), blocks, "family").withColumn("own", F.pmod(F.xxhash64("d"), F.col("blocks")).cast("int"))
+    met = _texts(dealt, source, first).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     met = met.select("family", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"), "d", "component", "text")
-    return met.groupBy("family", "i", "j").applyInPandas(_block_links(size, percent), "a long, b long")
+    return met.groupBy("family", "i", "j").applyInPandas(_block_links(size, percent, True), "a long, b long")
+
+
+def _scanned(large: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
+    """Suspects (a, component, b, share): sets of a large node that are near some member of the component with most members there.
+
+    ``large`` has path, d, component, n, most and top. Both sides are dealt to blocks of bounded rows.
+    """
+    side = (F.col("component") == F.col("top")).cast("int")
+    rows = large.join(sketches.select("d", "bits"), "d").withColumn("side", side)
+    rows = rows.withColumns({"n0": F.ceil((F.col("n") - F.col("most")) / BLOCK).cast("int"), "n1": F.ceil(F.col("most") / BLOCK).cast("int")})
+    own = lambda c: F.pmod(F.xxhash64("d"), F.col(c)).cast("int")
+    all_of = lambda c: F.sequence(F.lit(0), F.col(c) - 1)
+    rows = rows.withColumn("ij", F.explode(F.when(F.col("side") == 0, F.transform(all_of("n1"), lambda j: F.struct(own("n0").alias("i"), j.alias("j")))).otherwise(F.transform(all_of("n0"), lambda i: F.struct(i.alias("i"), own("n1").alias("j"))))))
+    return rows.select("path", "ij.i", "ij.j", "side", "d", "component", "bits").groupBy("path", "i", "j").applyInPandas(_nearest(least), "a long, component long, b long, share double")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -252,58 +340,91 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
     with nothing. ``component_id`` is the smallest doc_id reachable, ``kept`` says that it is the
     row's own. ``row`` is a hash of the row's columns. Rows that share a doc_id are one node of the
     links. A null doc_id takes no part: its component is null and the row is kept. An empty table
-    gives an empty result. Sets are told apart by 128 bits of hashes.
+    gives an empty result. Other columns take no part but in ``row`` and may have any name. Very long
+    texts take part whole; a worker holds the shingles of one at a time. Sets are told apart by 128
+    bits of hashes.
     """
     spark = docs.sparkSession
     bound_batches(spark)
-    shared_checkpoints(spark)
     hashed = [F.col(f"`{c}`") for c in docs.columns if docs.schema[c].dataType.typeName() not in ("map", "variant")]
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(*hashed).alias("row"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    told = cut(source.mapInPandas(_described(shingle), "doc_id long, row long, n_shingles long, s1 long, s2 long, sketch binary"))
+    source = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.xxhash64(*hashed).alias("row"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
+    told = cut(source.mapInPandas(_described(shingle), DESCRIBED))
     sets = told.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = sets.groupBy("s1", "s2").agg(F.min("doc_id").alias("d"))
     members = cut(_restored(sets.select("doc_id", "row", "s1", "s2"), classes.withColumnRenamed("s2", "_s2"), "s1").filter("s2 = _s2").select("doc_id", "row", "d").distinct())
     first = members.filter("doc_id = d").select("doc_id", "row").distinct()
-    sketches = cut(told.select("doc_id", "row", "sketch").join(first, ["doc_id", "row"]).select(F.col("doc_id").alias("d"), "sketch").distinct())
-    shared = members.filter("doc_id <> d").select(F.col("doc_id").alias("a"), F.col("d").alias("b"))
+    sketches = cut(sets.join(first, ["doc_id", "row"]).select(F.col("doc_id").alias("d"), "n_shingles", "tokens", "bits").distinct())
     least = percent / 100 - SLACK
 
-    nodes = sketches.mapInPandas(_children(FIRST_TREES), CHILD)
-    heads = nodes.groupBy("path").agg(F.min("d").alias("b"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    stars = _restored(nodes, heads, "path").filter("d <> b").select(F.col("d").alias("a"), "b").distinct()
-    best = cut(_agree(stars, sketches, least).groupBy("a").agg(F.max_by("b", F.struct("share", F.bitwise_not(F.col("b")))).alias("b")))
-    links = cut(_confirm(best, source, first, shingle, percent))
-    of = cut(sketches.select("d").distinct().join(_heads(links).withColumnRenamed("a", "d"), "d", "left").select("d", F.coalesce("b", "d").alias("component")))
+    nodes = sketches.select("d", "tokens").mapInPandas(_children(TREES), CHILD)
+    busy = nodes.groupBy("path").agg(F.min("d").alias("lo"), F.max("d").alias("hi")).filter("lo <> hi").select("path")
+    nodes = cut(_restored(nodes, busy, "path").select("d", "path"))
+
+    labels, links = None, []
+    for turn in range(ROUNDS):
+        known = labels
+        rows = _labelled(nodes, labels)
+        first_of = F.struct("d", "component") if turn == 0 else F.struct(F.xxhash64("d", F.lit(turn)).alias("h"), "d", "component")
+        heads = rows.groupBy("path").agg(F.min(first_of).alias("head"), F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("path", F.col("head.d").alias("b"), F.col("head.component").alias("of"))
+        stars = _restored(rows, heads, "path").filter("component <> of").select(F.col("d").alias("a"), "b").distinct()
+        best = cut(_agree(stars, sketches, least).groupBy("a").agg(F.max_by("b", F.struct("share", F.bitwise_not(F.col("b")))).alias("b")))
+        new = cut(_confirm(best, source, first, shingle, percent))
+        forget(best)
+        if new.isEmpty():
+            break
+        links.append(new)
+        labels = cut(_hooked(known, new))
+        if known is not None:
+            forget(known)
 
-    nodes = sketches.mapInPandas(_children(TREES), CHILD)
-    found, rest = None, None
+    pairs, suspects, at = [], [], nodes
     for level in range(LEVELS):
-        mixed = cut(nodes.join(of, "d").groupBy("path").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("path", "n"))
-        large = mixed.filter(F.col("n") > LEAF).select("path")
-        deeper = large.count() > 0
-        pairs = _leaf_pairs(_restored(nodes, mixed.filter(F.col("n") <= LEAF).select("path"), "path").join(of, "d"))
-        pairs = cut(pairs)
-        found = pairs if found is None else found.union(pairs)
-        if not deeper:
+        rows = _labelled(at, labels)
+        counted = rows.groupBy("path", "component").agg(F.count("*").alias("m")).groupBy("path").agg(F.sum("m").alias("n"), F.max(F.struct("m", "component")).alias("x")).filter("n > x.m")
+        full = (F.col("n") > LEAF) & (F.col("x.m") > LEAF // 2)
+        kinds = counted.select("path", "n", F.col("x.m").alias("most"), F.when(full, F.col("x.component")).alias("top"))
+        rows = cut(_restored(rows, kinds, "path").withColumn("rest", F.when(F.col("top").isNull(), F.col("n")).otherwise(F.col("n") - F.col("most"))))
+        others = rows.filter("top IS NULL OR component <> top")
+        pairs.append(cut(_leaf_pairs(others.filter(F.col("rest").between(2, LEAF)))))
+        full = rows.filter("top IS NOT NULL")
+        if not full.isEmpty():
+            suspects.append(cut(_scanned(full, sketches, least)))
+        large = others.filter(F.col("rest") > LEAF)
+        if large.isEmpty():
             break
         if level + 1 == LEVELS:
-            rows = cut(_restored(nodes, large, "path").join(of, "d"))
-            families = cut(_families(rows))
-            rest = cut(_family_links(rows, families, told, source, first, shingle, percent))
-            found = _across(found.distinct(), families)
+            links.append(cut(_family_links(large, _families(large), sketches, source, first, shingle, percent)))
             break
-        nodes = cut(_restored(nodes, large, "path").join(sketches, "d").mapInPandas(_children(None), CHILD))
-    likely = cut(_agree(found.distinct(), sketches, least).select("a", "b"))
-    more = _confirm(likely, source, first, shingle, percent)
-    more = more if rest is None else more.union(rest)
-    parts = connected_components(links.union(more).union(shared))
-
-    placed = members.select("doc_id", "row").join(parts.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("doc_id", "row", F.coalesce("component", "doc_id").alias("component_id"))
-    out = told.select("doc_id", "row", "n_shingles").join(placed.distinct(), ["doc_id", "row"], "left")
+        done, at = at, cut(large.select("path", "d").join(sketches.select("d", "tokens"), "d").mapInPandas(_children(None), CHILD).distinct())
+        forget(done, rows)
+
+    found = _agree(_all(pairs).distinct(), sketches, least).select("a", "b")
+    if suspects:
+        each = cut(_all(suspects).groupBy("a", "component").agg(F.max_by("b", "share").alias("b")))
+        sure = _confirm(cut(found.union(each.select("a", "b")).distinct()), source, first, shingle, percent)
+        sure = cut(sure)
+        left = cut(each.join(sure, ["a", "b"], "left_anti").select(F.col("a").alias("d"), "component"))
+        if not left.isEmpty():
+            links.append(cut(_against_all(left, labels, sketches, source, first, shingle, percent)))
+    else:
+        sure = cut(_confirm(cut(found), source, first, shingle, percent))
+    links.append(sure)
+    twice = members.groupBy("doc_id").agg(F.min("d").alias("b"), F.max("d").alias("a")).filter("a <> b")
+    links.append(members.join(twice.select("doc_id", "b"), "doc_id").select(F.col("d").alias("a"), "b").filter("a <> b").distinct())
+    parts = connected_components(_ends(_all(links), labels).select(F.col("hi").alias("a"), F.col("lo").alias("b")))
+
+    placed = _labelled(members.select("doc_id", "row", "d"), labels)
+    placed = placed.withColumn("_w", F.bitwise_not(F.col("component"))).join(parts.select(F.bitwise_not(F.col("node")).alias("_w"), F.col("component").alias("part")), "_w", "left")
+    placed = placed.select("doc_id", "row", F.coalesce("part", "component").alias("component_id")).distinct()
+    out = told.select("doc_id", "row", "n_shingles").join(placed, ["doc_id", "row"], "left")
     component = F.coalesce("component_id", "doc_id")
     return out.select("doc_id", "row", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
+def _all(parts: list[DataFrame]) -> DataFrame:
+    return functools.reduce(DataFrame.union, parts)
+
+
 def one_of_each(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """One document of each group of near-duplicates, with the columns of ``docs``.
 

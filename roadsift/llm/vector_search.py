@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadsift.llm.common import bound_batches, shared_checkpoints
+from roadsift.llm.common import bound_batches, cut as written
 
 TABLES, HASHES, WIDTH, PROBES, SEED = 5, 6, 2.0, 80, 8
 #: Queries of a block, chunks of a block's candidates at least, and vectors of a chunk at most.
@@ -116,7 +116,6 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_
     """
     spark = rows.sparkSession
     bound_batches(spark)
-    shared_checkpoints(spark)
 
     def ready(df: DataFrame) -> DataFrame:
         v = df.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v")).filter(F.col("vec_id").isNotNull() & usable(F.col("v")))
@@ -127,7 +126,7 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_
     told = index.agg(F.mode(F.size("v"), True), F.max(size), F.count("*")).first()
     dim, norm = int(told[0] or 1), float(told[1] or 1.0)
     index, asked = index.filter(F.size("v") == dim), asked.filter(F.size("v") == dim)
-    few = _fewest(index.select("vec_id", "h1", "h2").distinct(), k + 1).checkpoint()
+    few = written(_fewest(index.select("vec_id", "h1", "h2").distinct(), k + 1))
     one = few.groupBy("h1", "h2").agg(F.min("vec_id").alias("vec_id"))
     vectors = index.join(one, ["vec_id", "h1", "h2"]).dropDuplicates(["vec_id"]).select("vec_id", "v")
     first = asked.groupBy("h1", "h2").agg(F.min("vec_id").alias("vec_id"))
@@ -155,7 +154,7 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_
     placed = points.withColumn("home", home("v")).withColumn("block", F.floor(F.col("home") * n_blocks / F.lit(cut)).cast("long"))
     fill = placed.groupBy("block").agg(F.count("*").alias("n"))
     placed = placed.join(F.broadcast(fill), "block") if n_blocks <= 10_000 else placed.join(fill, "block")
-    placed = placed.withColumn("block", F.xxhash64("block", F.pmod(F.xxhash64("h1", "h2"), F.ceil(F.col("n") / (2 * BLOCK))))).select("block", "h1", "h2", "v").checkpoint()
+    placed = written(placed.withColumn("block", F.xxhash64("block", F.pmod(F.xxhash64("h1", "h2"), F.ceil(F.col("n") / (2 * BLOCK))))).select("block", "h1", "h2", "v"))
 
     def visited(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:

@@ -107,6 +107,26 @@ def test_near_dedup_finds_all_links_of_a_large_family(docs):
     assert got == expected
 
 
+def spread_copies(n, length=160, seed=4):
+    """Copies of one text with few to very many changed words, among them many that link with a few others only, and unlike texts."""
+    rng = random.Random(seed)
+    base, fresh, out = [f"t{k}" for k in range(length)], iter(range(10**9)), []
+    for k in range(n):
+        copy = list(base)
+        for i in rng.sample(range(length), rng.choice((0, 1, 2, 3, 4, 6, 8, 12))):
+            copy[i] = f"u{next(fresh)}"
+        out.append((k, " ".join(copy)))
+    return out + [(n + k, " ".join([*base[:60], *(f"v{next(fresh)}" for _ in range(60))])) for k in range(200)]
+
+
+def test_near_dedup_of_a_large_group_of_near_copies(docs):
+    rows = spread_copies(1200)
+    expected = components_of_many(rows, 4)
+    assert 250 < len(set(expected.values())) < 700
+    got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(docs(rows), 4).collect()}
+    assert got == expected
+
+
 def components_of_many(docs, size):
     """Brute force over arrays: the shared shingles of all pairs at once."""
     import numpy as np
