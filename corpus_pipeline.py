@@ -53,9 +53,7 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages in order over documents, each result written as Parquet to the shared folder and read again."""
-    shared_checkpoints(spark)
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    at = f"{root.rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    at = f"{shared_checkpoints(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{at}/{name}")
