@@ -41,7 +41,7 @@ SKETCH, BRANCHING, TREES, PICKS, LEAF, LEVELS = 128, 64, 8, 2, 64, 3
 #: Rounds of stars, and times that links are followed to twice their length after each; what isn't reached is only compared again.
 ROUNDS, JUMPS = 3, 2
 #: Rows and shingles of a block, about; rows that hold a frequent token, at least.
-BLOCK, BLOCK_SHINGLES, OFTEN = 2000, 1_000_000, 64
+BLOCK, BLOCK_SHINGLES, OFTEN = 1000, 300_000, 64
 #: Sketches must agree on the threshold less this share.
 SLACK = 0.2375
 
