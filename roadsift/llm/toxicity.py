@@ -1,18 +1,21 @@
 """Operator 10: toxicity by a weighted finite-state pattern grammar.
 
-Five small transducers read the words of a clause as classes (insult, threat, target, negation,
-reporting verb, other): one each for insults, threats, targets, the scope of a negation and
-reported speech. Their composition is one deterministic machine whose last state names the kind
-of the clause. A document's score is a logistic function of how many of its clauses are of each
-kind; the weights are fitted on training labels, and so are the word stems of the insult class
-beyond a few seeds.
+A lexicon reads words as classes (insult, threat, target, negation, reporting verb, other) and
+marks as soft or hard boundaries. Five weighted transducers work on these in a cascade: reported
+speech marks insults and threats that stand in it, also beyond a colon or quotation mark; negation
+marks those in its scope; target tells a clause's end whether a target stood in the clause; insult
+and threat take their words in and write at the clause's end what kind of clause it was. Every arc
+has a weight; weights add up along a path. A generic composition makes one deterministic machine
+of the five, which writes a kind and a weight for each matched clause. A document's score is a
+logistic function of how many of its clauses are of each kind and of their weight; its factors are
+fitted on training labels, and so are the word stems of the insult class beyond a few seeds.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -39,67 +42,130 @@ NEGATIONS = "not no never none cannot don doesn isn aren wasn ne pas jamais aucu
 REPORTS = "said says say saying called calls wrote quoted according dit disait écrit appelé selon sagte sagt nannte schrieb laut dijo dice llamó escribió según"
 
 TOKEN = re.compile(r"[^\W\d_]+|[.!?;:,…|()\[\]\"«»“”\n]")
+#: Marks that end a sentence, and with it reported speech; the others end a clause only.
+HARD = frozenset(".!?;…|\n")
 #: Most words whose class a worker remembers.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 KINDS = ("insult", "insult_at_target", "negated_insult", "reported_insult", "threat", "softened_threat")
+#: Weights of arcs: an insult or a threat at its clause's end, a target beside it, and what negation and reported speech take away.
+INSULT, THREAT, TARGET, NEGATED, REPORTED = 1.0, 1.5, 1.0, -0.75, -0.5
+#: Words after a negation that it reaches over.
+SCOPE = 3
+#: The lexicon's symbols: insult, threat, target, negation, reporting verb, other word, soft and hard boundary.
+SYMBOLS = "IHTNRw,."
 
+Arc = tuple[str, float, object]
 
-class Transducer:
-    """Deterministic: ``step(state, symbol) -> state``; symbols are I, H, T, N, R and w."""
-
-    def __init__(self, step: Callable[[int, str], int]):
-        self.step = step
-
-
-def parts() -> dict[str, Transducer]:
-    return {
-        "negation": Transducer(lambda s, c: 3 if c == "N" else max(0, s - 1)),  # a negation reaches over the next three words
-        "report": Transducer(lambda s, c: 1 if c == "R" else s),
-        "target": Transducer(lambda s, c: 1 if c == "T" else s),
-        "insult": Transducer(lambda s, c: s),
-        "threat": Transducer(lambda s, c: s),
-    }
 
-
-def compose() -> tuple[dict[tuple[int, str], int], list[int]]:
-    """The product of the five, with insult and threat gated by the negation's scope.
-
-    Returns the transitions and, for each state, the clause kind (index into KINDS, -1: none).
-    """
-    own = parts()
-
-    def step(state: tuple[int, ...], c: str) -> tuple[int, ...]:
-        neg, rep, tgt, ins, thr = state
-        held = neg > 0
-        if c == "I":
-            ins = 2 if not held else max(ins, 1)
-        if c == "H":
-            thr = 2 if not held else max(thr, 1)
-        return own["negation"].step(neg, c), own["report"].step(rep, c), own["target"].step(tgt, c), own["insult"].step(ins, c), own["threat"].step(thr, c)
-
-    def kind(state: tuple[int, ...]) -> int:
-        _, rep, tgt, ins, thr = state
-        if ins:
-            return 2 if ins == 1 else 3 if rep else 1 if tgt else 0
-        if thr and tgt:
-            return 5 if thr == 1 or rep else 4
-        return -1
-
-    start = (0, 0, 0, 0, 0)
-    number, todo, go = {start: 0}, [start], {}
+class Transducer:
+    """Deterministic and weighted: arcs[state, symbol] = (what is written, weight, next state). A symbol without an arc is written as it is."""
+
+    def __init__(self, start: object, arcs: dict[tuple[object, str], Arc]):
+        self.start, self.arcs = start, arcs
+
+    def step(self, state: object, symbol: str) -> Arc:
+        return self.arcs.get((state, symbol), (symbol, 0.0, state))
+
+    def run(self, symbols: Iterable[str]) -> tuple[list[str], float]:
+        """What is written for a sequence, and the weight of its path."""
+        out, total, state = [], 0.0, self.start
+        for s in symbols:
+            written, weight, state = self.step(state, s)
+            out.append(written)
+            total += weight
+        return out, total
+
+
+def composed(machines: list[Transducer], symbols: Iterable[str]) -> Transducer:
+    """One transducer that does what the machines do one after another, over the states that ``symbols`` reach."""
+    symbols = list(symbols)
+    start = tuple(m.start for m in machines)
+    arcs: dict[tuple[object, str], Arc] = {}
+    known, todo = {start}, [start]
     while todo:
         state = todo.pop()
-        for c in "IHTNRw":
-            to = step(state, c)
-            if to not in number:
-                number[to] = len(number)
+        for symbol in symbols:
+            written, total, ends = symbol, 0.0, []
+            for m, own in zip(machines, state, strict=True):
+                written, weight, end = m.step(own, written)
+                total += weight
+                ends.append(end)
+            to = tuple(ends)
+            arcs[state, symbol] = (written, total, to)
+            if to not in known:
+                known.add(to)
                 todo.append(to)
-            go[number[state], c] = number[to]
-    return go, [kind(s) for s in number]
+    return Transducer(start, arcs)
+
+
+def reported_speech() -> Transducer:
+    """After a reporting verb, to the sentence's end, insults I and threats H become I~ and H~."""
+    arcs: dict[tuple[object, str], Arc] = {("own", "R"): ("w", 0.0, "reported"), ("reported", "R"): ("w", 0.0, "reported"), ("reported", "."): (".", 0.0, "own")}
+    for c in "IH":
+        arcs["reported", c] = (f"{c}~", REPORTED, "reported")
+    return Transducer("own", arcs)
+
+
+def negation() -> Transducer:
+    """Insults and threats among the SCOPE words after a negation in its clause become I- and H-."""
+    arcs: dict[tuple[object, str], Arc] = {}
+    for left in range(SCOPE + 1):
+        arcs[left, "N"] = ("w", 0.0, SCOPE)
+        for end in ",.":
+            arcs[left, end] = (end, 0.0, 0)
+        for word in ("w", "T"):
+            arcs[left, word] = (word, 0.0, max(0, left - 1))
+        for c in "IH":
+            for word in (c, f"{c}~"):
+                arcs[left, word] = (f"{c}-", NEGATED, left - 1) if left else (word, 0.0, 0)
+    return Transducer(0, arcs)
+
+
+def target() -> Transducer:
+    """The end of a clause with a target becomes ,+ or .+"""
+    arcs: dict[tuple[object, str], Arc] = {}
+    for seen in (False, True):
+        arcs[seen, "T"] = ("w", 0.0, True)
+        for end in ",.":
+            arcs[seen, end] = (f"{end}+" if seen else end, 0.0, False)
+    return Transducer(False, arcs)
+
+
+def _taking(letter: str, grades: dict[str, int]) -> dict[tuple[object, str], Arc]:
+    """Arcs that take in one kind of word and keep the gravest grade of it in the clause."""
+    return {(held, letter + mark): ("w", 0.0, max(held, grade)) for held in range(max(grades.values()) + 1) for mark, grade in grades.items()}
+
+
+def insult() -> Transducer:
+    """Takes insults in and names the clause at its end by the gravest: negated, reported or plain, then with or without a target."""
+    arcs = _taking("I", {"-": 1, "~": 2, "": 3})
+    for held, kind in ((1, "negated_insult"), (2, "reported_insult"), (3, "insult")):
+        for end in (",", ".", ",+", ".+"):
+            at = "+" in end
+            arcs[held, end] = (f"{end}{'insult_at_target' if at and held == 3 else kind}", INSULT + TARGET * at, 0)
+    return Transducer(0, arcs)
+
+
+def threat() -> Transducer:
+    """Takes threats in; a clause with a threat, a target and no insult is named by it, and one with an insult keeps its name."""
+    arcs = _taking("H", {"-": 1, "~": 1, "": 2})
+    for held, kind in ((0, ""), (1, "softened_threat"), (2, "threat")):
+        for end in (",", ".", ",+", ".+"):
+            if "+" in end and held:
+                arcs[held, end] = (kind, THREAT + TARGET, 0)
+            else:
+                arcs[held, end] = ("", 0.0, 0)
+            for named in KINDS[:4]:
+                arcs[held, end + named] = (named, THREAT * (held == 2), 0)
+    return Transducer(0, arcs)
+
+
+def grammar() -> Transducer:
+    return composed([reported_speech(), negation(), target(), insult(), threat()], SYMBOLS)
 
 
 class Grammar:
-    """Counts clause kinds of whole texts, given the learnt stems of the insult class."""
+    """Counts clause kinds of whole texts and their weight, given the learnt stems of the insult class."""
 
     def __init__(self, stems: list[str]):
         self.whole = {w: c for c, words in (("R", REPORTS), ("N", NEGATIONS), ("T", TARGETS), ("H", THREATS), ("I", INSULTS)) for w in words.split()}
@@ -107,41 +173,46 @@ class Grammar:
         self.stems = frozenset(s for s in stems if not s.endswith("$"))
         self.lengths = sorted({len(s) for s in self.stems})
         self.known: dict[str, str] = {}
-        self.go, self.kinds = compose()
+        machine = grammar()
+        self.start, self.arcs = machine.start, {key: (KINDS.index(written) if written in KINDS else -1, weight, to) for key, (written, weight, to) in machine.arcs.items()}
 
     def symbol(self, token: str) -> str:
         if not token[0].isalpha():
-            return "."
+            return "." if token in HARD else ","
         if token in self.whole:
             return self.whole[token]
         return "I" if any(token[:n] in self.stems for n in self.lengths) else "w"
 
-    def count(self, text: str | None) -> list[int]:
-        """How many clauses of each kind, and of any kind or none."""
+    def count(self, text: str | None) -> list[float]:
+        """How many clauses are of each kind, the weight of all those, and how many clauses there are."""
         tokens = TOKEN.findall((text or "").lower())
         new = set(tokens).difference(self.known)
         if len(self.known) + len(new) > REMEMBERED:
             self.known, new = {}, set(tokens)
         self.known.update((t, self.symbol(t)) for t in new)
         read = "".join(map(self.known.__getitem__, tokens))
-        out = [0] * len(KINDS)
-        clauses = [c for c in read.split(".") if c]
+        out, total = [0] * len(KINDS), 0.0
         if "I" in read or "H" in read:
-            for clause in clauses:
-                if "I" in clause or "H" in clause:
-                    state = 0
-                    for c in clause:
-                        state = self.go[state, c]
-                    if self.kinds[state] >= 0:
-                        out[self.kinds[state]] += 1
-        return [*out, len(clauses)]
+            for sentence in read.split("."):
+                if "I" in sentence or "H" in sentence:
+                    state, held = self.start, 0.0
+                    for c in f"{sentence}.":
+                        kind, weight, state = self.arcs[state, c]
+                        held += weight
+                        if c == "," or c == ".":
+                            if kind >= 0:
+                                out[kind] += 1
+                                total += held
+                            held = 0.0
+        clauses = sum(map(bool, read.replace(",", ".").split(".")))
+        return [*map(float, out), total, float(clauses)]
 
 
 def features(counts: np.ndarray) -> np.ndarray:
-    """Logarithms of the counts of each kind, and of the matched clauses' share."""
-    kinds, clauses = counts[:, :-1].astype(float), counts[:, -1:].astype(float)
+    """Logarithms of the counts of each kind, of the matched clauses' weight and of their share."""
+    kinds, total, clauses = counts[:, : len(KINDS)], counts[:, len(KINDS) : -1], counts[:, -1:]
     matched = kinds.sum(axis=1, keepdims=True)
-    return np.hstack([np.ones_like(clauses), np.log1p(kinds), np.log1p(100 * matched / np.maximum(clauses, 1))])
+    return np.hstack([np.ones_like(clauses), np.log1p(kinds), np.log1p(np.maximum(total, 0)), np.log1p(100 * matched / np.maximum(clauses, 1))])
 
 
 def fit_weights(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, steps: int = 60) -> np.ndarray:
@@ -235,11 +306,11 @@ def counted(texts: DataFrame, stems: list[str], column: str = "text", keep: tupl
     """``keep`` columns and ``counts``, the clause kinds of the text."""
     bound_batches(texts.sparkSession)
 
-    @F.pandas_udf("array<int>")
+    @F.pandas_udf("array<double>")
     def kinds(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        grammar = Grammar(stems)
+        reader = Grammar(stems)
         for texts in parts:
-            yield pd.Series([grammar.count(t) for t in texts], dtype=object)
+            yield pd.Series([reader.count(t) for t in texts], dtype=object)
 
     return texts.select(*keep, kinds(F.col(column)).alias("counts"))
 
@@ -253,7 +324,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     finally:
         rows.unpersist()
     if not got:
-        return Model(stems, np.array([-3.0, *[1.0] * (len(KINDS) + 1)]))
+        return Model(stems, np.array([-3.0, *[1.0] * (len(KINDS) + 2)]))
     got.sort(key=lambda r: (r["toxic"], r["counts"]))
     x = features(np.repeat(np.array([r["counts"] for r in got]), [r["n"] for r in got], axis=0))
     y = np.repeat(np.array([r["toxic"] for r in got], float), [r["n"] for r in got])
@@ -268,16 +339,16 @@ def score_texts(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id"
     """
     weights = model.weights.tolist()
     kinds = counted(docs.select(*keep, F.col(text_col).cast("string").alias("_text")), model.stems, "_text", keep)
-    matched = F.aggregate(F.slice("counts", 1, len(KINDS)), F.lit(0), lambda s, x: s + x)
+    matched = F.aggregate(F.slice("counts", 1, len(KINDS)), F.lit(0.0), lambda s, x: s + x)
     z = F.lit(weights[0])
     for k, w in enumerate(weights[1:-1], 1):
-        z = z + F.lit(w) * F.log1p(F.element_at("counts", k))
-    z = z + F.lit(weights[-1]) * F.log1p(100.0 * matched / F.greatest(F.element_at("counts", -1), F.lit(1)))
+        z = z + F.lit(w) * F.log1p(F.greatest(F.element_at("counts", k), F.lit(0.0)))
+    z = z + F.lit(weights[-1]) * F.log1p(100.0 * matched / F.greatest(F.element_at("counts", -1), F.lit(1.0)))
     score = 1 / (1 + F.exp(-z))
     return kinds.select(*keep, score.alias("score")).withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 
 def reject_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that are not predicted toxic, with their columns."""
-    whole = docs.select(F.struct(*docs.columns).alias("_doc"), F.col("text").alias("_text"))
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), F.col("text").alias("_text"))
     return score_texts(whole, fit(docs, labels), ("_doc",), "_text").filter(F.col("predicted") == 0).select("_doc.*")

@@ -1,5 +1,6 @@
 import hashlib
 import math
+import random
 import struct
 import zlib
 from collections import Counter, defaultdict
@@ -152,7 +153,7 @@ def test_search_odd_vectors(spark):
 
 def test_grammar_kinds():
     g = toxicity.Grammar(["vequ"])
-    kinds = lambda t: {toxicity.KINDS[k] for k, n in enumerate(g.count(t)[:-1]) if n}
+    kinds = lambda t: {toxicity.KINDS[k] for k, n in enumerate(g.count(t)[: len(toxicity.KINDS)]) if n}
     assert kinds("What an idiot.") == {"insult"}
     assert kinds("you are an idiot") == {"insult_at_target"}
     assert kinds("that is not stupid") == {"negated_insult"}
@@ -162,6 +163,34 @@ def test_grammar_kinds():
     assert kinds("un vequist") == {"insult"}
 
 
+def test_reported_speech_reaches_over_a_colon_and_ends_with_the_sentence():
+    g = toxicity.Grammar([])
+    kinds = lambda t: {toxicity.KINDS[k]: n for k, n in enumerate(g.count(t)[: len(toxicity.KINDS)]) if n}
+    assert kinds('he said: "you idiot". You moron!') == {"reported_insult": 1, "insult_at_target": 1}
+    assert kinds("she wrote that they lie; you fool, you loser.") == {"insult_at_target": 1}
+
+
+def test_composition_equals_the_machines_one_after_another():
+    machines = [toxicity.reported_speech(), toxicity.negation(), toxicity.target(), toxicity.insult(), toxicity.threat()]
+    whole, rng = toxicity.grammar(), random.Random(3)
+    for _ in range(200):
+        read = rng.choices(toxicity.SYMBOLS, k=40)
+        written, total = read, 0.0
+        for m in machines:
+            written, weight = m.run(written)
+            total += weight
+        got, path = whole.run(read)
+        assert got == written and abs(path - total) < 1e-9
+    a, b = machines[0], machines[1]
+    assert toxicity.composed([a, b], toxicity.SYMBOLS).run("RI,NwH.I")[0] == b.run(a.run("RI,NwH.I")[0])[0]
+
+
+def test_weights_of_paths():
+    g = toxicity.Grammar([])
+    weight = lambda t: g.count(t)[len(toxicity.KINDS)]
+    assert weight("you idiot") > weight("an idiot") > weight("not an idiot") > 0 == weight("a lamp")
+
+
 def test_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.1"
     rows = {r["doc_id"]: r for r in registry.op10_toxicity(spark, sf).collect()}
