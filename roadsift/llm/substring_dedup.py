@@ -9,13 +9,13 @@ have equal least ones, so none is lost and few are shuffled.
 Copies of whole texts are counted first and take part once: each of their windows repeats, and
 the one that takes part stands for them all.
 
-Windows are compared by 64-bit hashes of their words' 64-bit hashes, texts by two such hashes.
+Words go by 64-bit hashes. Candidates of the first levels are told apart by one 64-bit hash of
+those, and the full windows that are removed by two independent ones together; texts by two, too.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from hashlib import sha256
 
 import numpy as np
 import pandas as pd
@@ -27,10 +27,10 @@ from roadsift.llm.common import bound_batches
 
 WINDOW = 35
 #: Windows that a task counts on its own before it hands them on; a window that many texts share leaves each block once.
-BLOCK = 1_000_000
+BLOCK = 300_000
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+_OTHER = np.uint64(0xD6E8FEB86659FD93)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -49,13 +49,17 @@ class Windows:
 
     def __init__(self, words: list[bytes]):
         self.n = len(words)
-        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, self.n)
-        self.powers = np.cumprod(np.concatenate([[np.uint64(1)], np.full(self.n, _BASE)]))
-        self.back = np.cumprod(np.concatenate([[np.uint64(1)], np.full(self.n, _INVERSE)]))
-        self.sums = np.concatenate([[np.uint64(0)], np.cumsum(hashes * self.powers[:-1])])
+        self.words = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, self.n)
+        self.of: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
-    def hashes(self, starts: np.ndarray, length: int) -> np.ndarray:
-        return mix((self.sums[starts + length] - self.sums[starts]) * self.back[starts] + np.uint64(length))
+    def hashes(self, starts: np.ndarray, length: int, base: np.uint64 = _BASE) -> np.ndarray:
+        """A polynomial of the words' hashes over the odd base, which tells windows apart independently of another base's."""
+        if int(base) not in self.of:
+            powers = np.cumprod(np.concatenate([[np.uint64(1)], np.full(self.n, base)]))
+            back = np.cumprod(np.concatenate([[np.uint64(1)], np.full(self.n, np.uint64(pow(int(base), -1, 1 << 64)))]))
+            self.of[int(base)] = np.concatenate([[np.uint64(0)], np.cumsum(self.words * powers[:-1])]), back
+        sums, back = self.of[int(base)]
+        return mix((sums[starts + length] - sums[starts]) * back[starts] + np.uint64(length))
 
 
 def _slide(x: np.ndarray, width: int, op: Callable) -> np.ndarray:
@@ -78,38 +82,50 @@ def least_windows(w: Windows, short: int, window: int) -> tuple[np.ndarray, np.n
     return starts, h[starts]
 
 
-def _rows(hashes: list[np.ndarray], sids: list[int], starts: list[np.ndarray]) -> pd.DataFrame:
-    """One block: the first place of each hash goes by the hash, further ones are sure and go anywhere."""
-    h = np.concatenate(hashes or [np.zeros(0, np.uint64)])
-    at = np.concatenate(starts or [np.zeros(0, np.int64)])
+def _rows(hashes: list[np.ndarray], sids: list[int], starts: list[np.ndarray], others: list[np.ndarray]) -> pd.DataFrame:
+    """One block: the first place of each hash goes by the hash, further ones are sure and go anywhere. ``others`` are second hashes, if any."""
+    h = np.concatenate(hashes)
+    at = np.concatenate(starts)
     sid = np.repeat(np.array(sids, np.int64), [len(x) for x in starts])
-    _, first, which, n = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
-    weight = np.minimum(n, 2)[which]
-    later = np.ones(len(h), bool)
-    later[first] = False
+    second = np.concatenate(others) if others else np.zeros(len(h), np.uint64)
+    order = np.lexsort((second, h)) if others else np.argsort(h, kind="stable")
+    fresh = np.ones(len(h), bool)
+    fresh[1:] = (h[order[1:]] != h[order[:-1]]) | (second[order[1:]] != second[order[:-1]])
+    group = np.cumsum(fresh) - 1
+    weight, later = np.empty(len(h), np.int8), np.empty(len(h), bool)
+    weight[order] = np.minimum(np.bincount(group), 2)[group]
+    later[order] = ~fresh
     part = np.where(later, mix(sid.astype(np.uint64) * _BASE + at.astype(np.uint64)), h).astype(np.int64)
-    return pd.DataFrame({"part": part, "sid": sid, "start": at.astype(np.int32), "weight": weight.astype(np.int8)})
+    out = {"part": part, "sid": sid, "start": at.astype(np.int32), "weight": weight}
+    return pd.DataFrame(out | {"part2": second.astype(np.int64)} if others else out)
 
 
-def _emit(pick: Callable[[Windows, np.ndarray | None], tuple[np.ndarray, np.ndarray]]):
-    """A mapInPandas function over sid, the text, [starts] and any other columns that gives the picked windows in blocks."""
+def _emit(pick: Callable[[Windows, np.ndarray | None], tuple[np.ndarray, ...]]):
+    """A mapInPandas function over sid, the text, [starts] and any other columns that gives the picked windows in blocks.
+
+    Repeated rows share a sid and stand next to each other; one of them speaks for all.
+    """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes, sids, starts, held = [], [], [], 0
+        hashes, sids, starts, others, held, last = [], [], [], [], 0, None
         for f in frames:
             found = f["starts"] if "starts" in f else [None] * len(f)
             for sid, text, before in zip(f["sid"].tolist(), f[TEXT], found, strict=True):
-                at, h = pick(Windows(split_words(text)), before)
+                if sid == last:
+                    continue
+                last = sid
+                at, h, *second = pick(Windows(split_words(text)), before)
                 if len(at):
                     hashes.append(h)
                     sids.append(sid)
                     starts.append(at)
+                    others.extend(second)
                     held += len(at)
                 if held >= BLOCK:
-                    yield _rows(hashes, sids, starts)
-                    hashes, sids, starts, held = [], [], [], 0
+                    yield _rows(hashes, sids, starts, others)
+                    hashes, sids, starts, others, held = [], [], [], [], 0
         if held:
-            yield _rows(hashes, sids, starts)
+            yield _rows(hashes, sids, starts, others)
 
     return run
 
@@ -121,7 +137,7 @@ ROWS = "part long, sid long, start int, weight byte"
 
 def _repeated(rows: DataFrame) -> DataFrame:
     """(sid, starts) of windows that occur more than once."""
-    often = F.sum("weight").over(Window.partitionBy("part"))
+    often = F.sum("weight").over(Window.partitionBy(*[c for c in rows.columns if c.startswith("part")]))
     return rows.withColumn("often", often).filter(F.col("often") > 1).groupBy("sid").agg(F.collect_list("start").alias("starts"))
 
 
@@ -144,7 +160,7 @@ def _around(short: int, window: int):
         a = np.asarray(before, np.int64)
         starts = np.unique((a[:, None] - np.arange(window - short + 1)[None, :]).ravel())
         starts = starts[(starts >= 0) & (starts + window <= w.n)]
-        return starts, w.hashes(starts, window)
+        return starts, w.hashes(starts, window), w.hashes(starts, window, _OTHER)
 
     return pick
 
@@ -174,7 +190,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, text_col: str = "tex
 
     level = _repeated(apart.mapInPandas(_emit(lambda w, _: least_windows(w, quarter, window)), ROWS))
     level = _repeated(rows.join(level, "sid").mapInPandas(_emit(_extend(quarter, half)), ROWS))
-    level = _repeated(rows.join(level, "sid").mapInPandas(_emit(_around(half, window)), ROWS))
+    level = _repeated(rows.join(level, "sid").mapInPandas(_emit(_around(half, window)), f"{ROWS}, part2 long"))
     marks = copied.select("sid", F.lit(True).alias("copied")).join(level, "sid", "full")
     return rows, marks
 
@@ -191,6 +207,14 @@ def cover(n: int, copied: bool | None, starts: np.ndarray | None, window: int) -
     return np.cumsum(edge[:-1]) > 0
 
 
+def result_name(docs: DataFrame) -> str:
+    """``dedup``, with as many underscores before it as keep it apart from the columns of ``docs``, in any case of letters."""
+    name, taken = "dedup", {c.lower() for c in docs.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
 def remove_repeats(docs: DataFrame, window: int = WINDOW, text_col: str = "text") -> DataFrame:
     """All columns of ``docs`` and ``dedup``: struct of n_words, n_removed, kept (words joined by a
     space) and text (the text as it was where nothing is removed, else ``kept``).
@@ -198,7 +222,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, text_col: str = "text"
     A word goes if a window of ``window`` words that covers it begins elsewhere too, in another
     document or the same one, judged on the input. Null text has no words, kept "" and text null.
     Texts with fewer words than a window keep them all. Repeated rows are copies of each other.
-    An empty table gives an empty result. A column named ``dedup`` in ``docs`` is not allowed.
+    An empty table gives an empty result. Very long texts take part whole. Where ``docs`` has a column
+    ``dedup`` the new one is named as result_name() says.
     """
     rows, marks = repeated_windows(docs, window, text_col)
 
@@ -216,8 +241,4 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, text_col: str = "text"
     whole: Column = F.when(F.col("_d.n_removed") > 0, F.col("_d.kept")).otherwise(F.col(TEXT))
     others = [c for c in docs.columns if c != text_col]
     named = [F.col(TEXT).alias(c) if c == text_col else F.col(f"_c{others.index(c)}").alias(c) for c in docs.columns]
-    return joined.select(*named, F.struct("_d.n_words", "_d.n_removed", "_d.kept", whole.alias("text")).alias("dedup"))
-
-
-def kept_digest(words: list[bytes]) -> str:
-    return sha256(b" ".join(words)).hexdigest()
+    return joined.select(*named, F.struct("_d.n_words", "_d.n_removed", "_d.kept", whole.alias("text")).alias(result_name(docs)))

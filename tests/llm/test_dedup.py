@@ -2,7 +2,9 @@ import hashlib
 import random
 from collections import Counter
 
-from roadsift.llm import components, near_dedup, substring_dedup
+from pyspark.sql import functions as F
+
+from roadsift.llm import components, near_dedup, registry, substring_dedup
 
 
 def corpus():
@@ -50,8 +52,20 @@ def test_substring_dedup_odd_rows(odd, docs):
     assert substring_dedup.remove_repeats(docs([])).count() == 0
 
 
-def test_kept_digest():
-    assert substring_dedup.kept_digest([b"a", b"b"]) == hashlib.sha256(b"a b").hexdigest()
+def test_substring_dedup_of_repeated_rows_and_a_column_of_the_same_name(docs):
+    text = " ".join(f"w{k}" for k in range(50))
+    rows = docs([(1, text)] * 40 + [(2, "short one"), (2, "short one")]).withColumn("dedup", F.lit("mine")).withColumn("x.y", F.lit(1))
+    out = substring_dedup.remove_repeats(rows)
+    assert out.columns == [*rows.columns, "_dedup"]
+    got = Counter((r["doc_id"], r["_dedup"]["n_removed"], r["dedup"]) for r in out.collect())
+    assert got == {(1, 50, "mine"): 40, (2, 0, "mine"): 2}
+
+
+def test_substring_dedup_query_digests(spark):
+    sf = "/root/testdata/sf0.001"
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
+    got = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in registry.op2_substring_dedup(spark, sf).collect()}
+    assert got == {d: (n, k, hashlib.sha256(kept.encode()).hexdigest()) for d, (n, k, kept) in removed(rows, 35).items()}
 
 
 def components_of(docs, size):
