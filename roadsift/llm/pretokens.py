@@ -29,7 +29,7 @@ NOT_PLAIN = re.compile(f"[^{PLAIN}]")
 _NOT_PLAIN_RE2 = "[^" + re.sub(r"\\[xu]([0-9a-f]+)", r"\\x{\1}", PLAIN) + "]"
 
 #: Most entries, and most bytes of words, in each of the two generations of a worker's cache.
-CACHE_WORDS, CACHE_BYTES = 200_000, 8 << 20
+CACHE_WORDS, CACHE_BYTES = 150_000, 4 << 20
 
 
 @functools.cache
