@@ -32,8 +32,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words in passages of 35 words and more that stand elsewhere too go; the document stays, and n_chars follows its text."""
-    out = substring_dedup.remove_repeats(docs)
-    columns = [F.col("dedup.text").alias(c) if c == "text" else F.col(c) for c in docs.columns]
+    out, told = substring_dedup.remove_repeats(docs), substring_dedup.result_name(docs)
+    columns = [F.col(told)["text"].alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns]
     out = out.select(*columns)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
