@@ -6,6 +6,9 @@ lines are the agents around it.
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -14,10 +17,25 @@ STEP_S = 0.125
 SDC = "0"
 
 
+def remembered(make: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """make(spark, ...), planned once a session: building a plan anew for every query costs more than small queries do. Rows aren't kept."""
+    @functools.wraps(make)
+    def get(spark: SparkSession, *args: object, **named: object) -> DataFrame:
+        plans = spark.__dict__.setdefault("_roadsift_plans", {})
+        key = (make.__module__, make.__qualname__, repr(args), repr(named))
+        if key not in plans:
+            plans[key] = make(spark, *args, **named)
+        return plans[key]
+
+    return get
+
+
+@remembered
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@remembered
 def agents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row an agent: scenario_id, tix and the numbers its states follow from."""
     order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_tax", "l_discount", "l_shipdate")
@@ -43,14 +61,17 @@ def states_of(agents: DataFrame) -> DataFrame:
     )
 
 
+@remembered
 def agent_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     return states_of(agents(spark, sf_dir))
 
 
+@remembered
 def scenarios(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("scenario_id")).distinct().select("scenario_id", F.lit(SDC).alias("sdc_track_id"), F.lit(CURRENT).alias("current_time_index"))
 
 
+@remembered
 def traffic_lights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two lights for each order and step."""
     o = table(spark, sf_dir, "orders").withColumn("step_index", F.explode(F.sequence(F.lit(0), F.lit(STEPS - 1))))
@@ -71,6 +92,7 @@ def _line(y: float, first: int, last: int) -> Column:
     return F.transform(F.sequence(F.lit(first), F.lit(last), F.lit(LANE_STEP)), lambda x: F.struct(x.cast("double").alias("x"), F.lit(y).alias("y")))
 
 
+@remembered
 def map_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four straight lanes for each scenario, with a point every 20 m."""
     lane = F.array(*[
@@ -84,6 +106,7 @@ def map_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scenarios(spark, sf_dir).select("scenario_id", F.explode(lane).alias("f")).select("scenario_id", "f.*")
 
 
+@remembered
 def tag_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events of users as tag events: each user is a scenario."""
     e = table(spark, sf_dir, "events")
@@ -131,7 +154,7 @@ lights AS (
     CAST(CASE WHEN light_pos = 0 THEN 5 + o_custkey % 20 ELSE 8 + o_custkey % 15 END AS DOUBLE) AS stop_x, CASE WHEN light_pos = 0 THEN CAST(0 AS DOUBLE) ELSE CAST(0.5 AS DOUBLE) END AS stop_y
   FROM orders, steps, (SELECT CAST(range AS INTEGER) AS light_pos FROM range(2))),
 red AS (SELECT * FROM lights WHERE state IN ('stop', 'arrow_stop')),
-lanes(lane_id, lane_pos, y0, xa, xb) AS (VALUES (0, 0, -3.5, -40, 120), (1, 1, 0.0, -40, 20), (2, 2, 3.5, -40, 120), (3, 3, 0.0, 20, 120)),
+lanes(lane_id, lane_pos, y0, xa, xb) AS (VALUES (CAST(0 AS BIGINT), 0, -3.5, -40, 120), (1, 1, 0.0, -40, 20), (2, 2, 3.5, -40, 120), (3, 3, 0.0, 20, 120)),
 scen AS (SELECT DISTINCT l_orderkey AS scenario_id FROM lineitem),
 ev AS (
   SELECT user_id AS scenario_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS INTEGER) AS frame_index, event_type AS tag_name, 'r_' || event_type AS rule_id, 'agent' AS subject_type,

@@ -35,6 +35,7 @@ def r6(c: str | Column) -> Column:
     return F.round(F.col(c) if isinstance(c, str) else c, 6)
 
 
+@B.remembered
 def pairs_of(spark: SparkSession, sf: str) -> DataFrame:
     return subjects.sdc_pairs(B.agent_states(spark, sf), B.scenarios(spark, sf))
 
@@ -84,20 +85,20 @@ def prd_11_near_red_light_stop_point(spark: SparkSession, sf: str) -> DataFrame:
 BRAKING = {"max_acceleration_mps2": -3.0, "min_speed_drop_mps": 2.0, "min_start_speed_mps": 3.0, "max_front_longitudinal_m": 35.0, "max_lateral_m": 4.0}
 
 
-def with_ego_motion(pairs: DataFrame, states: DataFrame, seconds: float = 1.0) -> DataFrame:
-    motion = features.speed_change(states, seconds).select("scenario_id", "step_index", F.col("track_id").alias("ego_id"), "dt", "start_speed", "speed_delta", "acceleration")
-    return pairs.join(motion, ["scenario_id", "step_index", "ego_id"])
+MOTION = ("dt", "start_speed", "speed_delta", "acceleration")
+
+
+def moving_pairs(states: DataFrame, scenarios: DataFrame, seconds: float = 1.0) -> DataFrame:
+    """Pairs with the car's motion over the past, which windows over the same layout by scenario give."""
+    return subjects.sdc_pairs(features.speed_change(states, seconds), scenarios, MOTION)
 
 
 def gated_by_braking(states: DataFrame, scenarios: DataFrame, args: dict = BRAKING) -> DataFrame:
-    """Pairs of cars that brake hard; the others are dropped before pairing."""
-    moving = subjects.sdc_states(features.speed_change(subjects.sdc_states(states, scenarios)), scenarios)
-    hard = moving.filter((F.col("acceleration") <= args["max_acceleration_mps2"]) & (-F.col("speed_delta") >= args["min_speed_drop_mps"]) & (F.col("start_speed") >= args["min_start_speed_mps"]))
-    hard = hard.select("scenario_id", "step_index", "dt", "start_speed", "speed_delta", "acceleration")
-    others = states.join(hard.select("scenario_id", "step_index"), ["scenario_id", "step_index"], "left_semi")
-    return subjects.sdc_pairs(others, scenarios).join(hard, ["scenario_id", "step_index"])
+    """Pairs of cars that brake hard."""
+    return moving_pairs(states, scenarios).filter((F.col("acceleration") <= args["max_acceleration_mps2"]) & (-F.col("speed_delta") >= args["min_speed_drop_mps"]) & (F.col("start_speed") >= args["min_start_speed_mps"]))
 
 
+@B.remembered
 def braking_pairs(spark: SparkSession, sf: str) -> DataFrame:
     pairs = gated_by_braking(B.agent_states(spark, sf), B.scenarios(spark, sf)).filter(BUILTIN("pair_ego_hard_braking", **BRAKING))
     pairs = features.red_stop_ahead(pairs, B.traffic_lights(spark, sf), 40.0, 4.0)
@@ -131,14 +132,15 @@ VRU = {
 }
 
 
+@B.remembered
 def vru_pairs(spark: SparkSession, sf: str, prefilter: bool = False) -> DataFrame:
     from roadsift.operators.predicates import vru_reasons
 
     states = B.agent_states(spark, sf)
-    pairs = subjects.sdc_pairs(states, B.scenarios(spark, sf)).filter(F.col("other_type").isin("pedestrian", "cyclist"))
+    pairs = moving_pairs(states, B.scenarios(spark, sf)).filter(F.col("other_type").isin("pedestrian", "cyclist"))
     if prefilter:
         pairs = subjects.boxed(pairs, {"min_lon": 0.0, "max_lon": 16.0, "max_lat": 5.0, "max_distance": 12.0})
-    rows = with_ego_motion(pairs, subjects.sdc_states(states, B.scenarios(spark, sf))).filter(BUILTIN("vru_close_interaction", **VRU))
+    rows = pairs.filter(BUILTIN("vru_close_interaction", **VRU))
     reasons = F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in vru_reasons(VRU).items()]))
     return rows.withColumn("reasons", reasons).withColumn("risk_level", F.when(F.size("reasons") > 0, "high").otherwise("medium"))
 
@@ -166,6 +168,7 @@ BLOCKED = {
 }
 
 
+@B.remembered
 def blocked_pairs(spark: SparkSession, sf: str) -> DataFrame:
     from roadsift.operators.predicates import blocked_box
 
@@ -194,10 +197,12 @@ def prd_17_sdc_blocked_unable_to_proceed(spark: SparkSession, sf: str) -> DataFr
     return blocked_pairs(spark, sf).select(*PAIR, r6("low_seconds").alias("low_seconds"), "review_subtype")
 
 
+@B.remembered
 def sdc_ok(spark: SparkSession, sf: str) -> DataFrame:
     return subjects.valid_states(subjects.sdc_states(B.agent_states(spark, sf), B.scenarios(spark, sf)))
 
 
+@B.remembered
 def red_lanes(spark: SparkSession, sf: str) -> DataFrame:
     return features.red_lanes(B.traffic_lights(spark, sf), B.map_features(spark, sf))
 
@@ -212,10 +217,12 @@ AFTER = LINE | {"min_after_stop_line_m": 0.5, "max_after_stop_line_m": 15.0, "ma
 FIRST_LIGHT = "QUALIFY row_number() OVER (PARTITION BY scenario_id, step_index, track_id ORDER BY light_pos) = 1"
 
 
+@B.remembered
 def before_line(spark: SparkSession, sf: str) -> DataFrame:
     return light_predicates.first_light(light_predicates.at_red_lanes(sdc_ok(spark, sf), red_lanes(spark, sf)).filter(BUILTIN("red_light_before_stop_line", **LINE, max_before_stop_line_m=12.0)))
 
 
+@B.remembered
 def after_line(spark: SparkSession, sf: str) -> DataFrame:
     ok = light_predicates.with_turns(sdc_ok(spark, sf))
     return light_predicates.first_light(light_predicates.at_red_lanes(ok, red_lanes(spark, sf)).filter(BUILTIN("red_light_after_stop_line", **AFTER)))
@@ -231,6 +238,7 @@ def prd_20_red_light_after_stop_line(spark: SparkSession, sf: str) -> DataFrame:
     return after_line(spark, sf).select("scenario_id", "step_index", "track_id", "lane_id", r6("line_lon").alias("line_lon"))
 
 
+@B.remembered
 def red_crossings(spark: SparkSession, sf: str) -> DataFrame:
     args = AFTER | {"max_before_stop_line_m": 12.0, "max_lane_heading_change_rad": 0.35}
     return light_predicates.crossings(light_predicates.with_turns(sdc_ok(spark, sf)), red_lanes(spark, sf), args).filter(BUILTIN("red_light_crossing_transition"))
@@ -250,10 +258,12 @@ def lane_sql(source: str, name: str, lateral: float, heading: float) -> str:
 """
 
 
+@B.remembered
 def segments(spark: SparkSession, sf: str) -> DataFrame:
     return features.lane_segments(B.map_features(spark, sf))
 
 
+@B.remembered
 def sdc_lanes(spark: SparkSession, sf: str, lateral: float) -> DataFrame:
     return features.lane_match(features.lateral_range(subjects.sdc_states(B.agent_states(spark, sf), B.scenarios(spark, sf)), 3.0), segments(spark, sf), lateral, 0.7)
 
@@ -278,3 +288,4 @@ def oracle_sql() -> dict[str, str]:
 from roadsift import catalog_rules as _rules  # noqa: E402, F401
 from roadsift import catalog_pack as _pack  # noqa: E402, F401
 from roadsift import catalog_review as _review  # noqa: E402, F401
+from roadsift import catalog_sources as _sources  # noqa: E402, F401

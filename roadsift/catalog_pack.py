@@ -10,9 +10,10 @@ from roadsift import catalog as C
 from roadsift import catalog_rules as R
 from roadsift.catalog import add, pairs_of, query
 from roadsift.catalog_rules import chain_sql, cool_sql, merged_sql
-from roadsift.operators import light_predicates, policy, temporal
+from roadsift.operators import align, light_predicates, policy, temporal
 from roadsift.operators.predicates import BUILTIN
 from roadsift.plans import pack
+from roadsift.scratch import cut
 
 SEEN = "step_index <= 10"
 """Rules look at the frames up to the current one."""
@@ -39,10 +40,12 @@ tag AS (SELECT * FROM tag0 WHERE tag_name NOT IN ('cut_in_lateral_approach', 'sa
 )
 
 
+@B.remembered
 def seen_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return pairs_of(spark, sf).filter(SEEN)
 
 
+@B.remembered
 def low_ttc_events(spark: SparkSession, sf: str) -> DataFrame:
     """Cheap conditions first; lanes are matched for the pairs that are left."""
     cheap = F.lit(True)
@@ -52,14 +55,21 @@ def low_ttc_events(spark: SparkSession, sf: str) -> DataFrame:
     return pack.tagged(rows.withColumn("frame_index", F.col("step_index")), pack.LOW_TTC)
 
 
+@B.remembered
 def pair_events(spark: SparkSession, sf: str) -> DataFrame:
     """Events of the single-frame pair rules, later sequence steps gated."""
     return pack.gate_sequences(pack.single_frame(seen_pairs(spark, sf), pack.pair_rules())).unionByName(low_ttc_events(spark, sf))
 
 
+@B.remembered
+def kept_pair_events(spark: SparkSession, sf: str) -> DataFrame:
+    """pair_events as a table of the shared folder: sequences and sustained rules read each tag several times. These are a small share of the pairs."""
+    return cut(pair_events(spark, sf))
+
+
 def _single(tag: str, rule: pack.Rule | None) -> None:
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        return pair_events(spark, sf).filter(F.col("tag_name") == tag).select(*EVENT_OUT)
+        return kept_pair_events(spark, sf).filter(F.col("tag_name") == tag).select(*EVENT_OUT)
 
     add(f"rule_{tag}", run, PACK_SQL + f"SELECT scenario_id, frame_index, tag_name, subject_id FROM tag WHERE tag_name = '{tag}'")
 
@@ -79,7 +89,7 @@ def as_found(tag: str, source: str, frame: str = "frame_index", family: str = "N
 
 
 def detections(spark: SparkSession, sf: str, rule: pack.Rule) -> DataFrame:
-    return pack.tagged(pack.temporal_events(pair_events(spark, sf), rule), rule)
+    return pack.tagged(pack.temporal_events(kept_pair_events(spark, sf), rule), rule)
 
 
 BY_TAG = {r.tag: r for r in pack.TEMPORAL}
@@ -93,7 +103,7 @@ def rule_persistent_low_ttc_pair(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(PACK_SQL + sustained_sql("cut_in_candidate") + "SELECT scenario_id, subject_id, frame_index, first_frame FROM s_hit")
 def rule_cut_in_developing(spark: SparkSession, sf: str) -> DataFrame:
-    return pack.temporal_events(pair_events(spark, sf), BY_TAG["cut_in_developing"]).select("scenario_id", "subject_id", "frame_index", "first_frame")
+    return pack.temporal_events(kept_pair_events(spark, sf), BY_TAG["cut_in_developing"]).select("scenario_id", "subject_id", "frame_index", "first_frame")
 
 
 def _sequence(tag: str) -> None:
@@ -112,6 +122,7 @@ _sequence("cut_in_risk")
 # Rules over the car alone.
 
 
+@B.remembered
 def sdc_stopped(spark: SparkSession, sf: str) -> DataFrame:
     rows = C.sdc_ok(spark, sf).filter(SEEN)
     for name, args in pack.STOPPED:
@@ -129,6 +140,7 @@ tag AS (SELECT scenario_id, track_id AS subject_id, step_index AS frame_index, t
 """
 
 
+@B.remembered
 def stopped_at_red(spark: SparkSession, sf: str) -> DataFrame:
     return light_predicates.near_red_stop(sdc_stopped(spark, sf), B.traffic_lights(spark, sf), 5.0).filter(BUILTIN("near_red_light_stop_point"))
 
@@ -181,52 +193,122 @@ _TWICE = R.REPEATED | {"min_lane_changes": 2, "min_lateral_displacement_m": 2.5}
 add("rule_sdc_repeated_lane_change", lambda spark, sf: reviewed(R.repeated_changes(spark, sf, _TWICE).filter("step_index = 10"), "sdc_repeated_lane_change", "track_id", 30), R.repeated_sql(2, 2.5) + review_sql("sdc_repeated_lane_change", "repeated", "track_id", 30, "AND step_index = 10"))
 
 
-@query(PACK_SQL + "SELECT scenario_id, frame_index, tag_name, subject_id FROM tag")
-def rul_01_single_frame(spark: SparkSession, sf: str) -> DataFrame:
-    return pair_events(spark, sf).select(*EVENT_OUT)
-
-
 @query(PACK_SQL + "SELECT scenario_id, subject_id, frame_index, tag_name, CASE tag_name WHEN 'cut_in_candidate' THEN 'debug' ELSE 'supporting' END AS intent, split_part(subject_id, ':', 1) AS ego_id, split_part(subject_id, ':', 2) AS target_id FROM tag")
 def rul_02_event_metadata(spark: SparkSession, sf: str) -> DataFrame:
     part = F.split("subject_id", ":", 2)
-    return pair_events(spark, sf).select("scenario_id", "subject_id", "frame_index", "tag_name", "intent", part[0].alias("ego_id"), part[1].alias("target_id"))
-
-
-def all_reviews(spark: SparkSession, sf: str) -> DataFrame:
-    """Both cut-in rules after episodes and dominance."""
-    events = pair_events(spark, sf)
-    rules = [BY_TAG["cut_in_confirmed"], BY_TAG["cut_in_risk"]]
-    found = None
-    for rule in rules:
-        own = pack.tagged(pack.temporal_events(events, rule), rule)
-        found = own if found is None else found.unionByName(own)
-    return pack.with_policies(found, rules)
+    return kept_pair_events(spark, sf).select("scenario_id", "subject_id", "frame_index", "tag_name", "intent", part[0].alias("ego_id"), part[1].alias("target_id"))
+
+
+# Whole runs over all rules.
+
+
+@B.remembered
+def frames_of(spark: SparkSession, sf: str) -> DataFrame:
+    """Every frame with its visibility and modalities."""
+    return align.causal(align.modalities(B.agent_states(spark, sf), B.traffic_lights(spark, sf), B.map_features(spark, sf)), B.scenarios(spark, sf), B.CURRENT, B.STEPS - 1 - B.CURRENT)
+
+
+def featured_rows(spark: SparkSession, sf: str) -> dict[str, tuple[DataFrame, str]]:
+    """For each featured rule the rows that hold, and the column of its subject."""
+    return {
+        "sdc_vehicle_stopped": (sdc_stopped(spark, sf), "track_id"),
+        "sdc_vehicle_stopped_at_red": (stopped_at_red(spark, sf), "track_id"),
+        "red_light_stop_line_approach": (C.before_line(spark, sf), "track_id"),
+        "red_light_stop_line_crossed": (C.after_line(spark, sf), "track_id"),
+        "red_light_running": (C.red_crossings(spark, sf), "track_id"),
+        "sdc_hard_braking": (C.braking_pairs(spark, sf), "subject_id"),
+        "sdc_blocked_unable_to_proceed": (C.blocked_pairs(spark, sf), "subject_id"),
+        "vru_close_interaction": (C.vru_pairs(spark, sf, prefilter=True), "subject_id"),
+        "lane_change_conflict": (R.conflict_pairs(spark, sf), "subject_id"),
+        "sdc_repeated_lane_change": (R.repeated_changes(spark, sf, _TWICE), "track_id"),
+    }
+
+
+@B.remembered
+def featured_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Events of the featured single-frame rules, each where it applies."""
+    rows, out = featured_rows(spark, sf), None
+    for rule in pack.FEATURED:
+        held, subject = rows[rule.tag]
+        own = pack.tagged(held.filter(SEEN).select("scenario_id", F.col("step_index").alias("frame_index"), F.col(subject).alias("subject_id")).withColumn("ts", F.col("frame_index") * B.STEP_S), rule)
+        out = own if out is None else out.unionByName(own)
+    return pack.eligible(out, pack.FEATURED, frames_of(spark, sf))
+
+
+@B.remembered
+def single_frame_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Events of all fifteen single-frame rules as a table, which the temporal rules and policies of a run read."""
+    return cut(kept_pair_events(spark, sf).unionByName(featured_events(spark, sf)))
+
+
+@B.remembered
+def full_run(spark: SparkSession, sf: str) -> DataFrame:
+    """All rules: single frames, gates, temporal rules, policies and the mode of evaluation."""
+    events = single_frame_events(spark, sf)
+    whole = events
+    for rule in pack.TEMPORAL:
+        whole = whole.unionByName(pack.tagged(pack.temporal_events(events, rule), rule))
+    return pack.with_policies(whole, pack.all_rules()).withColumn("evaluation_mode", F.lit("causal_online"))
+
+
+RAW_SQL = {t: f"SELECT scenario_id, subject_id, frame_index FROM ({B.SQL}{PACK_SQL} SELECT * FROM tag WHERE tag_name = '{t}')" for t in (*COND, "low_ttc_pair")}
+RAW_SQL |= {t: f"SELECT scenario_id, subject_id, frame_index FROM ({B.SQL}{STOP_SQL} SELECT * FROM tag WHERE tag_name = '{t}')" for t in ("sdc_vehicle_stopped", "sdc_vehicle_stopped_at_red")}
+RAW_SQL |= {t: f"SELECT scenario_id, subject_id, frame_index FROM ({C.SQL[f'rule_{t}']})" for t in ("red_light_stop_line_approach", "red_light_stop_line_crossed")}
+RAW_SQL |= {
+    t: f"SELECT DISTINCT scenario_id, {subject} AS subject_id, step_index AS frame_index FROM ({B.SQL}{sql} SELECT * FROM {source}) WHERE {SEEN} {extra}"
+    for t, (sql, source, subject, extra) in {
+        "red_light_running": (CROSSED_SQL, "crossed", "track_id", ""), "sdc_hard_braking": (C.BRAKING_SQL, "braking", "subject_id", ""), "sdc_blocked_unable_to_proceed": (C.BLOCKED_SQL, "blocked", "subject_id", "AND step_index = 10"),
+        "vru_close_interaction": (C.VRU_SQL, "vru", "subject_id", "AND lon >= 0 AND lon <= 16 AND abs(lat) <= 5 AND distance <= 12"), "lane_change_conflict": (R.CONFLICT_SQL, "conflict", "subject_id", "AND step_index = 10"),
+        "sdc_repeated_lane_change": (R.repeated_sql(2, 2.5), "repeated", "track_id", "AND step_index = 10"),
+    }.items()
+}
+SINGLE_SQL = " UNION ALL ".join(f"SELECT scenario_id, frame_index, '{t}' AS tag_name, subject_id FROM ({q})" for t, q in RAW_SQL.items())
+
+
+@query(SINGLE_SQL, "")
+def rul_01_single_frame(spark: SparkSession, sf: str) -> DataFrame:
+    return single_frame_events(spark, sf).select(*EVENT_OUT)
 
 
-def _both(tag: str, n: int, priority: int) -> str:
+def _both(tag: str, n: str, priority: int) -> str:
     return f"SELECT scenario_id, '{tag}' AS tag_name, '{tag}' AS rule_id, 'agent_pair' AS subject_type, subject_id, anchor AS frame_index, 'review' AS intent, 'cut_in' AS review_family, {priority} AS review_priority FROM {n}"
 
 
-@query(
-    PACK_SQL + chain_sql(list(BY_TAG["cut_in_risk"].steps), "b.ts >= a.anchor_ts - 0.8").replace("c_end", "r_end").replace("c0", "r0").replace("c1", "r1").replace("c2", "r2").replace("c3", "r3")
+CUT_IN_SQL = (
+    B.SQL + PACK_SQL + chain_sql(list(BY_TAG["cut_in_risk"].steps), "b.ts >= a.anchor_ts - 0.8").replace("c_end", "r_end").replace("c0", "r0").replace("c1", "r1").replace("c2", "r2").replace("c3", "r3")
     + chain_sql(list(BY_TAG["cut_in_confirmed"].steps), "b.ts >= a.anchor_ts - 0.8")
-    + ", found AS (" + _both("cut_in_risk", "r3", 20) + " UNION ALL " + _both("cut_in_confirmed", "c2", 10) + ")\n" + merged_sql("found", 1, "i") + R.DOMINANT + "SELECT scenario_id, tag_name, subject_id, frame_index, end_frame, event_count FROM kept"
+    + ", found AS (" + _both("cut_in_risk", "r3", 20) + " UNION ALL " + _both("cut_in_confirmed", "c2", 10) + ")\n" + merged_sql("found", 1, "i") + R.DOMINANT + "SELECT tag_name, scenario_id, subject_id, frame_index, end_frame, event_count FROM kept"
 )
+COMPACTED = ("adjacent_vehicle", "cut_in_lateral_approach", "same_path_overlap")
+ALONE = ("low_ttc_pair", "cut_in_candidate", "red_light_stop_line_approach", "red_light_stop_line_crossed")
+_OUT = "scenario_id, subject_id, frame_index, end_frame, event_count"
+RUN_SQL = " UNION ALL ".join([
+    f"SELECT * FROM ({CUT_IN_SQL})",
+    *[f"SELECT '{t}', {_OUT} FROM ({B.SQL}, src AS (SELECT scenario_id, '{t}' AS tag_name, '{t}' AS rule_id, 'pair' AS subject_type, subject_id, frame_index, 'x' AS intent, NULL AS review_family, 0 AS review_priority FROM ({RAW_SQL[t]})) {merged_sql('src', 1, 'i')} SELECT * FROM i)" for t in COMPACTED],
+    *[f"SELECT '{t}', scenario_id, subject_id, frame_index, frame_index, 1 FROM ({RAW_SQL[t]})" for t in ALONE],
+    *[f"SELECT '{t}', scenario_id, subject_id, frame_index, frame_index, 1 FROM ({C.SQL[f'rule_{t}']})" for t in ("cut_in_developing", "sdc_vehicle_stopped_for_3_frames", "sdc_vehicle_still_stopped_at_red")],
+    *[f"SELECT '{t}', {_OUT} FROM ({C.SQL[f'rule_{t}']})" for t in ("sdc_vehicle_stopped", "sdc_vehicle_stopped_at_red", "persistent_low_ttc_pair", "red_light_running", "sdc_hard_braking", "sdc_blocked_unable_to_proceed", "vru_close_interaction", "lane_change_conflict", "sdc_repeated_lane_change")],
+])
+
+
+@query(f"SELECT scenario_id, tag_name, subject_id, frame_index, end_frame, event_count, 'causal_online' AS evaluation_mode FROM ({RUN_SQL})", "")
 def run_01_full_evaluation(spark: SparkSession, sf: str) -> DataFrame:
-    return all_reviews(spark, sf).select("scenario_id", "tag_name", "subject_id", "frame_index", "end_frame", "event_count")
+    return full_run(spark, sf).select("scenario_id", "tag_name", "subject_id", "frame_index", "end_frame", "event_count", "evaluation_mode")
 
 
-@query(PACK_SQL + "SELECT s.scenario_id, 11 AS input_frames, 5 AS future_frames, count(tag_name) AS events, count(DISTINCT tag_name) AS tags FROM scen s LEFT JOIN tag USING (scenario_id) GROUP BY s.scenario_id")
+@query(f"SELECT s.scenario_id, 11 AS input_frames, 5 AS future_frames, count(tag_name) AS events, count(DISTINCT tag_name) AS tags FROM (SELECT DISTINCT l_orderkey AS scenario_id FROM lineitem) s LEFT JOIN ({RUN_SQL}) USING (scenario_id) GROUP BY s.scenario_id", "")
 def run_02_scenario_stats(spark: SparkSession, sf: str) -> DataFrame:
     frames = B.agent_states(spark, sf).filter("track_id = '0'").groupBy("scenario_id").agg(F.count_if(F.col("step_index") <= B.CURRENT).cast("int").alias("input_frames"), F.count_if(F.col("step_index") > B.CURRENT).cast("int").alias("future_frames"))
-    counts = pair_events(spark, sf).groupBy("scenario_id").agg(F.count("*").alias("events"), F.count_distinct("tag_name").alias("tags"))
+    counts = full_run(spark, sf).groupBy("scenario_id").agg(F.count("*").alias("events"), F.count_distinct("tag_name").alias("tags"))
     return frames.join(counts, "scenario_id", "left").select("scenario_id", "input_frames", "future_frames", F.coalesce("events", F.lit(0)).alias("events"), F.coalesce("tags", F.lit(0)).alias("tags"))
 
 
-@query(PACK_SQL + f"SELECT tag_name AS rule_id, (SELECT count(*) FROM pairs WHERE {SEEN}) AS candidates, count(*) AS events, count(DISTINCT (scenario_id, subject_id)) AS subjects FROM tag GROUP BY tag_name")
+@query(f"{B.SQL}, singles AS ({SINGLE_SQL}) SELECT tag_name AS rule_id, CASE WHEN tag_name LIKE 'sdc_vehicle%' OR tag_name LIKE 'red_light%' OR tag_name = 'sdc_repeated_lane_change' THEN (SELECT count(*) FROM sdc WHERE {SEEN}) ELSE (SELECT count(*) FROM pairs WHERE {SEEN}) END AS candidates, count(*) AS events, count(DISTINCT (scenario_id, subject_id)) AS subjects FROM singles GROUP BY tag_name", "")
 def run_03_rule_counters(spark: SparkSession, sf: str) -> DataFrame:
-    seen = seen_pairs(spark, sf).agg(F.count("*").alias("candidates"))
-    rules = pair_events(spark, sf).groupBy("tag_name").agg(F.count("*").alias("events"), F.count_distinct("scenario_id", "subject_id").alias("subjects"))
-    return rules.join(F.broadcast(seen)).select(F.col("tag_name").alias("rule_id"), "candidates", "events", "subjects")
-
-
+    """Candidates, events and subjects of each single-frame rule that has events."""
+    pairs = seen_pairs(spark, sf).agg(F.count("*").alias("candidates")).withColumn("of_pairs", F.lit(True))
+    cars = C.sdc_ok(spark, sf).filter(SEEN).agg(F.count("*").alias("candidates")).withColumn("of_pairs", F.lit(False))
+    over_cars = [r.tag for r in pack.FEATURED if r.subject == "sdc_agent"]
+    rules = single_frame_events(spark, sf).groupBy("tag_name").agg(F.count("*").alias("events"), F.count_distinct("scenario_id", "subject_id").alias("subjects"))
+    rules = rules.withColumn("of_pairs", ~F.col("tag_name").isin(*over_cars))
+    return rules.join(F.broadcast(pairs.union(cars)), "of_pairs").select(F.col("tag_name").alias("rule_id"), "candidates", "events", "subjects")  # two rows of counts

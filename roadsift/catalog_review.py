@@ -18,6 +18,7 @@ grouped AS (SELECT *, CASE intent WHEN 'review' THEN 'primary' WHEN 'supporting'
 """
 
 
+@B.remembered
 def grouped(spark: SparkSession, sf: str) -> DataFrame:
     rows = B.tag_events(spark, sf).withColumn("risk_level", F.when(F.col("review_priority") >= 70, "high").when(F.col("review_priority") >= 50, "medium"))
     return rows.withColumn("review_group", review.group_of(F.col("tag_name"), F.col("intent"), F.col("risk_level")))
@@ -100,10 +101,9 @@ def rev_15_bounds(spark: SparkSession, sf: str) -> DataFrame:
     return review.bounds(B.agent_states(spark, sf).filter("valid"), ["scenario_id"], 10.0)
 
 
-@query("SELECT p.scenario_id, p.step_index, p.subject_id, least(ego_x, other_x) - 5 AS min_x, least(ego_y, other_y) - 5 AS min_y, greatest(ego_x, other_x) + 5 AS max_x, greatest(ego_y, other_y) + 5 AS max_y FROM pairs p WHERE distance <= 4.1")
+@query("SELECT p.scenario_id, p.step_index, p.subject_id, least(ego_x, other_x) - 5 AS min_x, least(ego_y, other_y) - 5 AS min_y, greatest(ego_x, other_x) + 5 AS max_x, greatest(ego_y, other_y) + 5 AS max_y FROM pairs p")
 def rev_16_event_bounds(spark: SparkSession, sf: str) -> DataFrame:
-    near = C.pairs_of(spark, sf).filter("distance <= 4.1")
-    points = near.select("scenario_id", "step_index", "subject_id", F.explode(F.array(F.struct(F.col("ego_x").alias("x"), F.col("ego_y").alias("y")), F.struct(F.col("other_x").alias("x"), F.col("other_y").alias("y")))).alias("p"))
+    points = C.pairs_of(spark, sf).select("scenario_id", "step_index", "subject_id", F.explode(F.array(F.struct(F.col("ego_x").alias("x"), F.col("ego_y").alias("y")), F.struct(F.col("other_x").alias("x"), F.col("other_y").alias("y")))).alias("p"))
     return review.bounds(points.select("scenario_id", "step_index", "subject_id", "p.*"), ["scenario_id", "step_index", "subject_id"], 5.0)
 
 
@@ -113,9 +113,17 @@ def rev_17_map_crop(spark: SparkSession, sf: str) -> DataFrame:
     return review.crop_map(B.map_features(spark, sf), boxes, 2).select("scenario_id", "feature_id")
 
 
-@query(", n AS (SELECT scenario_id, count(*) AS k FROM ev GROUP BY ALL) SELECT s.scenario_id, 16 AS n_frames, CAST(coalesce(n.k, 0) AS INTEGER) AS n_events FROM scen s LEFT JOIN n USING (scenario_id)")
+@query(""", n AS (SELECT scenario_id, count(*) AS k FROM ev GROUP BY ALL), a AS (SELECT scenario_id, count(*) AS k, sum(x) AS x, max(y) FILTER (WHERE step_index = 15) AS y FROM st GROUP BY ALL)
+SELECT s.scenario_id, 16 AS n_frames, CAST(coalesce(n.k, 0) AS INTEGER) AS n_events, CAST(a.k AS INTEGER) AS n_states, round(a.x, 3) + 0 AS sum_x, a.y + 0 AS last_y FROM scen s JOIN a USING (scenario_id) LEFT JOIN n USING (scenario_id)""")
 def rev_18_payload(spark: SparkSession, sf: str) -> DataFrame:
-    return review.payload(B.agent_states(spark, sf), B.tag_events(spark, sf)).select("scenario_id", "n_frames", "n_events")
+    """Sizes and sums of each document, read back from its JSON text."""
+    rows = review.payload(B.agent_states(spark, sf), B.tag_events(spark, sf))
+    shape = "scenario_id long, frames array<struct<step_index:int,ts:double,agents:array<struct<track_id:string,x:double,y:double,heading:double,valid:boolean>>>>"
+    read = rows.select("scenario_id", "n_frames", "n_events", F.from_json("document", shape).alias("d"))
+    agents = F.flatten("d.frames.agents")
+    total = F.aggregate(agents, F.lit(0.0), lambda s, a: s + a["x"])
+    last = F.array_max(F.element_at("d.frames.agents", -1)["y"])
+    return read.select("scenario_id", "n_frames", "n_events", F.size(agents).alias("n_states"), (F.round(total, 3) + F.lit(0.0)).alias("sum_x"), (last + F.lit(0.0)).alias("last_y"))
 
 
 @query(EVR + "SELECT scenario_id, review_group, tag_name, count(*) AS events, min(frame_index) AS first_frame FROM grouped GROUP BY ALL")
@@ -143,10 +151,12 @@ win AS (SELECT *, greatest(least(trigger_ts, 1.875) - 0.5, 0) AS start_ts, least
 """
 
 
+@B.remembered
 def trigger(spark: SparkSession, sf: str) -> DataFrame:
     return scenario_ir.triggers(B.scenarios(spark, sf), B.tag_events(spark, sf), B.STEP_S)
 
 
+@B.remembered
 def window(spark: SparkSession, sf: str) -> DataFrame:
     rows = trigger(spark, sf).withColumn("trigger_ts", F.least("trigger_ts", F.lit(1.875)))
     extent = B.scenarios(spark, sf).select("scenario_id", F.lit(0.0).alias("first_ts"), F.lit(1.875).alias("last_ts"))
@@ -184,21 +194,33 @@ def ir_06_map_context(spark: SparkSession, sf: str) -> DataFrame:
     return B.map_features(spark, sf).groupBy("scenario_id", "feature_type").agg(F.count("*").alias("features"), F.sum(F.size("polyline")).alias("points"))
 
 
-# Feedback documents from orders.
+# Feedback documents from orders, some of them faulty.
 
-FBK_SQL = """WITH f AS (SELECT o_orderkey AS seq, 'run-' || (o_orderkey % 4000) AS run_id, CASE WHEN o_orderkey % 11 = 0 THEN 'bad' ELSE md5(CAST(o_custkey AS VARCHAR)) END AS scene_id,
-  CASE o_orderstatus WHEN 'O' THEN 'completed' WHEN 'F' THEN 'failed' ELSE 'cancelled' END AS status, CASE WHEN o_orderpriority LIKE '1%' THEN 'fail' WHEN o_orderpriority LIKE '5%' THEN 'not_run' ELSE 'pass' END AS outcome, o_totalprice - 2000 AS duration_sec FROM orders),
-e AS (SELECT *, concat_ws(',', CASE WHEN scene_id = 'bad' THEN 'scene_id' END, CASE WHEN duration_sec < 0 THEN 'duration_sec' END, CASE WHEN status = 'completed' AND outcome = 'not_run' THEN 'finished' END) AS errors FROM f)
+FBK_SQL = """WITH f AS (SELECT o_orderkey AS seq, CASE WHEN o_orderkey % 23 = 0 THEN 'shared_exchange_protocol.v0' ELSE 'shared_exchange_protocol.v1' END AS protocol_version, CASE WHEN o_orderkey % 19 = 0 THEN '-bad' ELSE 'm.' || o_orderkey END AS message_id,
+  o_orderkey % 37 <> 0 AS dated, 'run-' || (o_orderkey % 4000) AS run_id, CASE WHEN o_orderkey % 11 = 0 THEN 'bad' ELSE md5(CAST(o_custkey AS VARCHAR)) END AS scene_id,
+  CASE o_orderstatus WHEN 'O' THEN 'succeeded' WHEN 'F' THEN 'failed' ELSE 'pending' END AS status,
+  CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'completed' WHEN '2' THEN 'ego_closed_loop' WHEN '3' THEN 'not_run' WHEN '4' THEN 'planned' ELSE 'failed' END AS runtime_status,
+  CASE o_custkey % 3 WHEN 0 THEN 'pass' WHEN 1 THEN 'fail' ELSE 'unknown' END AS outcome, o_orderkey % 29 <> 0 AS versioned, o_orderkey % 31 <> 0 AS complete, o_orderkey % 41 <> 0 AS timed FROM orders),
+e AS (SELECT *, concat_ws(',', CASE WHEN seq % 23 = 0 THEN 'protocol_version' END, CASE WHEN message_id = '-bad' THEN 'message_id' END, CASE WHEN NOT dated THEN 'created_at' END, CASE WHEN NOT timed THEN 'payload.finished_at' END,
+  CASE WHEN scene_id = 'bad' THEN 'scene_id' END, CASE WHEN status = 'pending' THEN 'status' END, CASE WHEN NOT versioned THEN 'algorithm' END, CASE WHEN NOT complete THEN 'summary' END) AS errors FROM f)
 """
 
 
+@B.remembered
 def results(spark: SparkSession, sf: str) -> DataFrame:
-    o = B.table(spark, sf, "orders")
+    o, key = B.table(spark, sf, "orders"), F.col("o_orderkey")
+    pick = lambda c, names, rest: F.coalesce(*[F.when(c == k, v) for k, v in names.items()], F.lit(rest))
+    summary = F.map_from_arrays(F.array(*[F.lit(n) for n in feedback.SUMMARY]), F.array(*[F.lit(float(k)) for k in range(len(feedback.SUMMARY))]))
+    payload = {
+        "run_id": F.concat(F.lit("run-"), (key % 4000).cast("string")), "scene_id": F.when(key % 11 == 0, "bad").otherwise(F.md5(F.col("o_custkey").cast("string"))), "scene_version": F.lit("1"),
+        "status": pick(F.col("o_orderstatus"), {"O": "succeeded", "F": "failed"}, "pending"), "runtime_status": pick(F.substring("o_orderpriority", 1, 1), {"1": "completed", "2": "ego_closed_loop", "3": "not_run", "4": "planned"}, "failed"),
+        "outcome": pick(F.col("o_custkey") % 3, {0: "pass", 1: "fail"}, "unknown"), "algorithm": F.when(key % 29 == 0, F.create_map(F.lit("algorithm_id"), F.lit("a"))).otherwise(F.create_map(F.lit("algorithm_id"), F.lit("a"), F.lit("algorithm_version"), F.lit("2"))),
+        "odd": F.create_map(F.lit("odd_id"), F.lit("city")), "started_at": F.col("o_orderdate"), "finished_at": F.when(key % 41 != 0, F.col("o_orderdate")), "duration_sec": F.col("o_totalprice"),
+        "summary": F.when(key % 31 == 0, F.map_filter(summary, lambda k, v: k != "max_jerk")).otherwise(summary), "artifacts": F.array(F.lit("log")),
+    }
     return o.select(
-        F.col("o_orderkey").alias("seq"), F.concat(F.lit("run-"), (F.col("o_orderkey") % 4000).cast("string")).alias("run_id"),
-        F.when(F.col("o_orderkey") % 11 == 0, "bad").otherwise(F.md5(F.col("o_custkey").cast("string"))).alias("scene_id"),
-        F.when(F.col("o_orderstatus") == "O", "completed").when(F.col("o_orderstatus") == "F", "failed").otherwise("cancelled").alias("status"),
-        F.when(F.col("o_orderpriority").startswith("1"), "fail").when(F.col("o_orderpriority").startswith("5"), "not_run").otherwise("pass").alias("outcome"), (F.col("o_totalprice") - 2000).alias("duration_sec"),
+        key.alias("seq"), F.when(key % 23 == 0, "shared_exchange_protocol.v0").otherwise("shared_exchange_protocol.v1").alias("protocol_version"), F.lit("evaluation_run_result.v1").alias("schema_version"), F.lit("evaluation.run.result").alias("message_type"),
+        F.when(key % 19 == 0, "-bad").otherwise(F.concat(F.lit("m."), key.cast("string"))).alias("message_id"), F.when(key % 37 != 0, F.col("o_orderdate")).alias("created_at"), F.struct(*[c.alias(n) for n, c in payload.items()]).alias("payload"),
     )
 
 
@@ -207,23 +229,28 @@ def fbk_01_validate(spark: SparkSession, sf: str) -> DataFrame:
     return results(spark, sf).select("seq", F.array_join(feedback.errors(), ",").alias("errors"))
 
 
-DISPOSED = "CASE WHEN status = 'completed' AND outcome = 'pass' THEN 'validated' WHEN status = 'failed' OR outcome = 'fail' THEN 'failed' ELSE 'incomplete' END"
+DONE = "status = 'succeeded' AND runtime_status IN ('completed', 'ego_closed_loop') AND outcome = 'pass'"
+FAILED = "status = 'failed' OR runtime_status = 'failed' OR outcome = 'fail'"
 
 
-@query(f"SELECT seq, {DISPOSED} AS disposition, CASE {DISPOSED} WHEN 'validated' THEN 'low' WHEN 'failed' THEN 'high' ELSE 'medium' END AS priority FROM e WHERE errors = ''", FBK_SQL)
+@query(f"SELECT seq, CASE WHEN {DONE} THEN 'validated' WHEN {FAILED} THEN 'failed' ELSE 'incomplete' END AS state, CASE WHEN {DONE} THEN 'normal' WHEN {FAILED} THEN 'high' ELSE 'normal' END AS priority, CASE WHEN {DONE} THEN 'pass' WHEN {FAILED} THEN 'investigate' ELSE 'unknown' END AS disposition FROM e WHERE errors = ''", FBK_SQL)
 def fbk_02_classify(spark: SparkSession, sf: str) -> DataFrame:
-    d = feedback.disposition()
-    return results(spark, sf).filter(F.size(feedback.errors()) == 0).select("seq", d["disposition"].alias("disposition"), d["priority"].alias("priority"))
+    return results(spark, sf).filter(F.size(feedback.errors()) == 0).select("seq", *[c.alias(n) for n, c in feedback.classification().items()])
+
+
+@B.remembered
+def flat_results(spark: SparkSession, sf: str) -> DataFrame:
+    return results(spark, sf).select("seq", "payload.run_id", "payload.scene_id", "payload.status", "payload.outcome")
 
 
 @query("""SELECT seq, sha256('{"outcome":"' || outcome || '","run_id":"' || run_id || '","scene_id":"' || scene_id || '","status":"' || status || '"}') AS digest FROM e""", FBK_SQL)
 def fbk_03_digest(spark: SparkSession, sf: str) -> DataFrame:
-    return results(spark, sf).select("seq", feedback.digest("run_id", "scene_id", "status", "outcome").alias("digest"))
+    return flat_results(spark, sf).select("seq", feedback.digest("run_id", "scene_id", "status", "outcome").alias("digest"))
 
 
 @query("""SELECT seq, run_id, CASE WHEN row_number() OVER w = 1 THEN 'new' WHEN status || outcome || scene_id = first_value(status || outcome || scene_id) OVER w THEN 'duplicate' ELSE 'conflict' END AS action FROM e WINDOW w AS (PARTITION BY run_id ORDER BY seq)""", FBK_SQL)
 def fbk_04_store(spark: SparkSession, sf: str) -> DataFrame:
-    batch = results(spark, sf).withColumn("digest", feedback.digest("run_id", "scene_id", "status", "outcome"))
+    batch = flat_results(spark, sf).withColumn("digest", feedback.digest("run_id", "scene_id", "status", "outcome"))
     empty = batch.filter("false").select("run_id", "digest")
     return feedback.absorb(batch, empty).select("seq", "run_id", "action")
 
@@ -231,6 +258,7 @@ def fbk_04_store(spark: SparkSession, sf: str) -> DataFrame:
 # Scene normalisation over relational scene tables.
 
 
+@B.remembered
 def samples(spark: SparkSession, sf: str) -> DataFrame:
     rows = C.sdc_ok(spark, sf)
     return rows.select(F.col("scenario_id").alias("scene"), F.concat_ws("-", "scenario_id", "step_index").alias("token"), (F.col("step_index") * 125000 + 7_000_000).cast("long").alias("timestamp"), "x", "y", "heading")
@@ -314,6 +342,7 @@ def nrm_16_lane_topology(spark: SparkSession, sf: str) -> DataFrame:
 # Nested records.
 
 
+@B.remembered
 def records(spark: SparkSession, sf: str) -> DataFrame:
     """The scenario tables nested, one record a scenario; every 17th holds a wrong index and every 19th lacks lights."""
     code = F.when(F.col("object_type") == "vehicle", 1).when(F.col("object_type") == "pedestrian", 2).otherwise(3)

@@ -16,6 +16,7 @@ from roadsift.operators.predicates import BUILTIN
 REPEATED = {"window_seconds": 3.0, "min_lane_changes": 1, "min_speed_mps": 2.0, "min_stable_duration_seconds": 0.1, "min_lateral_displacement_m": 1.5}
 
 
+@B.remembered
 def repeated_changes(spark: SparkSession, sf: str, args: dict = REPEATED) -> DataFrame:
     rows = lane_predicates.repeated_changes(C.sdc_lanes(spark, sf, 1.5), features.connected_lanes(B.map_features(spark, sf)), args)
     return rows.filter(BUILTIN("sdc_repeated_lane_change", min_lane_changes=args["min_lane_changes"]))
@@ -43,11 +44,13 @@ CONFLICT = {"max_front_longitudinal_m": 25.0, "max_behind_longitudinal_m": 20.0,
 
 
 def with_other_lane(pairs: DataFrame, spark: SparkSession, sf: str, lateral: float, heading: float = 0.7) -> DataFrame:
-    others = pairs.select("scenario_id", "step_index", F.col("other_id").alias("track_id"), F.col("other_x").alias("x"), F.col("other_y").alias("y"), F.col("other_heading").alias("heading")).distinct()
-    lane = features.lane_match(others, C.segments(spark, sf), lateral, heading).select("scenario_id", "step_index", F.col("track_id").alias("other_id"), F.col("lane_id").alias("other_lane"))
-    return pairs.join(lane, ["scenario_id", "step_index", "other_id"], "left")
+    """Pairs of the car with the lane of the other one, of which each frame has one row."""
+    others = pairs.withColumns({"x": F.col("other_x"), "y": F.col("other_y"), "heading": F.col("other_heading")})
+    lane = features.lane_match(others, C.segments(spark, sf), lateral, heading, keys=("scenario_id", "step_index", "other_id"))
+    return lane.select(*pairs.columns, F.col("lane_id").alias("other_lane"))
 
 
+@B.remembered
 def conflict_pairs(spark: SparkSession, sf: str) -> DataFrame:
     """The car's lateral motion is checked before it is paired."""
     moved = lane_predicates.ego_lane_move(C.sdc_lanes(spark, sf, 1.8), 3.0).filter("lateral_range >= 1.5 AND matched >= 2 AND first_lane <> last_lane AND moved >= 1.5")
@@ -76,7 +79,8 @@ def prd_24_sdc_lane_change_conflict(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def lane_pairs(pairs: DataFrame, spark: SparkSession, sf: str) -> DataFrame:
-    ego = C.sdc_lanes(spark, sf, 1.8).select("scenario_id", "step_index", F.col("lane_id").alias("ego_lane"))
+    car = C.sdc_ok(spark, sf).select("scenario_id", "step_index", "track_id", "x", "y", "heading")
+    ego = features.lane_match(car, C.segments(spark, sf), 1.8, 0.7).select("scenario_id", "step_index", F.col("lane_id").alias("ego_lane"))
     return with_other_lane(pairs, spark, sf, 1.8).join(ego, ["scenario_id", "step_index"]).withColumn("has_map", F.lit(True))
 
 
@@ -107,9 +111,9 @@ def sub_02_frame(spark: SparkSession, sf: str) -> DataFrame:
     return B.agent_states(spark, sf).select("scenario_id", "step_index").distinct()
 
 
-@query("SELECT scenario_id, step_index, light_pos, CAST(lane_id AS VARCHAR) AS subject_id FROM lights WHERE step_index = 10")
+@query("SELECT scenario_id, step_index, light_pos, CAST(lane_id AS VARCHAR) AS subject_id FROM lights")
 def sub_03_lane(spark: SparkSession, sf: str) -> DataFrame:
-    return subjects.lanes_of(B.traffic_lights(spark, sf)).filter("step_index = 10")
+    return subjects.lanes_of(B.traffic_lights(spark, sf))
 
 
 TURNED_SQL = ", turned AS (SELECT a.scenario_id, a.step_index, a.track_id AS ego_id, b.track_id AS other_id, (b.x - a.x) * cos(a.heading) + (b.y - a.y) * sin(a.heading) AS lon, (b.y - a.y) * cos(a.heading) - (b.x - a.x) * sin(a.heading) AS lat, sqrt((b.x - a.x) * (b.x - a.x) + (b.y - a.y) * (b.y - a.y)) AS distance FROM ok a JOIN ok b ON a.scenario_id = b.scenario_id AND a.step_index = b.step_index AND a.track_id <> b.track_id)\n"
@@ -238,6 +242,7 @@ EV_T = ", tag AS (SELECT DISTINCT scenario_id, subject_id, frame_index, frame_in
 ISLES = ", one AS (SELECT scenario_id, subject_id, frame_index, ts, frame_index - row_number() OVER (PARTITION BY scenario_id, subject_id ORDER BY frame_index) AS isle FROM tag WHERE tag_name = 'view')\n"
 
 
+@B.remembered
 def wide_tags(spark: SparkSession, sf: str) -> DataFrame:
     """Tag events with one subject a scenario, so that tags follow each other."""
     return B.tag_events(spark, sf).withColumn("subject_id", F.lit("all"))
@@ -293,7 +298,7 @@ def tmp_05_temporal_event(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("scenario_id", "frame_index", F.array_join(F.col("supporting_frames").cast("array<string>"), ",").alias("supporting"))
 
 
-@query(ALL_T + chain_sql(CHAIN, "b.ts >= a.anchor_ts - 1.0") + "SELECT c.scenario_id, c.anchor AS frame_index, sum(e.review_priority) AS support FROM c2 c JOIN ev e ON e.scenario_id = c.scenario_id AND e.frame_index BETWEEN c.first_frame AND c.place GROUP BY ALL")
+@query(ALL_T + chain_sql(CHAIN, "b.ts >= a.anchor_ts - 1.0") + "SELECT c.scenario_id, c.anchor AS frame_index, CAST(sum(e.review_priority) AS BIGINT) AS support FROM c2 c JOIN ev e ON e.scenario_id = c.scenario_id AND e.frame_index BETWEEN c.first_frame AND c.place GROUP BY ALL")
 def tmp_06_supporting_metadata(spark: SparkSession, sf: str) -> DataFrame:
     tags = wide_tags(spark, sf)
     found = temporal.sequence(tags, CHAIN, seconds=1.0).select("scenario_id", "frame_index", F.explode(F.sequence("first_frame", "last_frame")).alias("at"))

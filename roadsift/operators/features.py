@@ -73,26 +73,30 @@ def lane_segments(features: DataFrame) -> DataFrame:
     return rows.withColumn("s_before", F.expr(f"coalesce(sum(length) {before}, 0.0D)")).withColumn("order", F.struct("feature_pos", "i"))
 
 
-CELL_M = 10.0
+CELL_M = 25.0
 
 
 def lane_match(agents: DataFrame, segments: DataFrame, max_lateral: float, max_heading: float, weight: float = 3.0, keys: tuple[str, ...] = ("scenario_id", "step_index", "track_id")) -> DataFrame:
     """agents with lane_id, lane_lateral, lane_s and lane_heading of the best lane segment in reach, null if none.
 
-    Segments and agents meet in grid cells; the score is lateral distance + weight * heading difference
+    Segments and agents meet in grid cells, and an agent in several cells becomes one row again with its
+    best segment; the score is lateral distance + weight * heading difference
     and ties go to the earlier segment.
     """
     cells = lambda lo, hi: F.sequence(F.floor(lo / CELL_M), F.floor(hi / CELL_M))
     x1, y1 = F.col("x0") + F.col("dx"), F.col("y0") + F.col("dy")
     filed = segments.withColumn("cx", F.explode(cells(F.least("x0", x1), F.greatest("x0", x1)))).withColumn("cy", F.explode(cells(F.least("y0", y1), F.greatest("y0", y1))))
-    here = agents.select(*keys, "x", "y", "heading").withColumn("cx", F.explode(cells(F.col("x") - max_lateral, F.col("x") + max_lateral))).withColumn("cy", F.explode(cells(F.col("y") - max_lateral, F.col("y") + max_lateral)))
+    rest = [c for c in agents.columns if c not in keys]
+    here = agents.withColumn("cx", F.explode(cells(F.col("x") - max_lateral, F.col("x") + max_lateral))).withColumn("cy", F.explode(cells(F.col("y") - max_lateral, F.col("y") + max_lateral)))
     t = ((F.col("x") - F.col("x0")) * F.col("dx") + (F.col("y") - F.col("y0")) * F.col("dy")) / (F.col("length") * F.col("length"))
-    met = here.join(filed, ["scenario_id", "cx", "cy"]).withColumn("t", F.greatest(F.lit(0.0), F.least(F.lit(1.0), t)))
-    off_x, off_y = F.col("x") - F.col("x0") - F.col("t") * F.col("dx"), F.col("y") - F.col("y0") - F.col("t") * F.col("dy")
-    met = met.withColumns({"lane_lateral": F.sqrt(off_x * off_x + off_y * off_y), "lane_heading": wrapped_once(F.col("heading"), F.atan2("dy", "dx")), "lane_s": F.col("s_before") + F.col("t") * F.col("length")})
-    met = met.filter((F.col("lane_lateral") <= max_lateral) & (F.col("lane_heading") <= max_heading))
-    best = met.groupBy(*keys).agg(F.min_by(F.struct("lane_id", "lane_lateral", "lane_s", "lane_heading"), F.struct(F.col("lane_lateral") + weight * F.col("lane_heading"), "order")).alias("_m"))
-    return agents.join(best, list(keys), "left").select(*agents.columns, "_m.*")
+    t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), t))
+    off_x, off_y = F.col("x") - F.col("x0") - t * F.col("dx"), F.col("y") - F.col("y0") - t * F.col("dy")
+    lateral, turned = F.sqrt(off_x * off_x + off_y * off_y), wrapped_once(F.col("heading"), F.atan2("dy", "dx"))
+    near = (F.col("h.scenario_id") == F.col("f.scenario_id")) & (F.col("h.cx") == F.col("f.cx")) & (F.col("h.cy") == F.col("f.cy")) & (lateral <= max_lateral) & (turned <= max_heading)
+    found = F.struct("lane_id", lateral.alias("lane_lateral"), (F.col("s_before") + t * F.col("length")).alias("lane_s"), turned.alias("lane_heading"))
+    met = here.alias("h").join(filed.alias("f"), near, "left").select("h.*", F.when(F.col("lane_id").isNotNull(), found).alias("_m"), "order")
+    best = met.groupBy(*keys).agg(F.first(F.struct(*rest)).alias("_a"), F.min_by("_m", F.when(F.col("_m").isNotNull(), F.struct(F.col("_m.lane_lateral") + weight * F.col("_m.lane_heading"), "order"))).alias("_m"))
+    return best.select(*[F.col(c) if c in keys else F.col(f"_a.{c}") for c in agents.columns], "_m.*")
 
 
 def red_lanes(lights: DataFrame, features: DataFrame) -> DataFrame:

@@ -6,25 +6,46 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Fixed values of the result envelope.
-STATUSES = ("completed", "failed", "cancelled")
-OUTCOMES = ("pass", "fail", "not_run")
-SCENE_ID, RUN_ID = "^[0-9a-f]{32}$", "^[A-Za-z0-9._-]+$"
+CONSTANTS = {"protocol_version": "shared_exchange_protocol.v1", "schema_version": "evaluation_run_result.v1", "message_type": "evaluation.run.result"}
+SCENE_ID, SAFE_ID = "^[0-9a-f]{32}$", "^[A-Za-z0-9][A-Za-z0-9._-]{0,127}$"
+STATUSES = ("succeeded", "failed", "cancelled")
+RAN = ("completed", "ego_closed_loop", "interactive_closed_loop")
+RUNTIME_STATUSES = ("not_run", "planned", *RAN, "failed")
+OUTCOMES = ("pass", "fail", "unknown")
+PAYLOAD = ("run_id", "scene_id", "scene_version", "status", "runtime_status", "outcome", "algorithm", "odd", "started_at", "finished_at", "duration_sec", "summary", "artifacts")
+SUMMARY = ("collision_count", "min_ttc", "route_progress", "hard_brake_count", "max_jerk", "control_timeout_count")
+IDENTITIES = {"algorithm": ("algorithm_id", "algorithm_version"), "odd": ("odd_id",)}
+
+
+def _has(field: str, names: tuple[str, ...]) -> Column:
+    out = F.lit(True)
+    for n in names:
+        out = out & F.map_contains_key(F.col(f"payload.{field}"), n)
+    return out
 
 
 def errors() -> Column:
-    """Names of the fields of a result that are missing or wrong."""
-    checks = {
-        "run_id": F.col("run_id").rlike(RUN_ID), "scene_id": F.col("scene_id").rlike(SCENE_ID), "status": F.col("status").isin(*STATUSES), "outcome": F.col("outcome").isin(*OUTCOMES),
-        "duration_sec": F.col("duration_sec") >= 0, "finished": (F.col("status") != "completed") | (F.col("outcome") != "not_run"),
-    }
+    """Names of what is missing or wrong in a result, in the order of the checks.
+
+    A result has the envelope's columns and ``payload``, a struct of PAYLOAD whose algorithm, odd and
+    summary are maps. A field that is null counts as missing.
+    """
+    checks = {n: F.col(n) == v for n, v in CONSTANTS.items()}
+    checks |= {"message_id": F.col("message_id").rlike(SAFE_ID), "created_at": F.col("created_at").isNotNull(), "payload": F.col("payload").isNotNull()}
+    checks |= {f"payload.{n}": F.col(f"payload.{n}").isNotNull() for n in PAYLOAD}
+    checks |= {"run_id": F.col("payload.run_id").rlike(SAFE_ID), "scene_id": F.col("payload.scene_id").rlike(SCENE_ID), "status": F.col("payload.status").isin(*STATUSES)}
+    checks |= {"runtime_status": F.col("payload.runtime_status").isin(*RUNTIME_STATUSES), "outcome": F.col("payload.outcome").isin(*OUTCOMES)}
+    checks |= {n: _has(n, names) for n, names in {**IDENTITIES, "summary": SUMMARY}.items()}
     return F.array_compact(F.array(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(n)) for n, ok in checks.items()]))
 
 
-def disposition() -> dict[str, Column]:
-    """Disposition and priority of a valid result."""
-    done = (F.col("status") == "completed") & (F.col("outcome") == "pass")
-    failed = (F.col("status") == "failed") | (F.col("outcome") == "fail")
-    return {"disposition": F.when(done, "validated").when(failed, "failed").otherwise("incomplete"), "priority": F.when(done, "low").when(failed, "high").otherwise("medium")}
+def classification() -> dict[str, Column]:
+    """State, priority and disposition of a valid result."""
+    status, runtime, outcome = F.col("payload.status"), F.col("payload.runtime_status"), F.col("payload.outcome")
+    done = (status == "succeeded") & runtime.isin(*RAN) & (outcome == "pass")
+    failed = status.isin("failed", "cancelled") | (runtime == "failed") | (outcome == "fail")
+    three = lambda a, b, c: F.when(done, a).when(failed, b).otherwise(c)
+    return {"state": three("validated", "failed", "incomplete"), "priority": three("normal", "high", "normal"), "disposition": three("pass", "investigate", "unknown")}
 
 
 def digest(*columns: str) -> Column:

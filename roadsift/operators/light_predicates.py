@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadsift.functions.geometry import wrapped_once
@@ -49,12 +49,12 @@ def crossings(ok: DataFrame, red: DataFrame, args: dict) -> DataFrame:
     The first light counts, then the earliest frame. ``ok`` has the turns.
     """
     near = at_red_lanes(ok, red)
+    before = (F.abs("line_lat") <= args["max_lateral_m"]) & (F.col("line_lon") >= -args["max_before_stop_line_m"]) & (F.col("line_lon") < 0)
+    stood = F.min(F.when(before, F.struct(F.col("step_index").alias("before_frame"), F.col("light_pos").alias("before_pos"), F.col("line_lon").alias("lon_before"))))
+    near = near.withColumn("_b", stood.over(Window.partitionBy("scenario_id", "track_id", "lane_id").orderBy("step_index").rangeBetween(Window.unboundedPreceding, -1)))
     after_args = {k: v for k, v in args.items() if k in ("max_lateral_m", "min_after_stop_line_m", "max_after_stop_line_m", "min_speed_mps", "max_heading_delta_rad", "max_future_heading_change_rad", "extended_max_future_heading_change_rad")}
     after = near.filter(BUILTIN("red_light_after_stop_line", **after_args))
     if args.get("max_lane_heading_change_rad") is not None:
         after = after.filter(~F.coalesce(F.col("lane_turn") > args["max_lane_heading_change_rad"], F.lit(False)))
-    before = near.filter((F.abs("line_lat") <= args["max_lateral_m"]) & (F.col("line_lon") >= -args["max_before_stop_line_m"]) & (F.col("line_lon") < 0))
-    before = before.select("scenario_id", "track_id", "lane_id", F.col("step_index").alias("before_frame"), F.col("line_lon").alias("lon_before"), F.col("light_pos").alias("before_pos"))
-    both = after.join(before, ["scenario_id", "track_id", "lane_id"]).filter("before_frame < step_index")
-    best = F.min_by(F.struct("lane_id", "before_frame", "lon_before", F.col("line_lon").alias("lon_after"), "line_lat"), F.struct("light_pos", "before_frame", "before_pos"))
-    return both.groupBy(*AGENT).agg(best.alias("_c")).select(*AGENT, "_c.*")
+    best = F.min_by(F.struct("lane_id", F.col("_b.before_frame").alias("before_frame"), F.col("_b.lon_before").alias("lon_before"), F.col("line_lon").alias("lon_after"), "line_lat"), F.struct("light_pos", "_b.before_frame", "_b.before_pos"))
+    return after.filter("_b IS NOT NULL").groupBy(*AGENT).agg(best.alias("_c")).select(*AGENT, "_c.*")

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 GROUP = ["scenario_id", "tag_name", "rule_id", "subject_type", "subject_id"]
 FAMILY = ["scenario_id", "subject_type", "subject_id", "review_family"]
 
 
-def merged(events: DataFrame, gap: int) -> DataFrame:
-    """One row for each run of frames with at most ``gap`` from one to the next: the first event, end_frame, event_count and raw_frames."""
+def merged(events: DataFrame, gap: int | Column) -> DataFrame:
+    """One row for each run of frames with at most ``gap`` from one to the next: the first event, end_frame, event_count and raw_frames. A gap of -1 keeps every event apart."""
     order = Window.partitionBy(*GROUP).orderBy("frame_index")
     new = F.coalesce((F.col("frame_index") > F.lag("frame_index").over(order) + gap).cast("int"), F.lit(1))
     rows = events.withColumn("_new", new).withColumn("_run", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
@@ -32,19 +32,24 @@ def episodes(events: DataFrame, cooldown: int = 0) -> DataFrame:
     return merged(events, max(1, cooldown))
 
 
-def cooldown(events: DataFrame, frames: int, key: tuple[str, ...] = ("scenario_id", "tag_name", "subject_type", "subject_id")) -> DataFrame:
+def cooldown(events: DataFrame, frames: int | Column, key: tuple[str, ...] = ("scenario_id", "tag_name", "subject_type", "subject_id")) -> DataFrame:
     """Events that come after an earlier kept one by more than ``frames``, with suppressed_until.
 
     Each kept event silences those after it, so this is a fold over a subject's events in order.
+    ``frames`` may be a column that is the same for all events of a key; where it is 0 none is silenced.
     """
-    if frames <= 0:
-        return events.withColumn("suppressed_until", F.lit(None).cast("int"))
+    if isinstance(frames, int):
+        if frames <= 0:
+            return events.withColumn("suppressed_until", F.lit(None).cast("int"))
+        frames = F.lit(frames)
     rest = [c for c in events.columns if c not in key]
+    free = events.filter(frames <= 0).withColumn("suppressed_until", F.lit(None).cast("int"))
+    events = events.filter(frames > 0)
     lists = events.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct(F.col("frame_index").alias("_f"), F.struct(*rest).alias("e")))).alias("_all"))
     start = F.struct(F.lit(-1).alias("until"), F.slice("_all", 1, 0).alias("kept"))
     fold = F.aggregate("_all", start, lambda s, x: F.when(x["_f"] > s["until"], F.struct((x["_f"] + frames).alias("until"), F.concat(s["kept"], F.array(x)).alias("kept"))).otherwise(s))
     rows = lists.select(*key, F.explode(fold["kept"]).alias("k"))
-    return rows.select(*key, "k.e.*", (F.col("k._f") + frames).alias("suppressed_until")).select(*events.columns, "suppressed_until")
+    return rows.select(*key, "k.e.*", (F.col("k._f") + frames).alias("suppressed_until")).select(*events.columns, "suppressed_until").unionByName(free)
 
 
 def dominance(events: DataFrame) -> DataFrame:

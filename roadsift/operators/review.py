@@ -87,3 +87,24 @@ def payload(states: DataFrame, events: DataFrame) -> DataFrame:
     told = events.groupBy("scenario_id").agg(F.array_sort(F.collect_list(F.struct("frame_index", "tag_name", "subject_id"))).alias("events"))
     rows = frames.join(told, "scenario_id", "left")
     return rows.select("scenario_id", F.size("frames").alias("n_frames"), F.coalesce(F.size("events"), F.lit(0)).alias("n_events"), F.to_json(F.struct("scenario_id", "frames", "events")).alias("document"))
+
+
+# Metrics that an explanation may hold.
+EXPLAINED = (
+    "distance_m", "longitudinal_m", "lateral_m", "closing_speed_mps", "lateral_closing_speed_mps", "ttc_s", "heading_delta_rad", "speed_drop_mps", "acceleration_mps2", "ego_acceleration_mps2",
+    "ego_speed_delta_mps", "ego_speed_mps", "other_speed_mps", "vru_speed_mps", "other_type", "vru_type", "conflict_mode", "traffic_control_context", "red_light_lane_id", "red_light_stop_longitudinal_m",
+    "red_light_stop_lateral_m", "braking_category", "blocked_category", "blocker_type", "blocker_speed_mps", "blocker_track_id", "queue_vehicle_count", "low_speed_frame_count", "observed_frame_count",
+    "max_observed_speed_mps", "review_subtype",
+)
+
+
+def explanation(own: Column, supporting: Column) -> Column:
+    """Metrics of an event: those of its operators in order, then of its supporting events' operators; a later one replaces an earlier one.
+
+    ``own`` is an array of maps of text, one an operator; ``supporting`` an array of such arrays.
+    Names other than EXPLAINED and nulls are left out.
+    """
+    empty = F.array().cast("array<map<string,string>>")
+    maps = F.concat(F.coalesce(own, empty), F.flatten(F.coalesce(supporting, F.array(empty))))
+    told = F.transform(F.filter(maps, lambda m: m.isNotNull()), lambda m: F.map_filter(m, lambda k, v: k.isin(*EXPLAINED) & v.isNotNull()))
+    return F.aggregate(told, F.create_map().cast("map<string,string>"), lambda s, m: F.map_concat(F.map_filter(s, lambda k, v: ~F.array_contains(F.map_keys(m), k)), m))

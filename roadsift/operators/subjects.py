@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadsift.functions.geometry import ahead, aside, speed
@@ -17,7 +17,7 @@ def valid_states(states: DataFrame) -> DataFrame:
 
 def sdc_states(states: DataFrame, scenarios: DataFrame) -> DataFrame:
     """Rows of each scenario's self-driving car; invalid ones too."""
-    return states.join(scenarios.select("scenario_id", F.col("sdc_track_id").alias("track_id")), ["scenario_id", "track_id"])
+    return states.join(scenarios.select("scenario_id", "sdc_track_id"), "scenario_id").filter("track_id = sdc_track_id").drop("sdc_track_id")
 
 
 def lanes_of(lights: DataFrame) -> DataFrame:
@@ -25,8 +25,12 @@ def lanes_of(lights: DataFrame) -> DataFrame:
     return lights.select(*KEYS, "light_pos", F.col("lane_id").cast("string").alias("subject_id"))
 
 
+def _named(side: str, column: str) -> str:
+    return f"{side}_{column}".replace("_track_id", "_id").replace("_object_type", "_type")
+
+
 def _side(states: DataFrame, name: str, *more: str) -> DataFrame:
-    return states.select(*KEYS, *more, *[F.col(c).alias(f"{name}_{c}".replace("_track_id", "_id").replace("_object_type", "_type")) for c in PAIRED])
+    return states.select(*KEYS, *more, *[F.col(c).alias(_named(name, c)) for c in PAIRED])
 
 
 def with_geometry(pairs: DataFrame) -> DataFrame:
@@ -38,11 +42,16 @@ def with_geometry(pairs: DataFrame) -> DataFrame:
     })
 
 
-def sdc_pairs(states: DataFrame, scenarios: DataFrame) -> DataFrame:
-    """The car with every other valid agent of its frame: as many rows as agents."""
-    ok = valid_states(states)
-    ego = _side(sdc_states(ok, scenarios), "ego", "ts")
-    return with_geometry(ego.join(_side(ok, "other"), KEYS).filter("ego_id <> other_id"))
+def sdc_pairs(states: DataFrame, scenarios: DataFrame, more: tuple[str, ...] = ()) -> DataFrame:
+    """The car with every other valid agent of its frame: as many rows as agents, and ``more`` columns of the car.
+
+    The car's row comes to the others of its frame by a window, so that states laid out by scenario
+    aren't shuffled again.
+    """
+    ok = (states if "speed" in states.columns else valid_states(states)).filter("valid").join(scenarios.select("scenario_id", "sdc_track_id"), "scenario_id")
+    ours = F.when(F.col("track_id") == F.col("sdc_track_id"), F.struct(*PAIRED, "ts", *more))
+    rows = ok.withColumn("_ego", F.max(ours).over(Window.partitionBy(*KEYS))).filter("_ego IS NOT NULL AND track_id <> sdc_track_id")
+    return with_geometry(rows.select(*KEYS, "_ego.ts", *[F.col(f"_ego.{c}").alias(_named("ego", c)) for c in PAIRED], *[F.col(c).alias(_named("other", c)) for c in PAIRED], *[f"_ego.{c}" for c in more]))
 
 
 def number_first(a: Column, b: Column) -> Column:

@@ -35,11 +35,13 @@ def sustained_seconds(events: DataFrame, tag: str, seconds: float, mode: str = "
     "exact": a frame of the run lies exactly ``seconds`` before, in double arithmetic; "at_least":
     the run began that long before or earlier.
     """
-    run = Window.partitionBy(*SUBJECT, "island").orderBy("frame_index")
-    rows = _islands(events, tag).withColumn("run", F.collect_list(F.struct("frame_index", "ts")).over(run.rowsBetween(Window.unboundedPreceding, 0)))
-    inside = F.filter("run", lambda r: F.col("ts") - r["ts"] <= float(seconds)) if mode == "exact" else F.col("run")
-    first = F.element_at(inside, 1)
-    out = rows.withColumns({"_first": first, "_n": F.size(inside)}).filter(F.col("ts") - F.col("_first.ts") >= float(seconds))
+    # a little more than the time, as the range's bound is rounded; what lies outside by exact differences doesn't count
+    since = f"{float(seconds) + 1e-6!r}D PRECEDING" if mode == "exact" else "UNBOUNDED PRECEDING"
+    over = f"OVER (PARTITION BY {', '.join(SUBJECT)}, island ORDER BY ts RANGE BETWEEN {since} AND CURRENT ROW)"
+    rows = _islands(events, tag).withColumns({"_first": F.expr(f"min(struct(ts, frame_index)) {over}"), "_second": F.expr(f"nth_value(struct(ts, frame_index), 2) {over}")})
+    if mode == "exact":
+        rows = rows.withColumn("_first", F.when(F.col("ts") - F.col("_first.ts") <= float(seconds), F.col("_first")).otherwise(F.col("_second")))
+    out = rows.filter(F.col("ts") - F.col("_first.ts") >= float(seconds))
     return out.select(*SUBJECT, "frame_index", "ts", F.col("_first.frame_index").alias("first_frame"), F.col("frame_index").alias("last_frame"))
 
 

@@ -6,12 +6,13 @@ of earlier rules. Feature columns that the predicates need are joined once for e
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadsift.operators import policy, temporal
+from roadsift.operators import align, policy, temporal
 from roadsift.operators.predicates import BUILTIN, Registry
 
 
@@ -62,11 +63,45 @@ LOW_TTC = Rule(
     intent="supporting",
 )
 TEMPORAL = [
+    Rule("sdc_vehicle_stopped_for_3_frames", "sdc_agent", sustained=("sdc_vehicle_stopped", 0.25)),
     Rule("persistent_low_ttc_pair", "sdc_pair", sustained=("low_ttc_pair", 0.25), intent="review", episode=True),
     Rule("cut_in_developing", "sdc_pair", sustained=("cut_in_candidate", 0.25)),
     Rule("cut_in_confirmed", "sdc_pair", steps=("adjacent_vehicle", "cut_in_lateral_approach", "same_path_overlap"), within_s=0.8, intent="review", family="cut_in", priority=10, episode=True),
     Rule("cut_in_risk", "sdc_pair", steps=("adjacent_vehicle", "cut_in_lateral_approach", "same_path_overlap", "low_ttc_pair"), within_s=0.8, intent="review", family="cut_in", priority=20, episode=True),
+    Rule("sdc_vehicle_still_stopped_at_red", "sdc_agent", sustained=("sdc_vehicle_stopped_at_red", 0.25)),
 ]
+#: Single-frame rules over the car, its lights, lanes and motion. Their conditions need joined features, so that a query brings
+#: the rows that hold; what is emitted, where a rule applies and what becomes of its events is said here.
+FEATURED = [
+    Rule("sdc_vehicle_stopped", "sdc_agent", STOPPED, compact=True),
+    Rule("sdc_vehicle_stopped_at_red", "sdc_agent", STOPPED, compact=True, requires=("traffic_lights",)),
+    Rule("red_light_stop_line_approach", "sdc_agent", intent="supporting", requires=("traffic_lights", "lane_geometry")),
+    Rule("red_light_stop_line_crossed", "sdc_agent", intent="supporting", requires=("traffic_lights", "lane_geometry")),
+    Rule("red_light_running", "sdc_agent", intent="review", episode=True, cooldown=30, requires=("traffic_lights", "lane_geometry")),
+    Rule("sdc_hard_braking", "sdc_pair", intent="review", family="sdc_response", priority=30, episode=True, cooldown=20),
+    Rule("sdc_blocked_unable_to_proceed", "sdc_pair", intent="review", family="planner_blocked", priority=18, episode=True, cooldown=20, current_only=True),
+    Rule("vru_close_interaction", "sdc_pair", intent="review", family="vru", priority=20, episode=True, cooldown=20),
+    Rule("lane_change_conflict", "sdc_pair", intent="review", family="lane_change", priority=20, episode=True, cooldown=20, current_only=True, requires=("lane_geometry",)),
+    Rule("sdc_repeated_lane_change", "sdc_agent", intent="review", episode=True, cooldown=30, current_only=True, requires=("lane_geometry",)),
+]
+
+
+def all_rules() -> list[Rule]:
+    return [*pair_rules(), LOW_TTC, *FEATURED, *TEMPORAL]
+
+
+def eligible(events: DataFrame, rules: list[Rule], frames: DataFrame) -> DataFrame:
+    """Events of frames that their rule applies to.
+
+    ``frames`` has scenario_id, step_index, visibility and modalities, as align gives them: frames that lack
+    what a rule requires don't count for it, and for a rule of the current frame alone no other does.
+    """
+    offered = frames.select("scenario_id", F.col("step_index").alias("frame_index"), "visibility", "modalities")
+    ok = F.lit(True)
+    for rule in rules:
+        if rule.requires or rule.current_only:
+            ok = F.when(F.col("tag_name") == rule.tag, align.applies(list(rule.requires), rule.current_only)).otherwise(ok)
+    return events.join(offered, ["scenario_id", "frame_index"]).filter(ok).select(*events.columns)
 
 
 def single_frame(candidates: DataFrame, rules: list[Rule], registry: Registry = BUILTIN) -> DataFrame:
@@ -107,23 +142,21 @@ def gate_sequences(events: DataFrame) -> DataFrame:
 
     The first step and the source of a sustained rule are exempt.
     """
-    free = events.filter(~F.col("tag_name").isin("cut_in_lateral_approach", "same_path_overlap"))
-    approach = temporal.gated(events.filter("tag_name = 'cut_in_lateral_approach'"), events, "adjacent_vehicle")
-    overlap = temporal.gated(events.filter("tag_name = 'same_path_overlap'"), approach, "cut_in_lateral_approach")
-    return free.unionByName(approach).unionByName(overlap)
+    subject = Window.partitionBy("scenario_id", "subject_id")
+    carries = lambda tag: F.max(F.col("tag_name") == tag).over(subject)
+    rows = events.withColumns({"_adjacent": carries("adjacent_vehicle"), "_approach": carries("cut_in_lateral_approach")})
+    kept = F.when(F.col("tag_name") == "cut_in_lateral_approach", F.col("_adjacent")).when(F.col("tag_name") == "same_path_overlap", F.col("_adjacent") & F.col("_approach")).otherwise(True)
+    return rows.filter(kept).drop("_adjacent", "_approach")
+
+
+def _per_tag(rules: list[Rule], value: Callable[[Rule], int], otherwise: int) -> Column:
+    out = F.lit(otherwise)
+    for v in sorted({value(r) for r in rules} - {otherwise}):
+        out = F.when(F.col("tag_name").isin(*[r.tag for r in rules if value(r) == v]), v).otherwise(out)
+    return out
 
 
 def with_policies(events: DataFrame, rules: list[Rule]) -> DataFrame:
-    """Compaction, then episodes and cooldown for each rule, then dominance."""
-    parts = []
-    for rule in rules:
-        own = events.filter(F.col("tag_name") == rule.tag)
-        if rule.compact and rule.intent != "review":
-            own = policy.compact(own)
-        else:
-            own = policy.merged(own, max(1, rule.cooldown)) if rule.episode else policy.compact(own, [])
-        parts.append(policy.cooldown(own, rule.cooldown))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return policy.dominance(out)
+    """Compaction or episodes and cooldown as each event's rule says, in one pass over all of them, then dominance."""
+    gap = _per_tag(rules, lambda r: 1 if r.compact and r.intent != "review" else max(1, r.cooldown) if r.episode else -1, -1)
+    return policy.dominance(policy.cooldown(policy.merged(events, gap), _per_tag(rules, lambda r: r.cooldown, 0)))

@@ -126,3 +126,45 @@ def lane_topology(ends: DataFrame, reach: float = 3.0, turn: float = 0.7) -> Dat
     dx, dy = F.col("a.x") - F.col("b.x"), F.col("a.y") - F.col("b.y")
     met = a.join(b, ["scenario_id", "cx", "cy"]).filter((F.col("from_lane") != F.col("to_lane")) & (F.sqrt(dx * dx + dy * dy) <= reach) & (wrapped_once(F.col("a.heading"), F.col("b.heading")) <= turn))
     return met.select("scenario_id", "from_lane", "to_lane").distinct()
+
+
+def ego_poses(sample_data: DataFrame, calibrated: DataFrame, sensors: DataFrame, poses: DataFrame, main: str = "LIDAR_TOP") -> DataFrame:
+    """(sample, pose columns): each sample's pose by its first record of the main channel, else by its first key frame; null without one.
+
+    ``sample_data``: sample, position (its place in the file), calibrated, ego_pose, is_key_frame;
+    ``calibrated``: calibrated, sensor; ``sensors``: sensor, channel; ``poses``: ego_pose and more.
+    """
+    rows = sample_data.join(calibrated, "calibrated", "left").join(sensors, "sensor", "left")
+    ours = F.coalesce(F.col("channel") == main, F.lit(False))
+    chosen = rows.groupBy("sample").agg(F.min(F.when(ours | F.col("is_key_frame"), F.struct(~ours, "position", "ego_pose"))).alias("_c"))
+    return chosen.select("sample", F.col("_c.ego_pose").alias("ego_pose")).join(poses, "ego_pose", "left").select("sample", *[c for c in poses.columns if c != "ego_pose"])
+
+
+def lane_counts(features: DataFrame) -> DataFrame:
+    """Per scenario: its features, lanes, lanes with a centreline and directed links."""
+    lane = F.col("feature_type") == "lane"
+    return features.groupBy("scenario_id").agg(
+        F.count("*").alias("features"), F.count_if(lane).alias("lanes"), F.count_if(lane & (F.size("polyline") > 0)).alias("centrelines"), F.coalesce(F.sum(F.when(lane, F.greatest(F.size("exit_lanes"), F.lit(0)))), F.lit(0)).alias("links"),
+    )
+
+
+def capabilities(scenarios: DataFrame, sensors: DataFrame, features: DataFrame) -> DataFrame:
+    """(scenario_id, capabilities): sensor modalities of the data set, and map, lane_geometry (every lane has a centreline) and lane_topology of the scenario."""
+    known = sensors.filter("modality <> ''").agg(F.sort_array(F.collect_set("modality")).alias("_m"))  # a row of few names
+    rows = scenarios.select("scenario_id").join(lane_counts(features), "scenario_id", "left").join(F.broadcast(known))
+    own = {"map": F.col("features") > 0, "lane_geometry": (F.col("lanes") > 0) & (F.col("centrelines") == F.col("lanes")), "lane_topology": F.col("links") > 0}
+    return rows.select("scenario_id", F.sort_array(F.concat("_m", F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in own.items()])))).alias("capabilities"))
+
+
+def scene_metadata(ordered: DataFrame, features: DataFrame) -> DataFrame:
+    """Per scene: samples, sampling rate, lanes, centrelines, links and the rule inputs it has to do without."""
+    rows = ordered.groupBy("scene").agg(F.count("*").alias("samples")).join(sampling_hz(ordered), "scene", "left").join(lane_counts(features).withColumnRenamed("scenario_id", "scene"), "scene", "left")
+    lacking = F.array_compact(F.array(F.when((F.col("lanes") > 0) & (F.col("centrelines") < F.col("lanes")), F.lit("lane_geometry")), F.lit("traffic_lights")))
+    return rows.select("scene", "samples", "hz", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("lanes", "centrelines", "links")], lacking.alias("skipped"))
+
+
+def with_provenance(table: DataFrame, prefix: str) -> DataFrame:
+    """Rows read from files with source_file, source_index (their place in it) and payload_name."""
+    index = F.col("_metadata.row_index")
+    name = F.col("_metadata.file_name")
+    return table.select("*", name.alias("source_file"), index.alias("source_index"), F.format_string(f"{prefix}_%s_s%04d.json", name, index).alias("payload_name"))

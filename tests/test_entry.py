@@ -1,23 +1,37 @@
-"""The entry module imports without a session and without the training-data subpackage."""
-
+import os
+import shutil
 import subprocess
 import sys
-from pathlib import Path
 
-ROOT = Path(__file__).resolve().parents[1]
+import __spark_entry__ as entry
 
+HERE = os.path.dirname(os.path.abspath(entry.__file__))
 
-def test_import_without_session():
-    code = "import __spark_entry__ as e; q = e.queries(); assert len(q) > 100 and set(e.oracle_sql()) <= set(q)"
-    subprocess.run([sys.executable, "-c", code], cwd=ROOT, check=True)
 
+def test_queries_and_sql_belong_together():
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert {"sub_07_sdc_pair", "run_01_full_evaluation"} <= set(entry.oracle_sql())
 
-def test_import_without_llm(tmp_path):
-    code = "import sys; sys.modules['roadsift.llm'] = None; sys.modules['corpus_pipeline'] = None; import __spark_entry__ as e; assert not any(n.startswith('op') for n in e.queries())"
-    subprocess.run([sys.executable, "-c", code], cwd=ROOT, check=True)
 
+def test_copy_without_the_training_data_folders(tmp_path):
+    """The other queries stay as they are when both folders and the pipeline are deleted."""
+    at = tmp_path / "copy"
+    shutil.copytree(HERE, at, ignore=shutil.ignore_patterns(".git", "__pycache__", "llm", "corpus_pipeline.py"))
+    code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()), [q for q in e.queries() if q.startswith('op')])"
+    out = subprocess.run([sys.executable, "-c", code], cwd=at, env=os.environ | {"PYTHONPATH": str(at)}, capture_output=True, text=True, check=True).stdout
+    n = sum(not q.startswith("op") and q != "pipeline" for q in entry.queries())
+    assert out.split(maxsplit=2)[0] == str(n) and out.strip().endswith("[]")
 
-def test_entry_runs(spark):
-    import __spark_entry__
 
-    assert __spark_entry__.entry(spark).count() > 0
+def test_broken_import_within_the_training_data_package_is_an_error(tmp_path):
+    at = tmp_path / "copy"
+    shutil.copytree(HERE, at, ignore=shutil.ignore_patterns(".git", "__pycache__"))
+    if not (at / "roadsift/llm").is_dir():
+        return
+    (at / "roadsift/llm/registry.py").write_text("import no_such_module\n")
+    done = subprocess.run([sys.executable, "-c", "import __spark_entry__"], cwd=at, env=os.environ | {"PYTHONPATH": str(at)}, capture_output=True, text=True)
+    assert done.returncode and "no_such_module" in done.stderr
+
+
+def test_entry_runs(spark):
+    assert entry.entry(spark).count() > 0
