@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roadsift.scratch import cut, forget, shared_checkpoints
+
+__all__ = ["cut", "forget", "shared_checkpoints"]
+
 #: A word is a run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -21,35 +23,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_checkpoints(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share: the cluster's, as spark.checkpoint.dir names it. Where it is unset, one of our own in local mode (tests), and an error elsewhere."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if root is None:
-        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and the executors share")
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="roadsift-"))
-        root = spark.sparkContext.getCheckpointDir()
-    return root.rstrip("/")
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """df written as a table to the shared folder and read again: without the steps before it, and without what the optimizer
-    has inferred from these, which grows with every step."""
-    at = f"{shared_checkpoints(df.sparkSession)}/step-{uuid.uuid4().hex}"
-    df.write.parquet(at)
-    out = df.sparkSession.read.schema(df.schema).parquet(at)
-    out._written_at = at
-    return out
-
-
-def forget(*steps: DataFrame) -> None:
-    """Delete what cut() wrote for steps that nothing reads any more."""
-    for df in steps:
-        spark = df.sparkSession
-        path = spark._jvm.org.apache.hadoop.fs.Path(df._written_at)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def bound_batches(spark: SparkSession) -> None:
     """Bound Arrow batches by bytes and not by rows alone."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BATCH_BYTES))
