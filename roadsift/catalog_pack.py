@@ -248,7 +248,7 @@ def full_run(spark: SparkSession, sf: str) -> DataFrame:
     whole = events
     for rule in pack.TEMPORAL:
         whole = whole.unionByName(pack.tagged(pack.temporal_events(events, rule), rule))
-    return pack.with_policies(whole, pack.all_rules()).withColumn("evaluation_mode", F.lit("causal_online"))
+    return pack.with_policies(cut(whole), pack.all_rules()).withColumn("evaluation_mode", F.lit("causal_online"))
 
 
 RAW_SQL = {t: f"SELECT scenario_id, subject_id, frame_index FROM ({B.SQL}{PACK_SQL} SELECT * FROM tag WHERE tag_name = '{t}')" for t in (*COND, "low_ttc_pair")}

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from roadsift.operators import align, policy, temporal
 from roadsift.operators.predicates import BUILTIN, Registry
+from roadsift.scratch import cut
 
 
 @dataclass(frozen=True)
@@ -157,6 +158,7 @@ def _per_tag(rules: list[Rule], value: Callable[[Rule], int], otherwise: int) ->
 
 
 def with_policies(events: DataFrame, rules: list[Rule]) -> DataFrame:
-    """Compaction or episodes and cooldown as each event's rule says, in one pass over all of them, then dominance."""
+    """Compaction or episodes and cooldown as each event's rule says, in one pass over all of them, then dominance. Steps that are read more than once go through tables of the shared folder."""
     gap = _per_tag(rules, lambda r: 1 if r.compact and r.intent != "review" else max(1, r.cooldown) if r.episode else -1, -1)
-    return policy.dominance(policy.cooldown(policy.merged(events, gap), _per_tag(rules, lambda r: r.cooldown, 0)))
+    cooled = cut(policy.cooldown(cut(policy.merged(events, gap)), _per_tag(rules, lambda r: r.cooldown, 0)))
+    return policy.dominance(cooled)
