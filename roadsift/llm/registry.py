@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadsift.llm import bpe_automaton, media, near_dedup, packing, sharding, substring_dedup, token_counts, toxicity, url_filter, vector_search
+from roadsift.llm import bpe_automaton, media, near_dedup, packing, period_runs, sharding, substring_dedup, token_alignment, token_counts, toxicity, url_filter, vector_search, web_archives
 from roadsift.llm.common import read_table, sha256_text, utf8_crc32
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 N_SHARDS = 24
 RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
 
@@ -85,8 +88,34 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (toxicity.remainder(F.col("doc_id")) == toxicity.HELD_OUT).alias("held_out"), "score", "predicted")
 
 
+def periodic(doc_id: int | None, n: int) -> np.ndarray | None:
+    """The places of words that a tenth of the documents, chosen by a hash, repeat with a period; null ids are left as they are."""
+    told = zlib.crc32(str(doc_id).encode())
+    if doc_id is None or told % 10 or not n:
+        return None
+    told //= 10
+    first = told % n
+    period = 1 + (n - first) // (3 + told % 8)
+    place = np.arange(n)
+    place[first:] = first + (place[first:] - first) % period
+    return place
+
+
+def op11_period_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return period_runs.run_digests(read_table(spark, sf_dir, "documents").select("doc_id", "text"), min_words=24, min_periods=3, reorder=periodic)
+
+
+def op12_web_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return web_archives.archive_pages(read_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = token_alignment.align_tokens(read_table(spark, sf_dir, "documents").select("doc_id", "text"), BYTE_BPE, PIECE_BPE, digest=True)
+    return out.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", F.col("groups").alias("groups_sha256"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_sharding, op2_substring_dedup, op3_url_filters, op4_bpe, op5_near_dedup, op6_packing, op7_token_counts, op8_vector_search, op9_media, op10_toxicity)}
+    return {f.__name__: f for f in (op1_sharding, op2_substring_dedup, op3_url_filters, op4_bpe, op5_near_dedup, op6_packing, op7_token_counts, op8_vector_search, op9_media, op10_toxicity, op11_period_runs, op12_web_archives, op13_token_alignment)}
 
 
 def oracle_sql() -> dict[str, str]:
