@@ -91,8 +91,8 @@ def arc_bytes(name: str, version: int, records: Iterator[tuple[str, str, str, by
 
 
 def _address(url: str | None) -> str:
-    """An address without white space and control characters, which header lines can't hold."""
-    return re.sub(r"[\x00-\x20\x7f-\U0010ffff]", lambda m: "".join(f"%{b:02X}" for b in m[0].encode("utf-8", "surrogatepass")), url or "") or "unknown:"
+    """An address without white space and control characters, which header lines can't hold, and that isn't a version block's."""
+    return re.sub("^filedesc://", "filedesc%3A//", re.sub(r"[\x00-\x20\x7f-\U0010ffff]", lambda m: "".join(f"%{b:02X}" for b in m[0].encode("utf-8", "surrogatepass")), url or "")) or "unknown:"
 
 
 def page_archives(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -134,9 +134,9 @@ _SPARK = {pa.string(): "string", pa.int64(): "long", pa.binary(): "binary"}
 def warc_fields(archive: str, record: ArcRecord) -> dict:
     """What a WARC record says in place of a legacy one.
 
-    The type goes by the address: the version block is warcinfo, an HTTP message under http or https
-    is a response, all else (name lookups, files, HTTP without a head) a resource. The identifier
-    derives from the address, date and block, so that a repeated conversion gives the same.
+    The version block is warcinfo, an HTTP message is a response whatever its address, all else (name
+    lookups, files, HTTP without a head) a resource. The identifier derives from the address, date
+    and block, so that a repeated conversion gives the same.
     """
     url, block = record.fields["URL"], record.block
     out = dict.fromkeys(RECORD) | {"archive": archive, "offset": record.offset, "problem": record.problem, "uri": url}
@@ -148,7 +148,7 @@ def warc_fields(archive: str, record: ArcRecord) -> dict:
     if url.startswith("filedesc://"):
         kind, content_type = "warcinfo", "application/warc-fields"
         block = payload = f"software: roadsift\r\nformat: WARC File Format 1.1\r\ndescription: converted from {url[11:]}\r\n".encode()
-    elif re.match(r"(?i)https?:|unknown:", url) and block.startswith(b"HTTP/") and (cut_at := block.find(END)) >= 0:
+    elif block.startswith(b"HTTP/") and (cut_at := block.find(END)) >= 0:
         kind, content_type = "response", "application/http; msgtype=response"
         head, payload = block[: cut_at + 4].decode("latin-1"), block[cut_at + 4 :]
     own = uuid.UUID(bytes=hashlib.sha256("\n".join((url, record.fields["Archive-date"], hashlib.sha256(block).hexdigest())).encode()).digest()[:16], version=5)

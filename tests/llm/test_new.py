@@ -126,7 +126,7 @@ def test_warc_streams_across_pieces():
         list(web_archives.read_stream([data.replace(b"Content-Length: 17", b"Content-Length: 16")]))
 
 
-PAGES = [(1, "http://a/", "same"), (5, "http://b/", "same"), (3, None, "same"), (None, "http://c/", "same"), (7, "http://d/ e", None), (8, "http://d/", ""), (9, "http://e/", "x\r\n\r\nWARC/1.1\r\n" * 3), (9, "http://e/", "x\r\n\r\nWARC/1.1\r\n" * 3), (10, "http://ü/", "ü" * 70000)]
+PAGES = [(1, "http://a/", "same"), (5, "http://b/", "same"), (3, None, "same"), (None, "http://c/", "same"), (7, "http://d/ e", None), (8, "ftp://d/", ""), (11, "filedesc://x", "version?"), (12, "nothing", "HTTP/1.0 200 OK\r\n\r\n"), (9, "http://e/", "x\r\n\r\nWARC/1.1\r\n" * 3), (9, "http://e/", "x\r\n\r\nWARC/1.1\r\n" * 3), (10, "http://ü/", "ü" * 70000)]
 
 
 def expected(pages):
