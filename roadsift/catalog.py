@@ -289,3 +289,4 @@ from roadsift import catalog_rules as _rules  # noqa: E402, F401
 from roadsift import catalog_pack as _pack  # noqa: E402, F401
 from roadsift import catalog_review as _review  # noqa: E402, F401
 from roadsift import catalog_sources as _sources  # noqa: E402, F401
+from roadsift import catalog_scenes as _scenes  # noqa: E402, F401
