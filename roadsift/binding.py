@@ -126,7 +126,7 @@ WITH base AS (
   SELECT l_orderkey AS scenario_id, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_tax, l_discount, l_shipdate) - 1 AS tix,
     l_partkey AS p, l_suppkey AS s, CAST(l_quantity AS BIGINT) AS q FROM lineitem),
 steps AS (SELECT CAST(range AS INTEGER) AS step_index, range * CAST(0.125 AS DOUBLE) AS ts FROM range(16)),
-st AS (
+st AS MATERIALIZED (
   SELECT scenario_id, step_index, ts, CAST(tix AS VARCHAR) AS track_id, CAST(tix AS INTEGER) AS track_index,
     CASE WHEN tix = 0 THEN 'vehicle' WHEN p % 5 = 0 THEN 'pedestrian' WHEN p % 5 = 1 THEN 'cyclist' ELSE 'vehicle' END AS object_type,
     CASE WHEN tix = 0 THEN (4 + q % 12) * ts ELSE (p % 61) - 12 + (q % 12) * ts END AS x,
@@ -137,13 +137,13 @@ st AS (
     CASE WHEN tix = 0 THEN CAST(0 AS DOUBLE) ELSE ((s % 9) - 4) * CAST(0.125 AS DOUBLE) END AS heading,
     (tix = 0 OR (p + step_index) % 13 <> 0) AS valid
   FROM base, steps),
-ok AS (SELECT *, sqrt(vx * vx + vy * vy) AS speed FROM st WHERE valid),
-motion AS (
+ok AS MATERIALIZED (SELECT *, sqrt(vx * vx + vy * vy) AS speed FROM st WHERE valid),
+motion AS MATERIALIZED (
   SELECT scenario_id, track_id, step_index, ts - t0 AS dt, s0 AS start_speed, speed AS end_speed, speed - s0 AS speed_delta, CASE WHEN ts > t0 THEN (speed - s0) / (ts - t0) END AS acceleration FROM (
     SELECT *, first_value(ts) OVER w AS t0, first_value(speed) OVER w AS s0 FROM ok
     WINDOW w AS (PARTITION BY scenario_id, track_id ORDER BY ts RANGE BETWEEN 1.0 PRECEDING AND CURRENT ROW))),
-sdc AS (SELECT * FROM ok WHERE track_id = '0'),
-pairs AS (
+sdc AS MATERIALIZED (SELECT * FROM ok WHERE track_id = '0'),
+pairs AS MATERIALIZED (
   SELECT e.scenario_id, e.step_index, e.ts, e.track_id || ':' || o.track_id AS subject_id, e.track_id AS ego_id, o.track_id AS other_id,
     e.object_type AS ego_type, o.object_type AS other_type, e.heading AS ego_heading, o.heading AS other_heading, e.speed AS ego_speed, o.speed AS other_speed,
     e.x AS ego_x, e.y AS ego_y, o.x AS other_x, o.y AS other_y,

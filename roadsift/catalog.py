@@ -254,7 +254,7 @@ def prd_21_red_light_crossing_transition(spark: SparkSession, sf: str) -> DataFr
 def lane_sql(source: str, name: str, lateral: float, heading: float) -> str:
     """Best lane of straight lanes along x: score lateral + 3 * heading, ties to the earlier segment."""
     return f""", {name}_d AS (SELECT o.*, l.lane_id, sqrt((o.y - y0) * (o.y - y0) + greatest(xa - o.x, o.x - xb, 0) * greatest(xa - o.x, o.x - xb, 0)) AS off, lane_pos FROM {source} o, lanes l),
-{name} AS (SELECT * FROM {name}_d WHERE off <= {lateral} AND abs(heading) <= {heading} QUALIFY row_number() OVER (PARTITION BY scenario_id, step_index, track_id ORDER BY off + 3 * abs(heading), lane_pos) = 1)
+{name} AS MATERIALIZED (SELECT * FROM {name}_d WHERE off <= {lateral} AND abs(heading) <= {heading} QUALIFY row_number() OVER (PARTITION BY scenario_id, step_index, track_id ORDER BY off + 3 * abs(heading), lane_pos) = 1)
 """
 
 

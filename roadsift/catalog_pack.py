@@ -12,7 +12,7 @@ from roadsift.catalog import add, pairs_of, query
 from roadsift.catalog_rules import chain_sql, cool_sql, merged_sql
 from roadsift.operators import align, light_predicates, policy, temporal
 from roadsift.operators.predicates import BUILTIN
-from roadsift.plans import pack
+from roadsift.plans import evaluate, pack
 from roadsift.scratch import cut
 
 SEEN = "step_index <= 10"
@@ -49,7 +49,7 @@ def seen_pairs(spark: SparkSession, sf: str) -> DataFrame:
 def low_ttc_events(spark: SparkSession, sf: str) -> DataFrame:
     """Cheap conditions first; lanes are matched for the pairs that are left."""
     cheap = F.lit(True)
-    for name, args in pack.LOW_TTC.conditions:
+    for name, args in pack.LOW_TTC.conditions[:-1]:
         cheap = cheap & BUILTIN(name, **args)
     rows = R.lane_pairs(seen_pairs(spark, sf).filter(cheap), spark, sf).filter(BUILTIN("same_lane_or_path"))
     return pack.tagged(rows.withColumn("frame_index", F.col("step_index")), pack.LOW_TTC)
@@ -92,7 +92,9 @@ def detections(spark: SparkSession, sf: str, rule: pack.Rule) -> DataFrame:
     return pack.tagged(pack.temporal_events(kept_pair_events(spark, sf), rule), rule)
 
 
-BY_TAG = {r.tag: r for r in pack.TEMPORAL}
+#: Frames of the tables here are 1/8 s apart.
+RULES = pack.on_grid(pack.all_rules(), B.STEP_S)
+BY_TAG = {r.tag: r for r in RULES if r.sustained or r.steps}
 EPISODE_OUT = ["scenario_id", "subject_id", "frame_index", "end_frame", "event_count"]
 
 
@@ -152,7 +154,7 @@ def _stop_rules(tag: str, still: str, rows) -> None:  # noqa: ANN001
         return policy.compact(agent_events(rows(spark, sf), tag)).select(*EPISODE_OUT)
 
     def held(spark: SparkSession, sf: str) -> DataFrame:
-        return temporal.sustained_seconds(agent_events(rows(spark, sf), tag), tag, 0.25).select("scenario_id", "subject_id", "frame_index", "first_frame")
+        return temporal.sustained_seconds(agent_events(rows(spark, sf), tag), *BY_TAG[still].sustained).select("scenario_id", "subject_id", "frame_index", "first_frame")
 
     add(f"rule_{tag}", single, STOP_SQL + quiet + merged_sql("q", 1, "i") + "SELECT scenario_id, subject_id, frame_index, end_frame, event_count FROM i")
     add(f"rule_{still}", held, STOP_SQL + sustained_sql(tag) + "SELECT scenario_id, subject_id, frame_index, first_frame FROM s_hit")
@@ -208,47 +210,9 @@ def frames_of(spark: SparkSession, sf: str) -> DataFrame:
     return align.causal(align.modalities(B.agent_states(spark, sf), B.traffic_lights(spark, sf), B.map_features(spark, sf)), B.scenarios(spark, sf), B.CURRENT, B.STEPS - 1 - B.CURRENT)
 
 
-def featured_rows(spark: SparkSession, sf: str) -> dict[str, tuple[DataFrame, str]]:
-    """For each featured rule the rows that hold, and the column of its subject."""
-    return {
-        "sdc_vehicle_stopped": (sdc_stopped(spark, sf), "track_id"),
-        "sdc_vehicle_stopped_at_red": (stopped_at_red(spark, sf), "track_id"),
-        "red_light_stop_line_approach": (C.before_line(spark, sf), "track_id"),
-        "red_light_stop_line_crossed": (C.after_line(spark, sf), "track_id"),
-        "red_light_running": (C.red_crossings(spark, sf), "track_id"),
-        "sdc_hard_braking": (C.braking_pairs(spark, sf), "subject_id"),
-        "sdc_blocked_unable_to_proceed": (C.blocked_pairs(spark, sf), "subject_id"),
-        "vru_close_interaction": (C.vru_pairs(spark, sf, prefilter=True), "subject_id"),
-        "lane_change_conflict": (R.conflict_pairs(spark, sf), "subject_id"),
-        "sdc_repeated_lane_change": (R.repeated_changes(spark, sf, _TWICE), "track_id"),
-    }
-
-
-@B.remembered
-def featured_events(spark: SparkSession, sf: str) -> DataFrame:
-    """Events of the featured single-frame rules, each where it applies."""
-    rows, out = featured_rows(spark, sf), None
-    for rule in pack.FEATURED:
-        held, subject = rows[rule.tag]
-        own = pack.tagged(held.filter(SEEN).select("scenario_id", F.col("step_index").alias("frame_index"), F.col(subject).alias("subject_id")).withColumn("ts", F.col("frame_index") * B.STEP_S), rule)
-        out = own if out is None else out.unionByName(own)
-    return pack.eligible(out, pack.FEATURED, frames_of(spark, sf))
-
-
-@B.remembered
-def single_frame_events(spark: SparkSession, sf: str) -> DataFrame:
-    """Events of all fifteen single-frame rules as a table, which the temporal rules and policies of a run read."""
-    return cut(kept_pair_events(spark, sf).unionByName(featured_events(spark, sf)))
-
-
-@B.remembered
-def full_run(spark: SparkSession, sf: str) -> DataFrame:
-    """All rules: single frames, gates, temporal rules, policies and the mode of evaluation."""
-    events = single_frame_events(spark, sf)
-    whole = events
-    for rule in pack.TEMPORAL:
-        whole = whole.unionByName(pack.tagged(pack.temporal_events(events, rule), rule))
-    return pack.with_policies(cut(whole), pack.all_rules()).withColumn("evaluation_mode", F.lit("causal_online"))
+def run_of(spark: SparkSession, sf: str, mode: str = "causal_online") -> evaluate.Run:
+    """A run of all rules over the derived tables."""
+    return evaluate.evaluate(evaluate.Tables(B.agent_states(spark, sf), B.traffic_lights(spark, sf), B.map_features(spark, sf), B.scenarios(spark, sf)), RULES, mode)
 
 
 RAW_SQL = {t: f"SELECT scenario_id, subject_id, frame_index FROM ({B.SQL}{PACK_SQL} SELECT * FROM tag WHERE tag_name = '{t}')" for t in (*COND, "low_ttc_pair")}
@@ -267,7 +231,7 @@ SINGLE_SQL = " UNION ALL ".join(f"SELECT scenario_id, frame_index, '{t}' AS tag_
 
 @query(SINGLE_SQL, "")
 def rul_01_single_frame(spark: SparkSession, sf: str) -> DataFrame:
-    return single_frame_events(spark, sf).select(*EVENT_OUT)
+    return run_of(spark, sf).events.filter(~F.col("tag_name").isin(*BY_TAG)).select(*EVENT_OUT)
 
 
 def _both(tag: str, n: str, priority: int) -> str:
@@ -293,13 +257,13 @@ RUN_SQL = " UNION ALL ".join([
 
 @query(f"SELECT scenario_id, tag_name, subject_id, frame_index, end_frame, event_count, 'causal_online' AS evaluation_mode FROM ({RUN_SQL})", "")
 def run_01_full_evaluation(spark: SparkSession, sf: str) -> DataFrame:
-    return full_run(spark, sf).select("scenario_id", "tag_name", "subject_id", "frame_index", "end_frame", "event_count", "evaluation_mode")
+    return run_of(spark, sf).reviewed.select("scenario_id", "tag_name", "subject_id", "frame_index", "end_frame", "event_count", "evaluation_mode")
 
 
 @query(f"SELECT s.scenario_id, 11 AS input_frames, 5 AS future_frames, count(tag_name) AS events, count(DISTINCT tag_name) AS tags FROM (SELECT DISTINCT l_orderkey AS scenario_id FROM lineitem) s LEFT JOIN ({RUN_SQL}) USING (scenario_id) GROUP BY s.scenario_id", "")
 def run_02_scenario_stats(spark: SparkSession, sf: str) -> DataFrame:
     frames = B.agent_states(spark, sf).filter("track_id = '0'").groupBy("scenario_id").agg(F.count_if(F.col("step_index") <= B.CURRENT).cast("int").alias("input_frames"), F.count_if(F.col("step_index") > B.CURRENT).cast("int").alias("future_frames"))
-    counts = full_run(spark, sf).groupBy("scenario_id").agg(F.count("*").alias("events"), F.count_distinct("tag_name").alias("tags"))
+    counts = run_of(spark, sf).reviewed.groupBy("scenario_id").agg(F.count("*").alias("events"), F.count_distinct("tag_name").alias("tags"))
     return frames.join(counts, "scenario_id", "left").select("scenario_id", "input_frames", "future_frames", F.coalesce("events", F.lit(0)).alias("events"), F.coalesce("tags", F.lit(0)).alias("tags"))
 
 

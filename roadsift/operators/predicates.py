@@ -6,7 +6,9 @@ some need feature columns beside them, named in their docstring. Unknown values
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -47,8 +49,21 @@ def predicate(f: Predicate) -> Predicate:
     return f
 
 
+_NAMES: ContextVar[dict[str, str]] = ContextVar("names of columns", default={})
+
+
+@contextmanager
+def reading(names: dict[str, str]) -> Iterator[None]:
+    """Within this, predicates read the given columns in place of those that they name."""
+    token = _NAMES.set(names)
+    try:
+        yield
+    finally:
+        _NAMES.reset(token)
+
+
 def _c(name: str) -> Column:
-    return F.col(name)
+    return F.col(_NAMES.get().get(name, name))
 
 
 @predicate

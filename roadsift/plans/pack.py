@@ -6,8 +6,9 @@ of earlier rules. Feature columns that the predicates need are joined once for e
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,7 +36,6 @@ class Rule:
     cooldown: int = 0
     requires: tuple[str, ...] = ()
     current_only: bool = False
-    extra: dict = field(default_factory=dict)
 
 
 VEHICLES = ("pair_types_are", {"ego_type": "vehicle", "other_type": "vehicle"})
@@ -60,37 +60,78 @@ def pair_rules() -> list[Rule]:
 
 LOW_TTC = Rule(
     "low_ttc_pair", "sdc_pair",
-    (VEHICLES, MOVING, ("pair_in_front", {"min_longitudinal_m": 1.0, "max_lateral_m": 2.0}), ("low_ttc", {"threshold_s": 3.0, "max_lateral_m": 2.0, "max_longitudinal_m": 60.0, "min_closing_speed_mps": 1.0})),
+    (
+        VEHICLES, MOVING, ("pair_in_front", {"min_longitudinal_m": 1.0, "max_lateral_m": 2.0}), ("low_ttc", {"threshold_s": 3.0, "max_lateral_m": 2.0, "max_longitudinal_m": 60.0, "min_closing_speed_mps": 1.0}),
+        ("same_lane_or_path", {"max_lane_lateral_m": 1.8, "max_heading_delta_rad": 0.7, "fallback_max_lateral_m": 1.2, "fallback_max_heading_delta_rad": 0.35}),
+    ),
     intent="supporting",
 )
 TEMPORAL = [
-    Rule("sdc_vehicle_stopped_for_3_frames", "sdc_agent", sustained=("sdc_vehicle_stopped", 0.25)),
-    Rule("persistent_low_ttc_pair", "sdc_pair", sustained=("low_ttc_pair", 0.25), intent="review", episode=True),
-    Rule("cut_in_developing", "sdc_pair", sustained=("cut_in_candidate", 0.25)),
+    Rule("sdc_vehicle_stopped_for_3_frames", "sdc_agent", sustained=("sdc_vehicle_stopped", 0.2)),
+    Rule("persistent_low_ttc_pair", "sdc_pair", sustained=("low_ttc_pair", 0.2), intent="review", episode=True),
+    Rule("cut_in_developing", "sdc_pair", sustained=("cut_in_candidate", 0.2)),
     Rule("cut_in_confirmed", "sdc_pair", steps=("adjacent_vehicle", "cut_in_lateral_approach", "same_path_overlap"), within_s=0.8, intent="review", family="cut_in", priority=10, episode=True),
     Rule("cut_in_risk", "sdc_pair", steps=("adjacent_vehicle", "cut_in_lateral_approach", "same_path_overlap", "low_ttc_pair"), within_s=0.8, intent="review", family="cut_in", priority=20, episode=True),
-    Rule("sdc_vehicle_still_stopped_at_red", "sdc_agent", sustained=("sdc_vehicle_stopped_at_red", 0.25)),
+    Rule("sdc_vehicle_still_stopped_at_red", "sdc_agent", sustained=("sdc_vehicle_stopped_at_red", 0.2)),
 ]
-#: Single-frame rules over the car, its lights, lanes and motion. Their conditions need joined features, so that a query brings
-#: the rows that hold; what is emitted, where a rule applies and what becomes of its events is said here.
+VEHICLE = ("type_is", {"object_type": "vehicle"})
+LINE = {"max_lateral_m": 2.0, "min_speed_mps": 0.5, "max_heading_delta_rad": 0.7}
+BEFORE = {"max_before_stop_line_m": 12.0}
+AFTER = {
+    "min_after_stop_line_m": 0.5, "max_after_stop_line_m": 15.0, "max_lane_heading_change_rad": 0.35, "lane_heading_lookahead_m": 15.0, "max_future_heading_change_rad": 0.25, "future_heading_horizon_seconds": 2.0,
+    "extended_max_future_heading_change_rad": 0.45, "extended_future_heading_horizon_seconds": 5.0,
+}
+BRAKING = {
+    "other_types": ("vehicle", "pedestrian", "cyclist"), "window_seconds": 1.0, "max_acceleration_mps2": -3.0, "min_speed_drop_mps": 2.0, "min_start_speed_mps": 3.0, "max_front_longitudinal_m": 35.0, "max_lateral_m": 4.0,
+    "traffic_control_max_stop_longitudinal_m": 40.0, "traffic_control_max_stop_lateral_m": 4.0, "traffic_control_target_margin_m": 5.0,
+}
+BLOCKED = {
+    "blocker_types": ("vehicle", "pedestrian", "cyclist", "unknown"), "window_seconds": 1.0, "min_stopped_duration_seconds": 0.5, "max_ego_speed_mps": 0.4, "min_recent_ego_motion_mps": 0.2, "max_blocker_speed_mps": 0.8,
+    "min_front_longitudinal_m": 1.0, "max_front_longitudinal_m": 12.0, "max_lateral_m": 2.5, "traffic_control_max_stop_longitudinal_m": 17.0, "traffic_control_max_stop_lateral_m": 2.5, "min_queue_vehicle_count": 2,
+    "queue_max_front_longitudinal_m": 22.0, "queue_max_lateral_m": 2.8,
+}
+VRU = {
+    "vru_types": ("pedestrian", "cyclist"), "min_longitudinal_m": 0.0, "behind_min_longitudinal_m": -2.0, "behind_close_distance_m": 5.0, "max_longitudinal_m": 16.0, "max_lateral_m": 5.0, "max_distance_m": 12.0,
+    "min_ego_speed_mps": 0.5, "min_closing_speed_mps": 0.2, "close_lateral_m": 3.5, "wide_lateral_min_closing_speed_mps": 1.5, "immediate_distance_m": 6.0, "max_ttc_s": 4.0,
+    "high_immediate_distance_m": 4.5, "high_max_ttc_s": 2.5, "high_close_lateral_m": 3.0, "high_ttc_lateral_m": 3.5, "high_ego_response_max_distance_m": 10.0, "ego_response_window_seconds": 1.0,
+    "ego_response_max_acceleration_mps2": -2.0, "ego_response_min_speed_drop_mps": 1.0,
+    "type_thresholds": {
+        "pedestrian": {"max_distance_m": 10.0, "max_lateral_m": 4.0, "close_lateral_m": 3.0, "high_close_lateral_m": 2.6, "high_ttc_lateral_m": 3.2, "min_closing_speed_mps": 0.8, "wide_lateral_min_closing_speed_mps": 1.5},
+        "cyclist": {"max_distance_m": 12.0, "max_lateral_m": 5.0, "close_lateral_m": 3.5, "high_close_lateral_m": 3.0, "high_ttc_lateral_m": 4.0, "min_closing_speed_mps": 0.5, "wide_lateral_min_closing_speed_mps": 1.2},
+    },
+}
+CONFLICT = {
+    "window_seconds": 3.0, "max_lane_lateral_m": 1.8, "target_lane_lateral_m": 2.2, "max_heading_delta_rad": 0.7, "min_lateral_displacement_m": 1.5, "max_front_longitudinal_m": 25.0, "max_behind_longitudinal_m": 20.0,
+    "max_lateral_m": 3.0, "max_ttc_s": 4.0, "min_closing_speed_mps": 0.5, "min_target_speed_mps": 1.0,
+}
+REPEATED = {"window_seconds": 3.0, "min_lane_changes": 2, "max_lateral_m": 1.5, "max_heading_delta_rad": 0.7, "min_speed_mps": 2.0, "min_stable_duration_seconds": 0.1, "min_lateral_displacement_m": 2.5}
+#: Boxes before any other test of a pair, for rules whose candidates lie within one.
+BOXES = {"vru_close_interaction": {"min_lon": 0.0, "max_lon": 16.0, "max_lat": 5.0, "max_distance": 12.0}}
+#: Single-frame rules over the car, its lights, lanes and motion: some of their predicates need joined features.
 FEATURED = [
     Rule("sdc_vehicle_stopped", "sdc_agent", STOPPED, compact=True),
-    Rule("sdc_vehicle_stopped_at_red", "sdc_agent", STOPPED, compact=True, requires=("traffic_lights",)),
-    Rule("red_light_stop_line_approach", "sdc_agent", intent="supporting", requires=("traffic_lights", "lane_geometry")),
-    Rule("red_light_stop_line_crossed", "sdc_agent", intent="supporting", requires=("traffic_lights", "lane_geometry")),
-    Rule("red_light_running", "sdc_agent", intent="review", episode=True, cooldown=30, requires=("traffic_lights", "lane_geometry")),
-    Rule("sdc_hard_braking", "sdc_pair", intent="review", family="sdc_response", priority=30, episode=True, cooldown=20),
-    Rule("sdc_blocked_unable_to_proceed", "sdc_pair", intent="review", family="planner_blocked", priority=18, episode=True, cooldown=20, current_only=True),
-    Rule("vru_close_interaction", "sdc_pair", intent="review", family="vru", priority=20, episode=True, cooldown=20),
-    Rule("lane_change_conflict", "sdc_pair", intent="review", family="lane_change", priority=20, episode=True, cooldown=20, current_only=True, requires=("lane_geometry",)),
-    Rule("sdc_repeated_lane_change", "sdc_agent", intent="review", episode=True, cooldown=30, current_only=True, requires=("lane_geometry",)),
+    Rule("sdc_vehicle_stopped_at_red", "sdc_agent", (*STOPPED, ("near_red_light_stop_point", {"max_distance_m": 5.0})), compact=True, requires=("traffic_lights",)),
+    Rule("red_light_stop_line_approach", "sdc_agent", (VEHICLE, ("red_light_before_stop_line", LINE | BEFORE)), intent="supporting", requires=("traffic_lights", "lane_geometry")),
+    Rule("red_light_stop_line_crossed", "sdc_agent", (VEHICLE, ("red_light_after_stop_line", LINE | AFTER)), intent="supporting", requires=("traffic_lights", "lane_geometry")),
+    Rule("red_light_running", "sdc_agent", (VEHICLE, ("red_light_crossing_transition", LINE | BEFORE | AFTER)), intent="review", episode=True, cooldown=30, requires=("traffic_lights", "lane_geometry")),
+    Rule("sdc_hard_braking", "sdc_pair", (("pair_types_are", {"ego_type": "vehicle"}), ("pair_ego_hard_braking", BRAKING)), intent="review", family="sdc_response", priority=30, episode=True, cooldown=20),
+    Rule("sdc_blocked_unable_to_proceed", "sdc_pair", (("sdc_blocked_unable_to_proceed", BLOCKED),), intent="review", family="planner_blocked", priority=18, episode=True, cooldown=20, current_only=True),
+    Rule("vru_close_interaction", "sdc_pair", (("vru_close_interaction", VRU),), intent="review", family="vru", priority=20, episode=True, cooldown=20),
+    Rule("lane_change_conflict", "sdc_pair", (("sdc_lane_change_conflict", CONFLICT),), intent="review", family="lane_change", priority=20, episode=True, cooldown=20, current_only=True, requires=("lane_geometry",)),
+    Rule("sdc_repeated_lane_change", "sdc_agent", (VEHICLE, ("sdc_repeated_lane_change", REPEATED)), intent="review", episode=True, cooldown=30, current_only=True, requires=("lane_geometry",)),
 ]
 
 
 def all_rules() -> list[Rule]:
+    """The shipped rules, in the order of their evaluation."""
     return [*pair_rules(), LOW_TTC, *FEATURED, *TEMPORAL]
 
 
+def on_grid(rules: list[Rule], step_s: float) -> list[Rule]:
+    """Rules for frames that are step_s apart: a sustained time becomes the least whole number of steps that is as long, as a tag must have held exactly since a frame."""
+    return [replace(r, sustained=(r.sustained[0], math.ceil(r.sustained[1] / step_s - 1e-9) * step_s)) if r.sustained else r for r in rules]
+
+
 def eligible(events: DataFrame, rules: list[Rule], frames: DataFrame) -> DataFrame:
     """Events of frames that their rule applies to.
 
@@ -138,16 +179,26 @@ def temporal_events(events: DataFrame, rule: Rule) -> DataFrame:
     return temporal.sequence(events, list(rule.steps), seconds=rule.within_s).drop("chain")
 
 
-def gate_sequences(events: DataFrame) -> DataFrame:
-    """Later steps of the cut-in sequences count only for subjects that carry the step before.
+def gates(rules: list[Rule]) -> dict[str, set[str]]:
+    """For each tag that only counts for subjects with a step before it, those steps; in an order in which each gate comes after the gates of its steps.
 
-    The first step and the source of a sustained rule are exempt.
+    These are the later steps of sequences. What begins a sequence or is the source of a sustained rule counts everywhere.
     """
+    free = {r.sustained[0] for r in rules if r.sustained} | {r.steps[0] for r in rules if r.steps}
+    out: dict[str, set[str]] = {}
+    for _, tag, before in sorted((k, r.steps[k], r.steps[k - 1]) for r in rules for k in range(1, len(r.steps)) if r.steps[k] not in free):
+        out.setdefault(tag, set()).add(before)
+    return out
+
+
+def gate_sequences(events: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
+    """Later steps of sequences count only for subjects that carry the step before, which may be gated itself."""
     subject = Window.partitionBy("scenario_id", "subject_id")
-    carries = lambda tag: F.max(F.col("tag_name") == tag).over(subject)
-    rows = events.withColumns({"_adjacent": carries("adjacent_vehicle"), "_approach": carries("cut_in_lateral_approach")})
-    kept = F.when(F.col("tag_name") == "cut_in_lateral_approach", F.col("_adjacent")).when(F.col("tag_name") == "same_path_overlap", F.col("_adjacent") & F.col("_approach")).otherwise(True)
-    return rows.filter(kept).drop("_adjacent", "_approach")
+    rows, kept = events.withColumn("_kept", F.lit(True)), F.col("_kept")
+    for tag, before in gates(TEMPORAL if rules is None else rules).items():
+        carries = F.max(kept & F.col("tag_name").isin(*sorted(before))).over(subject)
+        rows = rows.withColumn("_carries", carries).withColumn("_kept", F.when(F.col("tag_name") == tag, F.col("_carries")).otherwise(kept)).drop("_carries")
+    return rows.filter("_kept").drop("_kept")
 
 
 def _per_tag(rules: list[Rule], value: Callable[[Rule], int], otherwise: int) -> Column:
