@@ -6,14 +6,12 @@ of documents.
 
 from __future__ import annotations
 
-import uuid
-
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadsift.llm import near_dedup, packing, substring_dedup, toxicity
-from roadsift.llm.common import read_table, shared_checkpoints
+from roadsift.llm.common import cut, forget, read_table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 #: SQL can't express the score, the links or the tokens; the tests hold run() against brute force.
@@ -52,10 +50,11 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages in order over documents, each result written as Parquet to the shared folder and read again."""
-    at = f"{shared_checkpoints(spark)}/pipeline-{uuid.uuid4().hex}"
-    docs = read_table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        stage(spark, docs, sf_dir).write.parquet(f"{at}/{name}")
-        docs = spark.read.parquet(f"{at}/{name}")
+    """The stages in order over documents, each result written as Parquet to the shared folder and read again; what a later stage has read is deleted."""
+    docs, before = read_table(spark, sf_dir, "documents"), None
+    for _, stage in STAGES:
+        docs = cut(stage(spark, docs, sf_dir))
+        if before is not None:
+            forget(before)
+        before = docs
     return docs

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -28,9 +31,29 @@ def bound_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BATCH_BYTES))
 
 
+def settle() -> None:
+    """Give free memory back to the system: Python workers wait for further tasks, with all that they have ever held otherwise."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def settled(fn: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """fn over the batches of a task, and settle() after the last one."""
+    @functools.wraps(fn)
+    def run(batches: Iterator) -> Iterator:
+        yield from fn(batches)
+        settle()
+
+    return run
+
+
 def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     bound_batches(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+    return df.mapInArrow(settled(fn), schema)
 
 
 def utf8_crc32(text: Column) -> Column:

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from roadsift.llm.common import WORD, bound_batches, cut, forget
+from roadsift.llm.common import WORD, bound_batches, cut, forget, settled
 from roadsift.llm.components import connected_components
 from roadsift.llm.substring_dedup import Windows, mix
 
@@ -344,21 +344,26 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
     texts take part whole; a worker holds the shingles of one at a time. Sets are told apart by 128
     bits of hashes.
     """
-    spark = docs.sparkSession
+    spark, made = docs.sparkSession, []
+
+    def step(df: DataFrame) -> DataFrame:
+        made.append(cut(df))
+        return made[-1]
+
     bound_batches(spark)
     hashed = [F.col(f"`{c}`") for c in docs.columns if docs.schema[c].dataType.typeName() not in ("map", "variant")]
     source = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.xxhash64(*hashed).alias("row"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
-    told = cut(source.mapInPandas(_described(shingle), DESCRIBED))
+    told = step(source.mapInPandas(settled(_described(shingle)), DESCRIBED))
     sets = told.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = sets.groupBy("s1", "s2").agg(F.min("doc_id").alias("d"))
-    members = cut(_restored(sets.select("doc_id", "row", "s1", "s2"), classes.withColumnRenamed("s2", "_s2"), "s1").filter("s2 = _s2").select("doc_id", "row", "d").distinct())
+    members = step(_restored(sets.select("doc_id", "row", "s1", "s2"), classes.withColumnRenamed("s2", "_s2"), "s1").filter("s2 = _s2").select("doc_id", "row", "d").distinct())
     first = members.filter("doc_id = d").select("doc_id", "row").distinct()
-    sketches = cut(sets.join(first, ["doc_id", "row"]).select(F.col("doc_id").alias("d"), "n_shingles", "tokens", "bits").distinct())
+    sketches = step(sets.join(first, ["doc_id", "row"]).select(F.col("doc_id").alias("d"), "n_shingles", "tokens", "bits").distinct())
     least = percent / 100 - SLACK
 
-    nodes = sketches.select("d", "tokens").mapInPandas(_children(TREES), CHILD)
+    nodes = sketches.select("d", "tokens").mapInPandas(settled(_children(TREES)), CHILD)
     busy = nodes.groupBy("path").agg(F.min("d").alias("lo"), F.max("d").alias("hi")).filter("lo <> hi").select("path")
-    nodes = cut(_restored(nodes, busy, "path").select("d", "path"))
+    nodes = step(_restored(nodes, busy, "path").select("d", "path"))
 
     labels, links = None, []
     for turn in range(ROUNDS):
@@ -367,13 +372,13 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
         first_of = F.struct("d", "component") if turn == 0 else F.struct(F.xxhash64("d", F.lit(turn)).alias("h"), "d", "component")
         heads = rows.groupBy("path").agg(F.min(first_of).alias("head"), F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("path", F.col("head.d").alias("b"), F.col("head.component").alias("of"))
         stars = _restored(rows, heads, "path").filter("component <> of").select(F.col("d").alias("a"), "b").distinct()
-        best = cut(_agree(stars, sketches, least).groupBy("a").agg(F.max_by("b", F.struct("share", F.bitwise_not(F.col("b")))).alias("b")))
-        new = cut(_confirm(best, source, first, shingle, percent))
+        best = step(_agree(stars, sketches, least).groupBy("a").agg(F.max_by("b", F.struct("share", F.bitwise_not(F.col("b")))).alias("b")))
+        new = step(_confirm(best, source, first, shingle, percent))
         forget(best)
         if new.isEmpty():
             break
         links.append(new)
-        labels = cut(_hooked(known, new))
+        labels = step(_hooked(known, new))
         if known is not None:
             forget(known)
 
@@ -383,32 +388,34 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
         counted = rows.groupBy("path", "component").agg(F.count("*").alias("m")).groupBy("path").agg(F.sum("m").alias("n"), F.max(F.struct("m", "component")).alias("x")).filter("n > x.m")
         full = (F.col("n") > LEAF) & (F.col("x.m") > LEAF // 2)
         kinds = counted.select("path", "n", F.col("x.m").alias("most"), F.when(full, F.col("x.component")).alias("top"))
-        rows = cut(_restored(rows, kinds, "path").withColumn("rest", F.when(F.col("top").isNull(), F.col("n")).otherwise(F.col("n") - F.col("most"))))
+        rows = step(_restored(rows, kinds, "path").withColumn("rest", F.when(F.col("top").isNull(), F.col("n")).otherwise(F.col("n") - F.col("most"))))
         others = rows.filter("top IS NULL OR component <> top")
-        pairs.append(cut(_leaf_pairs(others.filter(F.col("rest").between(2, LEAF)))))
+        pairs.append(step(_leaf_pairs(others.filter(F.col("rest").between(2, LEAF)))))
         full = rows.filter("top IS NOT NULL")
         if not full.isEmpty():
-            suspects.append(cut(_scanned(full, sketches, least)))
+            suspects.append(step(_scanned(full, sketches, least)))
         large = others.filter(F.col("rest") > LEAF)
         if large.isEmpty():
             break
         if level + 1 == LEVELS:
-            links.append(cut(_family_links(large, _families(large), sketches, source, first, shingle, percent)))
+            links.append(step(_family_links(large, _families(large), sketches, source, first, shingle, percent)))
             break
-        done, at = at, cut(large.select("path", "d").join(sketches.select("d", "tokens"), "d").mapInPandas(_children(None), CHILD).distinct())
+        done, at = at, step(large.select("path", "d").join(sketches.select("d", "tokens"), "d").mapInPandas(settled(_children(None)), CHILD).distinct())
         forget(done, rows)
 
     found = _agree(_all(pairs).distinct(), sketches, least).select("a", "b")
     if suspects:
-        each = cut(_all(suspects).groupBy("a", "component").agg(F.max_by("b", "share").alias("b")))
-        sure = _confirm(cut(found.union(each.select("a", "b")).distinct()), source, first, shingle, percent)
-        sure = cut(sure)
-        left = cut(each.join(sure, ["a", "b"], "left_anti").select(F.col("a").alias("d"), "component"))
+        each = step(_all(suspects).groupBy("a", "component").agg(F.max_by("b", "share").alias("b")))
+        sure = _confirm(step(found.union(each.select("a", "b")).distinct()), source, first, shingle, percent)
+        sure = step(sure)
+        left = step(each.join(sure, ["a", "b"], "left_anti").select(F.col("a").alias("d"), "component"))
         if not left.isEmpty():
-            links.append(cut(_against_all(left, labels, sketches, source, first, shingle, percent)))
+            links.append(step(_against_all(left, labels, sketches, source, first, shingle, percent)))
     else:
-        sure = cut(_confirm(cut(found), source, first, shingle, percent))
+        sure = step(_confirm(step(found), source, first, shingle, percent))
     links.append(sure)
+    read = {id(t) for t in (told, members, labels, *links)}
+    forget(*[t for t in made if id(t) not in read])
     twice = members.groupBy("doc_id").agg(F.min("d").alias("b"), F.max("d").alias("a")).filter("a <> b")
     links.append(members.join(twice.select("doc_id", "b"), "doc_id").select(F.col("d").alias("a"), "b").filter("a <> b").distinct())
     parts = connected_components(_ends(_all(links), labels).select(F.col("hi").alias("a"), F.col("lo").alias("b")))
@@ -418,7 +425,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
     placed = placed.select("doc_id", "row", F.coalesce("part", "component").alias("component_id")).distinct()
     out = told.select("doc_id", "row", "n_shingles").join(placed, ["doc_id", "row"], "left")
     component = F.coalesce("component_id", "doc_id")
-    return out.select("doc_id", "row", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    out = cut(out.select("doc_id", "row", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept")))
+    forget(*made)
+    return out
 
 
 def _all(parts: list[DataFrame]) -> DataFrame:

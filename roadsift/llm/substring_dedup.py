@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadsift.llm.common import bound_batches
+from roadsift.llm.common import bound_batches, settle, settled
 
 WINDOW = 35
 #: Windows that a task counts on its own before it hands them on; a window that many texts share leaves each block once.
@@ -188,9 +188,9 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, text_col: str = "tex
     copied = keys.select("sid", (F.bitwise_not(F.col("k1"))).alias("l1"), (F.bitwise_not(F.col("k2"))).alias("l2")).join(copies, ["l1", "l2"]).groupBy("sid").agg(F.max((F.col("sid") == F.col("one")).cast("int")).alias("stands"))
     apart = rows.join(copied, "sid", "left").filter("stands IS NULL OR stands = 1").drop("stands")
 
-    level = _repeated(apart.mapInPandas(_emit(lambda w, _: least_windows(w, quarter, window)), ROWS))
-    level = _repeated(rows.join(level, "sid").mapInPandas(_emit(_extend(quarter, half)), ROWS))
-    level = _repeated(rows.join(level, "sid").mapInPandas(_emit(_around(half, window)), f"{ROWS}, part2 long"))
+    level = _repeated(apart.mapInPandas(settled(_emit(lambda w, _: least_windows(w, quarter, window))), ROWS))
+    level = _repeated(rows.join(level, "sid").mapInPandas(settled(_emit(_extend(quarter, half))), ROWS))
+    level = _repeated(rows.join(level, "sid").mapInPandas(settled(_emit(_around(half, window))), f"{ROWS}, part2 long"))
     marks = copied.select("sid", F.lit(True).alias("copied")).join(level, "sid", "full")
     return rows, marks
 
@@ -236,6 +236,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, text_col: str = "text"
                 gone = cover(len(words), bool(c), s, window)
                 out.append((len(words), int(gone.sum()), b" ".join(w for w, g in zip(words, gone.tolist(), strict=True) if not g).decode()))
             yield pd.DataFrame(out, columns=["n_words", "n_removed", "kept"])
+        settle()
 
     joined = rows.join(marks, "sid", "left").withColumn("_d", kept(TEXT, F.coalesce("copied", F.lit(False)), "starts"))
     whole: Column = F.when(F.col("_d.n_removed") > 0, F.col("_d.kept")).otherwise(F.col(TEXT))

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadsift.llm.common import bound_batches
+from roadsift.llm.common import bound_batches, settle
 
 #: The classifier is fitted on about this many labelled rows at most, chosen by a hash of doc_id.
 TRAINING_ROWS = 20_000
@@ -311,6 +311,8 @@ def counted(texts: DataFrame, stems: list[str], column: str = "text", keep: tupl
         reader = Grammar(stems)
         for texts in parts:
             yield pd.Series([reader.count(t) for t in texts], dtype=object)
+        del reader
+        settle()
 
     return texts.select(*keep, kinds(F.col(column)).alias("counts"))
 
