@@ -277,8 +277,12 @@ def prd_22_sdc_lane_changed(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("scenario_id", "step_index", "track_id", *[F.col(c) for c in ("previous_lane", "current_lane", "previous_frame", "current_frame")])
 
 
+#: Families of queries that take longest, so that they come last.
+LATE = ("nrm_01_linked", "src_01", "nrm_16_map", "rul_0", "run_0")
+
+
 def queries() -> dict[str, Query]:
-    return dict(QUERIES)
+    return dict(sorted(QUERIES.items(), key=lambda q: q[0].startswith(LATE)))
 
 
 def oracle_sql() -> dict[str, str]:
@@ -289,4 +293,5 @@ from roadsift import catalog_rules as _rules  # noqa: E402, F401
 from roadsift import catalog_pack as _pack  # noqa: E402, F401
 from roadsift import catalog_review as _review  # noqa: E402, F401
 from roadsift import catalog_sources as _sources  # noqa: E402, F401
+from roadsift import catalog_documents as _documents  # noqa: E402, F401
 from roadsift import catalog_scenes as _scenes  # noqa: E402, F401

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadsift import binding as B
 from roadsift import catalog as C
 from roadsift import catalog_rules as R
-from roadsift.catalog import add, pairs_of, query
+from roadsift.catalog import add, pairs_of, query, r6
 from roadsift.catalog_rules import chain_sql, cool_sql, merged_sql
 from roadsift.operators import align, light_predicates, policy, temporal
 from roadsift.operators.predicates import BUILTIN
@@ -210,9 +210,13 @@ def frames_of(spark: SparkSession, sf: str) -> DataFrame:
     return align.causal(align.modalities(B.agent_states(spark, sf), B.traffic_lights(spark, sf), B.map_features(spark, sf)), B.scenarios(spark, sf), B.CURRENT, B.STEPS - 1 - B.CURRENT)
 
 
+def tables_of(spark: SparkSession, sf: str) -> evaluate.Tables:
+    return evaluate.Tables(B.agent_states(spark, sf), B.traffic_lights(spark, sf), B.map_features(spark, sf), B.scenarios(spark, sf))
+
+
 def run_of(spark: SparkSession, sf: str, mode: str = "causal_online") -> evaluate.Run:
     """A run of all rules over the derived tables."""
-    return evaluate.evaluate(evaluate.Tables(B.agent_states(spark, sf), B.traffic_lights(spark, sf), B.map_features(spark, sf), B.scenarios(spark, sf)), RULES, mode)
+    return evaluate.evaluate(tables_of(spark, sf), RULES, mode)
 
 
 RAW_SQL = {t: f"SELECT scenario_id, subject_id, frame_index FROM ({B.SQL}{PACK_SQL} SELECT * FROM tag WHERE tag_name = '{t}')" for t in (*COND, "low_ttc_pair")}
@@ -231,7 +235,7 @@ SINGLE_SQL = " UNION ALL ".join(f"SELECT scenario_id, frame_index, '{t}' AS tag_
 
 @query(SINGLE_SQL, "")
 def rul_01_single_frame(spark: SparkSession, sf: str) -> DataFrame:
-    return run_of(spark, sf).events.filter(~F.col("tag_name").isin(*BY_TAG)).select(*EVENT_OUT)
+    return evaluate.detect(tables_of(spark, sf), RULES)[0].select(*EVENT_OUT)
 
 
 def _both(tag: str, n: str, priority: int) -> str:
@@ -267,12 +271,50 @@ def run_02_scenario_stats(spark: SparkSession, sf: str) -> DataFrame:
     return frames.join(counts, "scenario_id", "left").select("scenario_id", "input_frames", "future_frames", F.coalesce("events", F.lit(0)).alias("events"), F.coalesce("tags", F.lit(0)).alias("tags"))
 
 
-@query(f"{B.SQL}, singles AS ({SINGLE_SQL}) SELECT tag_name AS rule_id, CASE WHEN tag_name LIKE 'sdc_vehicle%' OR tag_name LIKE 'red_light%' OR tag_name = 'sdc_repeated_lane_change' THEN (SELECT count(*) FROM sdc WHERE {SEEN}) ELSE (SELECT count(*) FROM pairs WHERE {SEEN}) END AS candidates, count(*) AS events, count(DISTINCT (scenario_id, subject_id)) AS subjects FROM singles GROUP BY tag_name", "")
+@query(
+    PACK_SQL + C.BRAKING_SQL
+    + """SELECT t.scenario_id, frame_index, t.subject_id, 'low_ttc_pair' AS tag_name, 'supporting' AS intent, '0' AS ego_id, other_id AS target_id, NULL AS risk_level, NULL AS review_subtype, round(lon / closing, 6) AS ttc_s, round(closing, 6) AS closing_speed_mps, NULL AS acceleration_mps2, NULL AS distance_m, NULL AS red_stop_m
+  FROM tag t JOIN pairs p ON t.scenario_id = p.scenario_id AND t.subject_id = p.subject_id AND t.frame_index = p.step_index WHERE tag_name = 'low_ttc_pair'
+UNION ALL SELECT scenario_id, step_index, subject_id, 'sdc_hard_braking', 'review', '0', other_id, risk_level, review_subtype, NULL, NULL, round(acceleration, 6), round(distance, 6), round(red_lon, 6) FROM braking WHERE step_index <= 10"""
+)
+def rul_02_operator_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """Events with the metrics of their predicates, their roles and their risk."""
+    rules = [r for r in RULES if r.tag in ("low_ttc_pair", "sdc_hard_braking")]
+    part = F.split("subject_id", ":", 2)
+
+    def told(name: str) -> Column:
+        found = F.filter(F.flatten("operators.metrics"), lambda m: m["name"] == name)
+        return r6(F.try_element_at(found, F.lit(1))["value"].cast("double")).alias("red_stop_m" if name.startswith("red_") else name)
+
+    once = lambda *names: F.filter("operators", lambda o: o["operator"].isin(*names))
+    rows = evaluate.detect(tables_of(spark, sf), rules)[0].withColumn("operators", once("low_ttc", "pair_ego_hard_braking"))
+    return rows.select("scenario_id", "frame_index", "subject_id", "tag_name", "intent", part[0].alias("ego_id"), part[1].alias("target_id"), "risk_level", "review_subtype", *[told(n) for n in ("ttc_s", "closing_speed_mps", "acceleration_mps2", "distance_m", "red_light_stop_longitudinal_m")])
+
+
+_SUSTAINED = {r.tag: r.sustained[0] for r in BY_TAG.values() if r.sustained}
+_DETECTED = {t: f"SELECT count(*) FROM ({B.SQL}{STOP_SQL if t.startswith('sdc') else PACK_SQL}{sustained_sql(source)} SELECT * FROM s_hit)" for t, source in _SUSTAINED.items()}
+_DETECTED |= {r.tag: f"SELECT count(*) FROM ({B.SQL}{PACK_SQL}{chain_sql(list(r.steps), 'b.ts >= a.anchor_ts - 0.8')} SELECT * FROM c{len(r.steps) - 1})" for r in BY_TAG.values() if r.steps}
+_CHEAP = {t: f"{LANE_FREE} AND {c}" for t, c in COND.items()} | {
+    "low_ttc_pair": f"{LANE_FREE} AND {TTC_COND}", "sdc_hard_braking": SEEN, "sdc_blocked_unable_to_proceed": "step_index = 10", "vru_close_interaction": f"{SEEN} AND lon >= 0 AND lon <= 16 AND abs(lat) <= 5 AND distance <= 12", "lane_change_conflict": "step_index = 10",
+    "sdc_vehicle_stopped": f"{SEEN} AND speed < 0.5", "sdc_vehicle_stopped_at_red": f"{SEEN} AND speed < 0.5 AND lit", "red_light_stop_line_approach": f"{SEEN} AND lit", "red_light_stop_line_crossed": f"{SEEN} AND lit", "red_light_running": f"{SEEN} AND lit", "sdc_repeated_lane_change": "step_index = 10",
+}
+_SINGLE = [r for r in RULES if r.conditions]
+
+
+def _rule_counts(r: pack.Rule) -> str:
+    lit, now = "traffic_lights" in r.requires, "step_index = 10" if r.current_only else SEEN
+    looked = now + (" AND lit" if lit else "")
+    source = "lit_pairs" if r.subject == "sdc_pair" else "lit_sdc"
+    return f"SELECT '{r.tag}' AS rule_id, (SELECT count(*) FROM seen_frames WHERE {looked}) AS frames_evaluated, (SELECT count(*) FROM seen_frames WHERE {SEEN} AND NOT ({looked})) AS frames_skipped, (SELECT count(*) FROM {source} WHERE {looked}) AS subjects, (SELECT count(*) FROM {source} WHERE {_CHEAP[r.tag]}) AS candidates, (SELECT count(*) FROM singles WHERE tag_name = '{r.tag}') AS events"
+
+
+@query(
+    f"""{B.SQL}, singles AS MATERIALIZED ({SINGLE_SQL}), seen_frames AS MATERIALIZED (SELECT DISTINCT scenario_id, step_index, scenario_id IN (SELECT o_orderkey FROM orders) AS lit FROM st),
+lit_sdc AS MATERIALIZED (SELECT *, scenario_id IN (SELECT o_orderkey FROM orders) AS lit FROM sdc), lit_pairs AS MATERIALIZED (SELECT *, scenario_id IN (SELECT o_orderkey FROM orders) AS lit FROM pairs)
+"""
+    + " UNION ALL ".join([*map(_rule_counts, _SINGLE), *[f"SELECT '{t}', NULL, NULL, NULL, NULL, ({q})" for t, q in _DETECTED.items()]]),
+    "",
+)
 def run_03_rule_counters(spark: SparkSession, sf: str) -> DataFrame:
-    """Candidates, events and subjects of each single-frame rule that has events."""
-    pairs = seen_pairs(spark, sf).agg(F.count("*").alias("candidates")).withColumn("of_pairs", F.lit(True))
-    cars = C.sdc_ok(spark, sf).filter(SEEN).agg(F.count("*").alias("candidates")).withColumn("of_pairs", F.lit(False))
-    over_cars = [r.tag for r in pack.FEATURED if r.subject == "sdc_agent"]
-    rules = single_frame_events(spark, sf).groupBy("tag_name").agg(F.count("*").alias("events"), F.count_distinct("scenario_id", "subject_id").alias("subjects"))
-    rules = rules.withColumn("of_pairs", ~F.col("tag_name").isin(*over_cars))
-    return rules.join(F.broadcast(pairs.union(cars)), "of_pairs").select(F.col("tag_name").alias("rule_id"), "candidates", "events", "subjects")  # two rows of counts
+    """What each of the 21 rules looked at, skipped and found."""
+    return run_of(spark, sf).counters.groupBy("rule_id").agg(*[F.sum(c).alias(c) for c in ("frames_evaluated", "frames_skipped", "subjects", "candidates", "events")])

@@ -51,6 +51,28 @@ def rev_04_group(spark: SparkSession, sf: str) -> DataFrame:
     return grouped(spark, sf).select("scenario_id", "frame_index", "review_group")
 
 
+MIXED_SQL = f""", mixed AS (SELECT *, list_extract({[*review.PRIMARY_TAGS, *review.SUPPORTING_TAGS, "cut_in_candidate"]!r}, CAST(scenario_id + frame_index * 7 AS BIGINT) % {len(review.PRIMARY_TAGS) + len(review.SUPPORTING_TAGS) + 1} + 1) AS tag,
+  CASE (frame_index + scenario_id) % 5 WHEN 0 THEN 'review' WHEN 1 THEN 'supporting' WHEN 2 THEN 'debug' WHEN 3 THEN 'other' END AS said, CASE (frame_index + 2 * scenario_id) % 4 WHEN 0 THEN 'high' WHEN 1 THEN 'medium' WHEN 2 THEN 'low' END AS risk FROM ev)
+"""
+
+
+@query(MIXED_SQL + f"SELECT scenario_id, frame_index, tag, CASE WHEN tag = 'vru_close_interaction' AND risk IN ('medium', 'low') THEN 'supporting' WHEN said = 'review' THEN 'primary' WHEN said IN ('supporting', 'debug') THEN said WHEN tag IN {review.PRIMARY_TAGS!r} THEN 'primary' WHEN tag IN {review.SUPPORTING_TAGS!r} THEN 'supporting' ELSE 'debug' END AS review_group FROM mixed")
+def rev_04_group_without_intent(spark: SparkSession, sf: str) -> DataFrame:
+    """Groups of events of all tags, with intents missing or unknown and risks of all kinds."""
+    return mixed(spark, sf).select("scenario_id", "frame_index", F.col("tag_name").alias("tag"), "review_group")
+
+
+@B.remembered
+def mixed(spark: SparkSession, sf: str) -> DataFrame:
+    tags = [*review.PRIMARY_TAGS, *review.SUPPORTING_TAGS, "cut_in_candidate"]
+    s, f = F.col("scenario_id"), F.col("frame_index")
+    tag = F.element_at(F.array(*[F.lit(t) for t in tags]), ((s + f * 7) % len(tags) + 1).cast("int"))
+    said = F.element_at(F.array(F.lit("review"), F.lit("supporting"), F.lit("debug"), F.lit("other"), F.lit(None)), ((f + s) % 5 + 1).cast("int"))
+    risk = F.element_at(F.array(F.lit("high"), F.lit("medium"), F.lit("low"), F.lit(None)), ((f + 2 * s) % 4 + 1).cast("int"))
+    rows = B.tag_events(spark, sf).select("scenario_id", "frame_index", tag.alias("tag_name"), said.alias("intent"), risk.alias("risk_level"), F.concat(F.lit("0:"), (f % 3).cast("string")).alias("subject_id"), F.when(f % 4 != 0, F.concat(F.lit("sub"), (f % 2).cast("string"))).alias("review_subtype"))
+    return rows.withColumn("review_group", review.group_of(F.col("tag_name"), F.col("intent"), F.col("risk_level")))
+
+
 @query(EVR + "SELECT scenario_id, frame_index, coalesce(risk_level, CASE review_group WHEN 'primary' THEN 'high' ELSE 'candidate' END) AS risk_level FROM grouped")
 def rev_05_risk_level(spark: SparkSession, sf: str) -> DataFrame:
     return grouped(spark, sf).select("scenario_id", "frame_index", review.risk_of(F.col("risk_level"), F.col("review_group")).alias("risk_level"))

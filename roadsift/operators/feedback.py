@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from roadsift.scratch import cut, forget
+
 # Fixed values of the result envelope.
 CONSTANTS = {"protocol_version": "shared_exchange_protocol.v1", "schema_version": "evaluation_run_result.v1", "message_type": "evaluation.run.result"}
 SCENE_ID, SAFE_ID = "^[0-9a-f]{32}$", "^[A-Za-z0-9][A-Za-z0-9._-]{0,127}$"
@@ -65,3 +67,52 @@ def absorb(batch: DataFrame, store: DataFrame) -> DataFrame:
     base = F.coalesce("_stored", "_first")
     action = F.when(F.col("_stored").isNull() & (F.col("_n") == 1), "new").when(F.col("digest") == base, "duplicate").otherwise("conflict")
     return rows.select("run_id", "seq", "digest", action.alias("action"))
+
+
+STORE = "run_id string, digest string, document string"
+
+
+def documents(results: DataFrame) -> DataFrame:
+    """(run_id, digest, document) and ``seq``, where there is one, of valid results.
+
+    The document is the feedback as JSON, with sorted field names; it tells the source envelope with
+    a digest of the whole result, the identity, the classification and the evaluation. ``digest`` is
+    the document's own.
+    """
+    kinds = classification()
+    whole = F.sha2(F.to_json(F.struct(*sorted((*CONSTANTS, "message_id", "created_at", "payload")))), 256)
+    p = lambda n: F.col(f"payload.{n}").alias(n)
+    parts = {
+        "schema_version": F.lit("scenario_feedback.v1"), "feedback_id": F.concat(F.lit("feedback-"), "payload.run_id"),
+        "source": F.struct(*[F.col(c).alias(c) for c in sorted((*CONSTANTS, "message_id", "created_at"))], whole.alias("content_sha256")),
+        "identity": F.struct(p("algorithm"), p("odd"), p("run_id"), F.col("payload.scene_id").alias("scenario_id"), F.col("payload.scene_id").alias("scene_token"), p("scene_version")),
+        "classification": F.struct(*[kinds[n].alias(n) for n in sorted(kinds)]),
+        "evaluation": F.struct(*[p(n) for n in ("duration_sec", "finished_at", "outcome", "runtime_status", "started_at", "status", "summary")]),
+    }
+    text = F.to_json(F.struct(*[parts[n].alias(n) for n in sorted(parts)]))
+    valid = results.filter(F.size(errors()) == 0)
+    return valid.select(*[c for c in ("seq",) if c in results.columns], F.col("payload.run_id").alias("run_id"), text.alias("document")).withColumn("digest", F.sha2("document", 256))
+
+
+def read_store(spark: SparkSession, path: str) -> DataFrame:
+    """What a store holds: (run_id, digest, document), one row a run; nothing where there is no store yet."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
+        return spark.createDataFrame([], STORE)
+    return spark.read.schema(STORE).parquet(path)
+
+
+def store(batch: DataFrame, path: str) -> DataFrame:
+    """Append a batch of documents() with ``seq`` to the store at path; (run_id, seq, digest, action) of each.
+
+    Only documents of new runs are written, in one commit of Spark's writer, so that a batch that
+    breaks off leaves the store as it was and running it again is safe: what is there already is a
+    "duplicate", or a "conflict" where it differs, and conflicts are never written. One writer at a
+    time.
+    """
+    spark = batch.sparkSession
+    told = cut(absorb(batch, read_store(spark, path)).join(batch.select("run_id", "seq", "document"), ["run_id", "seq"]))
+    told.filter("action = 'new'").select("run_id", "digest", "document").write.mode("append").parquet(path)
+    out = cut(told.drop("document"))
+    forget(told)
+    return out

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-PRIMARY_TAGS = ("purchase", "error")
+# Groups of tags whose event states no intent; all others are for debugging.
+PRIMARY_TAGS = ("cut_in_confirmed", "cut_in_risk", "low_ttc_pair", "persistent_low_ttc_pair", "red_light_running", "sdc_hard_braking", "sdc_blocked_unable_to_proceed", "vru_close_interaction", "lane_change_conflict")
+SUPPORTING_TAGS = ("adjacent_vehicle", "cut_in_lateral_approach", "same_path_overlap", "red_light_stop_line_approach", "red_light_stop_line_crossed")
 
 
 def first_of_each(events: DataFrame, key: list[str], order: list[str]) -> DataFrame:
@@ -22,8 +24,10 @@ def nearest_targets(braking: DataFrame) -> DataFrame:
 
 
 def group_of(tag: Column, intent: Column, risk: Column) -> Column:
-    """Review group of an event."""
-    return F.when((tag == "vru_close_interaction") & (risk == "medium"), "supporting").when(intent == "review", "primary").when(intent == "supporting", "supporting").otherwise("debug")
+    """Review group of an event: a close interaction whose stated risk isn't high is supporting, then the intent decides, then the tag."""
+    stated = F.when(intent == "review", "primary").when(intent.isin("supporting", "debug"), intent)
+    by_tag = F.when(tag.isin(*PRIMARY_TAGS), "primary").when(tag.isin(*SUPPORTING_TAGS), "supporting").otherwise("debug")
+    return F.when((tag == "vru_close_interaction") & risk.isNotNull() & (risk != "high"), "supporting").otherwise(F.coalesce(stated, by_tag))
 
 
 def risk_of(risk: Column, group: Column) -> Column:
@@ -40,6 +44,17 @@ def summary(events: DataFrame) -> DataFrame:
     return events.groupBy("scenario_id").agg(*counts, F.count_distinct("subject_id").alias("targets"), F.array_join(F.array_sort(F.collect_set("tag_name")), ",").alias("tags"))
 
 
+def scenario_summary(events: DataFrame) -> DataFrame:
+    """Per scenario: maps of counts by group, tag and risk, the sorted distinct targets, and how many events are primary and supporting."""
+    target = F.when(F.col("subject_id").contains(":"), target_of(F.col("subject_id")))
+    named = {"group": F.col("review_group"), "tag": F.col("tag_name"), "risk": risk_of(F.col("risk_level"), F.col("review_group")), "target": target}
+    rows = events.select("scenario_id", F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), v.alias("name")) for k, v in named.items()])).alias("n")).select("scenario_id", "n.*").filter("name IS NOT NULL")
+    counts = rows.groupBy("scenario_id", "kind", "name").agg(F.count("*").alias("events"))
+    entry = lambda kind: F.array_sort(F.collect_list(F.when(F.col("kind") == kind, F.struct("name", "events"))))
+    total = lambda group: F.coalesce(F.sum(F.when((F.col("kind") == "group") & (F.col("name") == group), F.col("events"))), F.lit(0))
+    return counts.groupBy("scenario_id").agg(*[F.map_from_entries(entry(k)).alias(f"by_{k}") for k in ("group", "tag", "risk")], F.transform(entry("target"), lambda e: e["name"]).alias("targets"), total("primary").alias("primary_events"), total("supporting").alias("candidate_events"))
+
+
 def counters(events: DataFrame, *by: str) -> DataFrame:
     return events.groupBy(*by).agg(F.count("*").alias("events"), F.count_distinct("scenario_id", "subject_id").alias("subjects"))
 

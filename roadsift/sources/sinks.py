@@ -26,3 +26,11 @@ def read_payloads(spark: SparkSession, path: str, schema: str) -> tuple[DataFram
     rows = spark.read.text(path).select("value", F.col("_metadata.file_name").alias("file"))
     rows = rows.withColumn("d", F.from_json("value", f"{schema}, _bad string", {"columnNameOfCorruptRecord": "_bad", "mode": "PERMISSIVE"}))
     return rows.filter("d._bad IS NULL").select("file", "d.*").drop("_bad"), rows.filter("d._bad IS NOT NULL").select("file", F.col("value").alias("text"))
+
+
+def index_payloads(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(scenario_id, file, n_frames, n_events, tags) of the readable documents below a path, and the diagnostics of the others: the index knows the files and not what they were made from."""
+    told, broken = read_payloads(spark, path, "scenario_id string, frames array<struct<step_index:int>>, events array<struct<tag_name:string>>")
+    lacking = F.col("scenario_id").isNull() | F.col("frames").isNull()
+    index = told.filter(~lacking).select("scenario_id", "file", F.size("frames").alias("n_frames"), F.coalesce(F.size("events"), F.lit(0)).alias("n_events"), F.array_sort(F.array_distinct(F.coalesce(F.col("events.tag_name"), F.array().cast("array<string>")))).alias("tags"))
+    return index, broken.unionByName(told.filter(lacking).select("file", F.lit(None).cast("string").alias("text")))
