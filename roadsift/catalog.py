@@ -88,14 +88,15 @@ BRAKING = {"max_acceleration_mps2": -3.0, "min_speed_drop_mps": 2.0, "min_start_
 MOTION = ("dt", "start_speed", "speed_delta", "acceleration")
 
 
-def moving_pairs(states: DataFrame, scenarios: DataFrame, seconds: float = 1.0) -> DataFrame:
-    """Pairs with the car's motion over the past, which windows over the same layout by scenario give."""
-    return subjects.sdc_pairs(features.speed_change(states, seconds), scenarios, MOTION)
+def moving_cars(states: DataFrame, scenarios: DataFrame, seconds: float = 1.0) -> DataFrame:
+    """The car's rows with its motion over the past."""
+    return features.speed_change(subjects.sdc_states(states, scenarios), seconds)
 
 
 def gated_by_braking(states: DataFrame, scenarios: DataFrame, args: dict = BRAKING) -> DataFrame:
-    """Pairs of cars that brake hard."""
-    return moving_pairs(states, scenarios).filter((F.col("acceleration") <= args["max_acceleration_mps2"]) & (-F.col("speed_delta") >= args["min_speed_drop_mps"]) & (F.col("start_speed") >= args["min_start_speed_mps"]))
+    """Pairs of cars that brake hard: frames in which the car doesn't are left out before it is paired."""
+    hard = (F.col("acceleration") <= args["max_acceleration_mps2"]) & (-F.col("speed_delta") >= args["min_speed_drop_mps"]) & (F.col("start_speed") >= args["min_start_speed_mps"])
+    return subjects.car_pairs(moving_cars(states, scenarios).filter(hard), states, MOTION)
 
 
 @B.remembered
@@ -137,7 +138,7 @@ def vru_pairs(spark: SparkSession, sf: str, prefilter: bool = False) -> DataFram
     from roadsift.operators.predicates import vru_reasons
 
     states = B.agent_states(spark, sf)
-    pairs = moving_pairs(states, B.scenarios(spark, sf)).filter(F.col("other_type").isin("pedestrian", "cyclist"))
+    pairs = subjects.car_pairs(moving_cars(states, B.scenarios(spark, sf)), states.filter(F.col("object_type").isin("pedestrian", "cyclist")), MOTION)
     if prefilter:
         pairs = subjects.boxed(pairs, {"min_lon": 0.0, "max_lon": 16.0, "max_lat": 5.0, "max_distance": 12.0})
     rows = pairs.filter(BUILTIN("vru_close_interaction", **VRU))

@@ -295,7 +295,7 @@ _SUSTAINED = {r.tag: r.sustained[0] for r in BY_TAG.values() if r.sustained}
 _DETECTED = {t: f"SELECT count(*) FROM ({B.SQL}{STOP_SQL if t.startswith('sdc') else PACK_SQL}{sustained_sql(source)} SELECT * FROM s_hit)" for t, source in _SUSTAINED.items()}
 _DETECTED |= {r.tag: f"SELECT count(*) FROM ({B.SQL}{PACK_SQL}{chain_sql(list(r.steps), 'b.ts >= a.anchor_ts - 0.8')} SELECT * FROM c{len(r.steps) - 1})" for r in BY_TAG.values() if r.steps}
 _CHEAP = {t: f"{LANE_FREE} AND {c}" for t, c in COND.items()} | {
-    "low_ttc_pair": f"{LANE_FREE} AND {TTC_COND}", "sdc_hard_braking": SEEN, "sdc_blocked_unable_to_proceed": "step_index = 10", "vru_close_interaction": f"{SEEN} AND lon >= 0 AND lon <= 16 AND abs(lat) <= 5 AND distance <= 12", "lane_change_conflict": "step_index = 10",
+    "low_ttc_pair": f"{LANE_FREE} AND {TTC_COND}", "sdc_hard_braking": f"{SEEN} AND lon >= 0 AND lon <= 35 AND abs(lat) <= 4", "sdc_blocked_unable_to_proceed": "step_index = 10 AND lon BETWEEN 1 AND 12 AND abs(lat) <= 2.5 AND ego_speed <= 0.4 AND other_speed <= 0.8", "vru_close_interaction": f"{SEEN} AND other_type IN ('pedestrian', 'cyclist') AND lon >= 0 AND lon <= 16 AND abs(lat) <= 5 AND distance <= 12", "lane_change_conflict": "step_index = 10 AND other_type = 'vehicle' AND lon <= 25 AND lon >= -20 AND abs(lat) <= 3 AND other_speed >= 1",
     "sdc_vehicle_stopped": f"{SEEN} AND speed < 0.5", "sdc_vehicle_stopped_at_red": f"{SEEN} AND speed < 0.5 AND lit", "red_light_stop_line_approach": f"{SEEN} AND lit", "red_light_stop_line_crossed": f"{SEEN} AND lit", "red_light_running": f"{SEEN} AND lit", "sdc_repeated_lane_change": "step_index = 10",
 }
 _SINGLE = [r for r in RULES if r.conditions]

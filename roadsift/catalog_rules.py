@@ -155,8 +155,9 @@ WIDE_SQL = ", wide AS (SELECT e.scenario_id, e.step_index, e.track_id, max(p.y)
 
 @query(WIDE_SQL + "SELECT scenario_id, step_index, subject_id, round(width, 6) AS lateral_range FROM pairs JOIN wide USING (scenario_id, step_index) WHERE width >= 1.5")
 def sub_10_lateral_gate(spark: SparkSession, sf: str) -> DataFrame:
-    wide = features.lateral_range(subjects.sdc_states(B.agent_states(spark, sf), B.scenarios(spark, sf)), 3.0).filter("lateral_range >= 1.5").select("scenario_id", "step_index", "lateral_range")
-    return pairs_of(spark, sf).join(wide, ["scenario_id", "step_index"]).select(*PAIR, r6("lateral_range").alias("lateral_range"))
+    states = B.agent_states(spark, sf)
+    wide = features.lateral_range(subjects.sdc_states(states, B.scenarios(spark, sf)), 3.0).filter("lateral_range >= 1.5")
+    return subjects.car_pairs(wide, states, ("lateral_range",)).select(*PAIR, r6("lateral_range").alias("lateral_range"))
 
 
 @query("SELECT scenario_id, step_index, subject_id FROM pairs p WHERE EXISTS (SELECT 1 FROM pairs q WHERE q.scenario_id = p.scenario_id AND q.subject_id = p.subject_id AND abs(q.lat) <= 1 AND q.lon BETWEEN 0 AND 5)")

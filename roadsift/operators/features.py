@@ -100,13 +100,18 @@ def lane_match(agents: DataFrame, segments: DataFrame, max_lateral: float, max_h
 
 
 def red_lanes(lights: DataFrame, features: DataFrame) -> DataFrame:
-    """Red lights on mapped lanes with the lane's direction at the stop point and its heading change ahead over 15 m."""
+    """Red lights on mapped lanes with the lane's direction at the stop point and its heading change ahead over 15 m.
+
+    The steps of a stop point are one row while its lane is looked up and followed.
+    """
     red = lights.filter(F.col("state").isin(*RED_STATES) & F.col("stop_x").isNotNull())
+    stop = ["scenario_id", "lane_id", "stop_x", "stop_y"]
+    rest = [c for c in red.columns if c not in stop]
+    stops = red.groupBy(*stop).agg(F.collect_list(F.struct(*rest)).alias("_l"))
     lane = features.filter("size(polyline) >= 2").select("scenario_id", F.col("feature_id").alias("lane_id"), "polyline")
-    stops = red.select("scenario_id", "lane_id", "stop_x", "stop_y").distinct().join(lane, ["scenario_id", "lane_id"])
-    told = stops.select("scenario_id", "lane_id", "stop_x", "stop_y", lane_direction(F.col("polyline"), F.col("stop_x"), F.col("stop_y")).alias("d"), lane_turn(F.col("polyline"), F.col("stop_x"), F.col("stop_y"), 15.0).alias("lane_turn"))
-    told = told.filter("d IS NOT NULL").select("scenario_id", "lane_id", "stop_x", "stop_y", F.col("d.x").alias("dir_x"), F.col("d.y").alias("dir_y"), "lane_turn")
-    return red.join(told, ["scenario_id", "lane_id", "stop_x", "stop_y"])
+    told = stops.join(lane, ["scenario_id", "lane_id"]).select(*stop, "_l", lane_direction(F.col("polyline"), F.col("stop_x"), F.col("stop_y")).alias("d"), lane_turn(F.col("polyline"), F.col("stop_x"), F.col("stop_y"), 15.0).alias("lane_turn"))
+    rows = told.filter("d IS NOT NULL").select(*stop, F.explode("_l").alias("l"), F.col("d.x").alias("dir_x"), F.col("d.y").alias("dir_y"), "lane_turn")
+    return rows.select(*stop, "l.*", "dir_x", "dir_y", "lane_turn")
 
 
 def _parts(polyline: Column, x: Column, y: Column) -> Column:

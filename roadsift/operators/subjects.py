@@ -54,6 +54,16 @@ def sdc_pairs(states: DataFrame, scenarios: DataFrame, more: tuple[str, ...] = (
     return with_geometry(rows.select(*KEYS, "_ego.ts", *[F.col(f"_ego.{c}").alias(_named("ego", c)) for c in PAIRED], *[F.col(c).alias(_named("other", c)) for c in PAIRED], *[f"_ego.{c}" for c in more]))
 
 
+def car_pairs(cars: DataFrame, states: DataFrame, more: tuple[str, ...] = ()) -> DataFrame:
+    """Rows of cars, one a frame, with every other valid agent of it, and ``more`` columns of the car.
+
+    What is filtered out of ``cars``, or of ``states``, before is never paired.
+    """
+    ego = _side(cars, "ego", "ts", *more)
+    ok = states if "speed" in states.columns else valid_states(states)
+    return with_geometry(ego.join(_side(ok.filter("valid"), "other"), KEYS).filter("ego_id <> other_id"))
+
+
 def number_first(a: Column, b: Column) -> Column:
     """a < b by number where both are numbers, else as text."""
     x, y = (c.try_cast("long") for c in (a, b))
