@@ -397,6 +397,17 @@ _issues("acceleration_jump", "acc", 5.3, acceleration=5.3)
 _issues("heading_jump", "turn", 1.6)
 
 
+TURNING = JUMPS.replace("FROM st WINDOW", "FROM (SELECT * REPLACE (heading + CASE WHEN (step_index + track_index * 3) % 7 = 0 THEN 2.0 WHEN (step_index + track_index) % 5 = 0 THEN 6.0 ELSE 0 END AS heading) FROM st) WINDOW")
+
+
+@query(TURNING + "SELECT scenario_id, track_id, step_index, ps AS previous_step, round(CASE WHEN turn > pi() THEN 2 * pi() - turn ELSE turn END, 6) AS value FROM qq WHERE CASE WHEN turn > pi() THEN 2 * pi() - turn ELSE turn END > 1.6")
+def qlt_03_heading_jump_of_turning(spark: SparkSession, sf: str) -> DataFrame:
+    """Heading jumps, the short way round, of tracks that turn now and then."""
+    i, k = F.col("step_index"), F.col("track_index")
+    states = B.agent_states(spark, sf).withColumn("heading", F.col("heading") + F.when((i + k * 3) % 7 == 0, 2.0).when((i + k) % 5 == 0, 6.0).otherwise(0.0))
+    return quality.quality_issues(states).filter("issue_type = 'heading_jump'").select("scenario_id", "track_id", "step_index", "previous_step", r6("value").alias("value"))
+
+
 @query(JUMPS + "SELECT issue_type, count(*) AS n FROM (SELECT 'jump_speed' AS issue_type FROM qq WHERE jump > 10.3 UNION ALL SELECT 'acceleration_jump' FROM qq WHERE acc > 4.3) GROUP BY ALL")
 def qlt_04_annotator(spark: SparkSession, sf: str) -> DataFrame:
     return quality.quality_issues(B.agent_states(spark, sf), 10.3, 4.3).groupBy("issue_type").agg(F.count("*").alias("n"))
@@ -421,6 +432,20 @@ def aln_03_modalities(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("scenario_id", "step_index", F.array_join("modalities", ",").alias("modalities"))
 
 
+@query(MODES + "SELECT scenario_id, step_index, 'agents,lane_geometry,' || CASE WHEN scenario_id % 3 = 0 AND step_index <= 10 THEN 'lidar,' ELSE '' END || 'map,' || CASE WHEN lit THEN 'traffic_lights,' ELSE '' END || 'valid_agents' AS modalities FROM modes")
+def aln_03_modalities_with_lidar(spark: SparkSession, sf: str) -> DataFrame:
+    scenarios = B.scenarios(spark, sf).withColumn("has_lidar_data", F.col("scenario_id") % 3 == 0)
+    rows = align.modalities(B.agent_states(spark, sf), B.traffic_lights(spark, sf), B.map_features(spark, sf), scenarios)
+    return rows.select("scenario_id", "step_index", F.array_join("modalities", ",").alias("modalities"))
+
+
+@query("SELECT s.scenario_id, CASE WHEN bool_or(track_index = 3) THEN 'never_valid' ELSE 'no_track' END AS problem FROM scen s JOIN st USING (scenario_id) GROUP BY ALL HAVING NOT bool_or(track_index = 3 AND step_index = 10 AND valid)")
+def aln_04_unresolved(spark: SparkSession, sf: str) -> DataFrame:
+    """Scenarios whose fourth track isn't valid in the current frame."""
+    states = B.agent_states(spark, sf)
+    return align.without_sdc(B.scenarios(spark, sf), states, 3, align.sdc_track(states, 3, causal_step=B.CURRENT))
+
+
 @query("SELECT scenario_id, arg_min(track_id, step_index) AS sdc_track_id FROM st WHERE track_index = 1 AND valid GROUP BY ALL")
 def aln_04_sdc_track(spark: SparkSession, sf: str) -> DataFrame:
     return align.sdc_track(B.agent_states(spark, sf), 1)

@@ -24,14 +24,17 @@ def phase(step: Column, current: Column) -> Column:
     return F.when(step < current, "history").when(step == current, "current").otherwise("future")
 
 
-def modalities(states: DataFrame, lights: DataFrame, features: DataFrame) -> DataFrame:
-    """(scenario_id, step_index, modalities): what each frame offers."""
+def modalities(states: DataFrame, lights: DataFrame, features: DataFrame, scenarios: DataFrame | None = None) -> DataFrame:
+    """(scenario_id, step_index, modalities): what each frame offers. With ``scenarios`` (has_lidar_data, current_time_index), frames up to the current one offer lidar where the scenario has it."""
     agents = states.groupBy("scenario_id", "step_index").agg(F.bool_or("valid").alias("ok"))
     lit = lights.select("scenario_id", "step_index").distinct().withColumn("lights", F.lit(True))
     lane = F.col("feature_type") == "lane"
     maps = features.groupBy("scenario_id").agg(F.lit(True).alias("map"), (F.bool_or(lane) & F.bool_and(~lane | (F.size("polyline") > 0))).alias("geometry"))
-    rows = agents.join(lit, ["scenario_id", "step_index"], "left").join(maps, "scenario_id", "left")
-    names = F.array(F.lit("agents"), *[F.when(F.col(c), F.lit(n)) for c, n in (("geometry", "lane_geometry"), ("map", "map"), ("lights", "traffic_lights"), ("ok", "valid_agents"))])
+    rows = agents.join(lit, ["scenario_id", "step_index"], "left").join(maps, "scenario_id", "left").withColumn("lidar", F.lit(False))
+    if scenarios is not None:
+        has = scenarios.select("scenario_id", "has_lidar_data", "current_time_index")
+        rows = rows.join(has, "scenario_id", "left").withColumn("lidar", F.col("has_lidar_data") & (F.col("step_index") <= F.col("current_time_index")))
+    names = F.array(F.lit("agents"), *[F.when(F.col(c), F.lit(n)) for c, n in (("geometry", "lane_geometry"), ("lidar", "lidar"), ("map", "map"), ("lights", "traffic_lights"), ("ok", "valid_agents"))])
     return rows.select("scenario_id", "step_index", F.array_compact(names).alias("modalities"))
 
 
@@ -47,3 +50,10 @@ def sdc_track(states: DataFrame, sdc_index: int, causal_step: int | None = None)
     if causal_step is not None:
         rows = rows.filter(F.col("step_index") == causal_step)
     return rows.groupBy("scenario_id").agg(F.min_by("track_id", "step_index").alias("sdc_track_id"))
+
+
+def without_sdc(scenarios: DataFrame, states: DataFrame, sdc_index: int, resolved: DataFrame) -> DataFrame:
+    """(scenario_id, problem) of the scenarios that sdc_track() can't resolve: "no_track" without any row of the index, "never_valid" without a valid one in the frames looked at."""
+    seen = states.filter(F.col("track_index") == sdc_index).select("scenario_id").distinct().withColumn("_seen", F.lit(True))
+    left = scenarios.select("scenario_id").join(resolved.select("scenario_id"), "scenario_id", "left_anti").join(seen, "scenario_id", "left")
+    return left.select("scenario_id", F.when(F.col("_seen"), "never_valid").otherwise("no_track").alias("problem"))
