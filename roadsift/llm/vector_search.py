@@ -11,8 +11,8 @@ block's queries visits are brought to it in chunks, and there each query's candi
 tables are merged and ranked by exact products.
 
 On vectors without structure near ones are hardly nearer than others, so the parameters visit
-many buckets: measured recall at 20 is above 0.9 there (see the tests) and higher on clustered
-vectors, where a block visits few of the buckets.
+many buckets, and the blocks of queries together about 0.85 of all rows, on clustered vectors too;
+measured recall at 20 is above 0.9 (see the tests).
 """
 
 from __future__ import annotations
