@@ -18,7 +18,7 @@ SDC = "0"
 
 
 def remembered(make: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
-    """make(spark, ...), planned once a session: building a plan anew for every query costs more than small queries do. Rows aren't kept."""
+    """make(spark, ...), planned once a session: building a plan anew for every query costs more than small queries do. Only plans are kept: every query reads its tables."""
     @functools.wraps(make)
     def get(spark: SparkSession, *args: object, **named: object) -> DataFrame:
         plans = spark.__dict__.setdefault("_roadsift_plans", {})

@@ -10,10 +10,9 @@ from roadsift import catalog as C
 from roadsift import catalog_rules as R
 from roadsift.catalog import add, pairs_of, query, r6
 from roadsift.catalog_rules import chain_sql, cool_sql, merged_sql
-from roadsift.operators import align, light_predicates, policy, temporal
+from roadsift.operators import light_predicates, policy, temporal
 from roadsift.operators.predicates import BUILTIN
 from roadsift.plans import evaluate, pack
-from roadsift.scratch import cut
 
 SEEN = "step_index <= 10"
 """Rules look at the frames up to the current one."""
@@ -56,25 +55,33 @@ def low_ttc_events(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @B.remembered
-def pair_events(spark: SparkSession, sf: str) -> DataFrame:
-    """Events of the single-frame pair rules, later sequence steps gated."""
-    return pack.gate_sequences(pack.single_frame(seen_pairs(spark, sf), pack.pair_rules())).unionByName(low_ttc_events(spark, sf))
+def pair_events(spark: SparkSession, sf: str, *tags: str) -> DataFrame:
+    """Events of single-frame pair rules, later sequence steps gated: of the given tags alone, and of no rule that these don't need."""
+    gates, wanted, todo = pack.gates(pack.TEMPORAL), set(), list(tags)
+    while todo:
+        tag = todo.pop()
+        wanted.add(tag)
+        todo += sorted(gates.get(tag, set()) - wanted)
+    rules, rows = [r for r in pack.pair_rules() if r.tag in wanted], []
+    if rules:
+        found = pack.single_frame(seen_pairs(spark, sf), rules)
+        rows.append((pack.gate_sequences(found) if wanted & set(gates) else found).filter(F.col("tag_name").isin(*tags)))
+    if "low_ttc_pair" in tags:
+        rows.append(low_ttc_events(spark, sf))
+    return rows[0] if len(rows) == 1 else rows[0].unionByName(rows[1])
 
 
-@B.remembered
-def kept_pair_events(spark: SparkSession, sf: str) -> DataFrame:
-    """pair_events as a table of the shared folder: sequences and sustained rules read each tag several times. These are a small share of the pairs."""
-    return cut(pair_events(spark, sf))
+PAIR_TAGS = ("low_ttc_pair", "cut_in_candidate", "adjacent_vehicle", "cut_in_lateral_approach", "same_path_overlap")
 
 
 def _single(tag: str, rule: pack.Rule | None) -> None:
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        return kept_pair_events(spark, sf).filter(F.col("tag_name") == tag).select(*EVENT_OUT)
+        return pair_events(spark, sf, tag).select(*EVENT_OUT)
 
     add(f"rule_{tag}", run, PACK_SQL + f"SELECT scenario_id, frame_index, tag_name, subject_id FROM tag WHERE tag_name = '{tag}'")
 
 
-for _tag in ("low_ttc_pair", "cut_in_candidate", "adjacent_vehicle", "cut_in_lateral_approach", "same_path_overlap"):
+for _tag in PAIR_TAGS:
     _single(_tag, None)
 
 
@@ -88,8 +95,12 @@ def as_found(tag: str, source: str, frame: str = "frame_index", family: str = "N
     return f", found AS (SELECT scenario_id, '{tag}' AS tag_name, '{tag}' AS rule_id, 'agent_pair' AS subject_type, subject_id, {frame} AS frame_index, 'review' AS intent, CAST({family} AS VARCHAR) AS review_family, CAST({priority} AS INTEGER) AS review_priority FROM {source})\n"
 
 
+def sources_of(rule: pack.Rule) -> tuple[str, ...]:
+    return (rule.sustained[0],) if rule.sustained else rule.steps
+
+
 def detections(spark: SparkSession, sf: str, rule: pack.Rule) -> DataFrame:
-    return pack.tagged(pack.temporal_events(kept_pair_events(spark, sf), rule), rule)
+    return pack.tagged(pack.temporal_events(pair_events(spark, sf, *sources_of(rule)), rule), rule)
 
 
 #: Frames of the tables here are 1/8 s apart.
@@ -105,7 +116,7 @@ def rule_persistent_low_ttc_pair(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(PACK_SQL + sustained_sql("cut_in_candidate") + "SELECT scenario_id, subject_id, frame_index, first_frame FROM s_hit")
 def rule_cut_in_developing(spark: SparkSession, sf: str) -> DataFrame:
-    return pack.temporal_events(kept_pair_events(spark, sf), BY_TAG["cut_in_developing"]).select("scenario_id", "subject_id", "frame_index", "first_frame")
+    return pack.temporal_events(pair_events(spark, sf, "cut_in_candidate"), BY_TAG["cut_in_developing"]).select("scenario_id", "subject_id", "frame_index", "first_frame")
 
 
 def _sequence(tag: str) -> None:
@@ -198,18 +209,12 @@ add("rule_sdc_repeated_lane_change", lambda spark, sf: reviewed(R.repeated_chang
 @query(PACK_SQL + "SELECT scenario_id, subject_id, frame_index, tag_name, CASE tag_name WHEN 'cut_in_candidate' THEN 'debug' ELSE 'supporting' END AS intent, split_part(subject_id, ':', 1) AS ego_id, split_part(subject_id, ':', 2) AS target_id FROM tag")
 def rul_02_event_metadata(spark: SparkSession, sf: str) -> DataFrame:
     part = F.split("subject_id", ":", 2)
-    return kept_pair_events(spark, sf).select("scenario_id", "subject_id", "frame_index", "tag_name", "intent", part[0].alias("ego_id"), part[1].alias("target_id"))
+    return pair_events(spark, sf, *PAIR_TAGS).select("scenario_id", "subject_id", "frame_index", "tag_name", "intent", part[0].alias("ego_id"), part[1].alias("target_id"))
 
 
 # Whole runs over all rules.
 
 
-@B.remembered
-def frames_of(spark: SparkSession, sf: str) -> DataFrame:
-    """Every frame with its visibility and modalities."""
-    return align.causal(align.modalities(B.agent_states(spark, sf), B.traffic_lights(spark, sf), B.map_features(spark, sf)), B.scenarios(spark, sf), B.CURRENT, B.STEPS - 1 - B.CURRENT)
-
-
 def tables_of(spark: SparkSession, sf: str) -> evaluate.Tables:
     return evaluate.Tables(B.agent_states(spark, sf), B.traffic_lights(spark, sf), B.map_features(spark, sf), B.scenarios(spark, sf))
 
