@@ -104,6 +104,30 @@ def payload(states: DataFrame, events: DataFrame) -> DataFrame:
     return rows.select("scenario_id", F.size("frames").alias("n_frames"), F.coalesce(F.size("events"), F.lit(0)).alias("n_events"), F.to_json(F.struct("scenario_id", "frames", "events")).alias("document"))
 
 
+def whole_payload(states: DataFrame, events: DataFrame, features: DataFrame, margin: float = 10.0, most_features: int = 500) -> DataFrame:
+    """(scenario_id, document): the whole review document as JSON.
+
+    Besides frames and events it has the box of all valid states with a margin, the map features that
+    meet it (the first ``most_features`` by id), the primary events by tag, counts of steps, tracks
+    and valid states, and the summary of the events. ``events`` have review_group and risk_level.
+    Scenarios without events have an empty summary. All parts are aggregates by scenario.
+    """
+    frames = states.groupBy("scenario_id", "step_index", "ts").agg(F.array_sort(F.collect_list(F.struct("track_id", "object_type", "x", "y", "heading", "valid"))).alias("agents"))
+    frames = frames.groupBy("scenario_id").agg(F.array_sort(F.collect_list(F.struct("step_index", "ts", "agents"))).alias("frames"))
+    pairs_first = F.when(F.col("subject_id").contains(":"), 0).otherwise(1)
+    told = events.groupBy("scenario_id").agg(F.array_sort(F.collect_list(F.struct("frame_index", pairs_first.alias("_o"), "tag_name", "subject_id", "review_group", risk_of(F.col("risk_level"), F.col("review_group")).alias("risk_level")))).alias("_e"))
+    told = told.select("scenario_id", F.transform("_e", lambda e: e.dropFields("_o")).alias("events"))
+    groups = events.filter("review_group = 'primary'").groupBy("scenario_id", "tag_name").agg(F.min("frame_index").alias("first_frame"), F.count("*").alias("events"))
+    groups = groups.groupBy("scenario_id").agg(F.array_sort(F.collect_list(F.struct("first_frame", "tag_name", "events"))).alias("groups"))
+    box = bounds(states.filter("valid"), ["scenario_id"], margin)
+    mapped = crop_map(features, box, most_features).groupBy("scenario_id").agg(F.array_sort(F.collect_list(F.struct("feature_id", "feature_type", "polyline"))).alias("map"))
+    rows = frames.join(told, "scenario_id", "left").join(groups, "scenario_id", "left").join(box.select("scenario_id", F.struct("min_x", "min_y", "max_x", "max_y").alias("bounds")), "scenario_id", "left").join(mapped, "scenario_id", "left")
+    rows = rows.join(profile(states).select("scenario_id", F.struct("steps", "tracks", "valid_states").alias("stats")), "scenario_id", "left")
+    summed = scenario_summary(events)
+    rows = rows.join(summed.select("scenario_id", F.struct(*[c for c in summed.columns if c != "scenario_id"]).alias("summary")), "scenario_id", "left")
+    return rows.select("scenario_id", F.to_json(F.struct("scenario_id", "stats", "bounds", "summary", "groups", "events", "map", "frames")).alias("document"))
+
+
 # Metrics that an explanation may hold.
 EXPLAINED = (
     "distance_m", "longitudinal_m", "lateral_m", "closing_speed_mps", "lateral_closing_speed_mps", "ttc_s", "heading_delta_rad", "speed_drop_mps", "acceleration_mps2", "ego_acceleration_mps2",
