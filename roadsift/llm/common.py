@@ -31,8 +31,24 @@ def bound_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BATCH_BYTES))
 
 
+#: Memory of its own from which a Python worker gives back what is free, in MB; one that has only loaded its libraries holds about 120.
+WORKER_MB = 200
+
+
+def is_heavy() -> bool:
+    """Whether this worker holds more than WORKER_MB of its own."""
+    try:
+        with open("/proc/self/statm", encoding="ascii") as f:
+            _, resident, shared = map(int, f.read().split()[:3])
+    except OSError:  # another system
+        return False
+    return (resident - shared) * 4096 > WORKER_MB << 20
+
+
 def settle() -> None:
-    """Give free memory back to the system: Python workers wait for further tasks, with all that they have ever held otherwise."""
+    """Give free memory back to the system where it is much: Python workers wait for further tasks, with all that they have ever held otherwise. Small tasks, of which there may be very many, don't pay for it."""
+    if not is_heavy():
+        return
     gc.collect()
     pa.default_memory_pool().release_unused()
     try:

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadsift.llm.bpe_automaton import encoder
-from roadsift.llm.common import map_batches
+from roadsift.llm.common import is_heavy, map_batches
 
 
 def binary_lengths(n: int, longest: int) -> list[int]:
@@ -52,8 +52,9 @@ def pack_documents(docs: DataFrame, vocabulary_path: str, longest: int = 2048, e
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["doc_id", "start", "length", "ids", "doc_tokens"])
         enc.rest()
-        del enc
-        encoder.cache_clear()  # other stages of a pipeline run in the same workers
+        if is_heavy():  # other stages of a pipeline run in the same workers
+            del enc
+            encoder.cache_clear()
 
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     pieces = map_batches(source, run, "doc_id long, start long, length long, ids binary, doc_tokens long")
