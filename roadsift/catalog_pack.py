@@ -276,6 +276,23 @@ def run_02_scenario_stats(spark: SparkSession, sf: str) -> DataFrame:
     return frames.join(counts, "scenario_id", "left").select("scenario_id", "input_frames", "future_frames", F.coalesce("events", F.lit(0)).alias("events"), F.coalesce("tags", F.lit(0)).alias("tags"))
 
 
+_LOOKS = [r for r in RULES if r.conditions]
+
+
+@query(
+    f"""SELECT s.scenario_id, CAST({len(_LOOKS)} - CASE WHEN lit THEN 0 ELSE {sum("traffic_lights" in r.requires for r in _LOOKS)} END AS BIGINT) AS rules_evaluated, CAST(CASE WHEN lit THEN 0 ELSE {sum("traffic_lights" in r.requires for r in _LOOKS)} END AS BIGINT) AS rules_skipped, coalesce(told, '') AS by_rule
+  FROM (SELECT DISTINCT l_orderkey AS scenario_id, l_orderkey IN (SELECT o_orderkey FROM orders) AS lit FROM lineitem) s
+  LEFT JOIN (SELECT scenario_id, string_agg(tag_name || '=' || n, ',' ORDER BY tag_name) AS told FROM (SELECT scenario_id, tag_name, count(*) AS n FROM ({RUN_SQL}) GROUP BY ALL) GROUP BY scenario_id) USING (scenario_id)""",
+    "",
+)
+def run_02_rule_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Rules that looked at each scenario, rules that couldn't, and events by rule after the policies."""
+    rows = evaluate.scenario_stats(run_of(spark, sf))
+    left = F.filter("by_rule", lambda r: r["reviewed"] > 0)
+    told = F.transform(left, lambda r: F.concat_ws("=", r["rule_id"], r["reviewed"].cast("string")))
+    return rows.select("scenario_id", "rules_evaluated", "rules_skipped", F.array_join(told, ",").alias("by_rule"))
+
+
 @query(
     PACK_SQL + C.BRAKING_SQL
     + """SELECT t.scenario_id, frame_index, t.subject_id, 'low_ttc_pair' AS tag_name, 'supporting' AS intent, '0' AS ego_id, other_id AS target_id, NULL AS risk_level, NULL AS review_subtype, round(lon / closing, 6) AS ttc_s, round(closing, 6) AS closing_speed_mps, NULL AS acceleration_mps2, NULL AS distance_m, NULL AS red_stop_m

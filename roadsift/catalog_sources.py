@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadsift import binding as B
@@ -115,3 +115,43 @@ def rev_06_explanation(spark: SparkSession, sf: str) -> DataFrame:
     rows = C.braking_pairs(spark, sf).withColumn("m", review.explanation(own, supporting))
     told = F.transform(F.array_sort(F.map_entries("m")), lambda e: F.concat_ws("=", e["key"], e["value"]))
     return rows.select("scenario_id", "step_index", "subject_id", F.array_join(told, ",").alias("metrics"))
+
+
+@query("""SELECT o_orderkey AS scene, 'scene-' || o_orderkey AS name, n_name AS location, CASE WHEN s.scenario_id IS NULL THEN 0 ELSE 16 END AS samples, CASE WHEN s.scenario_id IS NOT NULL THEN CAST(8 AS DOUBLE) END AS hz,
+  CASE WHEN s.scenario_id IS NOT NULL THEN CAST(o_orderkey % 50 AS DOUBLE) END AS origin_x, CASE WHEN s.scenario_id IS NOT NULL THEN CAST(0 - o_orderkey % 30 AS DOUBLE) END AS origin_y, CASE WHEN s.scenario_id IS NOT NULL THEN (o_orderkey % 4) * CAST(0.25 AS DOUBLE) END AS origin_yaw,
+  CASE WHEN bare THEN 0 ELSE 4 END AS lanes, CASE WHEN NOT bare AND o_orderkey % 5 = 0 THEN 'lane_geometry=Some lane polygons have no centreline.;' ELSE '' END || 'traffic_lights=The source has no traffic light states by sample.' AS skipped,
+  concat_ws('|', 'States are those of annotated samples, none between them.', CASE WHEN s.scenario_id IS NOT NULL THEN 'Positions are relative to the first ego position, axes and headings are global.' END, CASE WHEN NOT bare THEN CASE WHEN o_orderkey % 5 = 0 THEN 3 ELSE 4 END || ' of 4 lanes have a centreline.' END, CASE WHEN NOT bare THEN '1 directed links between lanes are inferred.' END) AS notes
+  FROM orders LEFT JOIN scen s ON s.scenario_id = o_orderkey LEFT JOIN customer ON c_custkey = o_custkey AND c_custkey % 6 <> 0 LEFT JOIN nation ON n_nationkey = c_nationkey, LATERAL (SELECT s.scenario_id IS NULL OR o_orderkey % 7 = 0 AS bare)""")
+def nrm_13_described_scenes(spark: SparkSession, sf: str) -> DataFrame:
+    """Scenes of orders, with logs of customers; some logs are unknown and some scenes have no samples."""
+    k = F.col("o_orderkey")
+    table = B.table(spark, sf, "orders").select(k.alias("scene"), F.concat(F.lit("scene-"), k).alias("name"), F.col("o_custkey").alias("log"))
+    logs = B.table(spark, sf, "customer").filter("c_custkey % 6 <> 0").join(B.table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).select(F.col("c_custkey").alias("log"), F.col("n_name").alias("location"))
+    s = F.col("scene")
+    ordered = scenes.order_samples(samples(spark, sf)).withColumns({"x": F.col("x") + s % 50, "y": F.col("y") - s % 30, "heading": F.col("heading") + s % 4 * 0.25})
+    rows = scenes.described_scenes(table, logs, ordered, uneven_features(spark, sf))
+    told = F.array_join(F.transform(F.array_sort(F.map_entries("skipped")), lambda e: F.concat_ws("=", e["key"], e["value"])), ";")
+    return rows.select("scene", "name", "location", F.col("samples").cast("int").alias("samples"), "hz", F.col("origin.x").alias("origin_x"), F.col("origin.y").alias("origin_y"), F.col("origin.yaw").alias("origin_yaw"), F.col("lanes").cast("int").alias("lanes"), told.alias("skipped"), F.array_join("notes", "|").alias("notes"))
+
+
+def _listed(counts: str) -> Column:
+    return F.array_join(F.transform(F.array_sort(F.map_entries(counts)), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string"))), ",").alias(counts)
+
+
+@query(
+    FEATURES_SQL.replace("WITH p AS", ", p AS")
+    + """, t AS (SELECT scenario_id, string_agg(object_type || '=' || n, ',' ORDER BY object_type) AS told FROM (SELECT scenario_id, object_type, count(DISTINCT track_id) AS n FROM st GROUP BY ALL) GROUP BY scenario_id),
+f AS (SELECT scenario_id, string_agg(feature_type || '=' || n, ',' ORDER BY feature_type) AS told FROM (SELECT scenario_id, feature_type, count(*) AS n FROM (SELECT scenario_id, feature_type FROM l UNION ALL SELECT scenario_id, 'lane' FROM scen, lanes) GROUP BY ALL) GROUP BY scenario_id),
+g AS (SELECT scenario_id, string_agg(state || '=' || n, ',' ORDER BY state) AS told FROM (SELECT scenario_id, state, count(*) AS n FROM lights WHERE step_index = 10 GROUP BY ALL) GROUP BY scenario_id),
+w AS (SELECT scenario_id, count(DISTINCT step_index) AS steps, count(DISTINCT track_id) AS tracks, count(*) FILTER (WHERE valid) AS valid_states FROM st GROUP BY ALL)
+SELECT s.scenario_id, 10 AS current_time_index, steps, tracks, valid_states, coalesce(t.told, '') AS tracks_by_type, coalesce(f.told, '') AS features_by_type, coalesce(g.told, '') AS lights_now FROM scen s LEFT JOIN w USING (scenario_id) LEFT JOIN t USING (scenario_id) LEFT JOIN f USING (scenario_id) LEFT JOIN g USING (scenario_id)"""
+)
+def rev_21_scenario_profile(spark: SparkSession, sf: str) -> DataFrame:
+    features = maps.flatten_features(feature_records(spark, sf)).select("scenario_id", "feature_type").union(B.map_features(spark, sf).select("scenario_id", "feature_type"))
+    rows = review.scenario_profile(B.agent_states(spark, sf), features, B.traffic_lights(spark, sf), B.scenarios(spark, sf))
+    return rows.select("scenario_id", F.col("current_time_index").cast("int").alias("current_time_index"), "steps", "tracks", "valid_states", *map(_listed, ("tracks_by_type", "features_by_type", "lights_now")))
+
+
+@query("SELECT scenario_id, track_id, min(object_type) AS object_type, count(*) AS steps, count(*) FILTER (WHERE valid) AS valid_steps FROM st GROUP BY ALL")
+def rev_21_track_profile(spark: SparkSession, sf: str) -> DataFrame:
+    return review.track_profile(B.agent_states(spark, sf))

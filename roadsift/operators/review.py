@@ -94,6 +94,33 @@ def profile(states: DataFrame) -> DataFrame:
     """Per scenario: steps, time range, tracks and valid states."""
     return states.groupBy("scenario_id").agg(F.count_distinct("step_index").alias("steps"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"), F.count_distinct("track_id").alias("tracks"), F.count_if("valid").alias("valid_states"))
 
+def counts_by(rows: DataFrame, name: Column, alias: str) -> DataFrame:
+    """(scenario_id, map of row counts by name); names are words of a fixed list, null counts as "unknown"."""
+    each = rows.groupBy("scenario_id", F.coalesce(name, F.lit("unknown")).alias("_name")).agg(F.count("*").alias("_n"))
+    return each.groupBy("scenario_id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("_name", "_n")))).alias(alias))
+
+
+def track_profile(states: DataFrame) -> DataFrame:
+    """Per track: its type, steps and valid steps."""
+    return states.groupBy("scenario_id", "track_id").agg(F.min("object_type").alias("object_type"), F.count("*").alias("steps"), F.count_if("valid").alias("valid_steps"))
+
+
+def scenario_profile(states: DataFrame, features: DataFrame, lights: DataFrame, scenarios: DataFrame) -> DataFrame:
+    """profile() of every scenario with its car, its current step, tracks by type, map features by type and lights by state at the current step.
+
+    A map is empty where a scenario has nothing of the kind; a scenario without states has zero counts and null times.
+    """
+    tracks = track_profile(states)
+    now = scenarios.select("scenario_id", F.col("current_time_index").alias("_now"))
+    lit = lights.join(now, "scenario_id").filter(F.col("step_index") == F.col("_now"))
+    parts = [profile(states), counts_by(tracks, F.col("object_type"), "tracks_by_type"), counts_by(features, F.col("feature_type"), "features_by_type"), counts_by(lit, F.col("state"), "lights_now")]
+    out = scenarios.select("scenario_id", "sdc_track_id", "current_time_index")
+    for part in parts:
+        out = out.join(part, "scenario_id", "left")
+    zero = {c: F.coalesce(c, F.lit(0)) for c in ("steps", "tracks", "valid_states")}
+    empty = {c: F.coalesce(c, F.create_map().cast("map<string,bigint>")) for c in ("tracks_by_type", "features_by_type", "lights_now")}
+    return out.withColumns(zero | empty)
+
 
 def payload(states: DataFrame, events: DataFrame) -> DataFrame:
     """One JSON document a scenario: its frames in order and its events."""

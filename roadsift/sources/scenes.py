@@ -162,6 +162,30 @@ def scene_metadata(ordered: DataFrame, features: DataFrame) -> DataFrame:
     lacking = F.array_compact(F.array(F.when((F.col("lanes") > 0) & (F.col("centrelines") < F.col("lanes")), F.lit("lane_geometry")), F.lit("traffic_lights")))
     return rows.select("scene", "samples", "hz", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("lanes", "centrelines", "links")], lacking.alias("skipped"))
 
+#: Why rules must do without an input that no scene of a relational source has, and without lane geometry.
+LACKING = {"traffic_lights": "The source has no traffic light states by sample."}
+LANES_LACKING = "Some lane polygons have no centreline."
+
+
+def described_scenes(scene_table: DataFrame, logs: DataFrame, ordered: DataFrame, features: DataFrame, lacking: dict[str, str] | None = None) -> DataFrame:
+    """Per scene: name, log and location, samples, hz, origin (the global pose of its first sample), counts of its map, skipped (reason by input that rules must do without) and notes.
+
+    ``scene_table``: scene, name, log; ``logs``: log, location, one row a log; ``ordered``: samples
+    with step_index, ts, x, y and heading; ``lacking``: reasons for inputs that no scene has. A scene
+    whose log is unknown has a null location; one without samples has a null rate and origin.
+    """
+    first = ordered.groupBy("scene").agg(F.count("*").alias("samples"), F.min_by(F.struct("x", "y", F.col("heading").alias("yaw")), "step_index").alias("origin"))
+    rows = scene_table.join(logs, "log", "left").join(first, "scene", "left").join(sampling_hz(ordered), "scene", "left").join(lane_counts(features).withColumnRenamed("scenario_id", "scene"), "scene", "left")
+    rows = rows.withColumns({c: F.coalesce(c, F.lit(0)) for c in ("samples", "features", "lanes", "centrelines", "links")})
+    told = {k: (F.lit(True), v) for k, v in (LACKING if lacking is None else lacking).items()} | {"lane_geometry": (F.col("centrelines") < F.col("lanes"), LANES_LACKING)}
+    skipped = F.map_from_entries(F.array_compact(F.array(*[F.when(c, F.struct(F.lit(k).alias("key"), F.lit(v).alias("value"))) for k, (c, v) in sorted(told.items())])))
+    notes = F.array_compact(F.array(
+        F.lit("States are those of annotated samples, none between them."),
+        F.when(F.col("origin").isNotNull(), F.lit("Positions are relative to the first ego position, axes and headings are global.")),
+        F.when(F.col("lanes") > 0, F.format_string("%d of %d lanes have a centreline.", "centrelines", "lanes")), F.when(F.col("lanes") > 0, F.format_string("%d directed links between lanes are inferred.", "links")),
+    ))
+    return rows.select("scene", "name", "log", "location", "samples", "hz", "origin", "features", "lanes", "centrelines", "links", skipped.alias("skipped"), notes.alias("notes"))
+
 
 def with_provenance(table: DataFrame, prefix: str) -> DataFrame:
     """Rows read from files with source_file, source_index (their place in it) and payload_name."""

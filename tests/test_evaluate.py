@@ -102,3 +102,15 @@ def test_modes_and_predicates_of_ones_own(spark):
         E.evaluate(data, rules, "other", registry)
     with pytest.raises(KeyError):
         E.evaluate(data, [pack.Rule("x", "sdc_pair", (("unknown", {}),))], registry=registry)
+
+
+def test_scenario_stats_tell_rules_that_looked_and_rules_that_could_not(spark):
+    agents = [a for k in range(3) for a in ((k, 20, 0, 0, 10, 0, 0), (k, 21, 10, 0, 5, 0, 0))]
+    run = E.evaluate(tables(spark, agents))
+    (row,) = E.scenario_stats(run).collect()
+    rules = [r for r in pack.all_rules() if r.conditions]
+    kept = [r for r in rules if r.requires]  # no lights and no lanes here
+    assert (row["rules_evaluated"], row["rules_skipped"]) == (len(rules) - len(kept), len(kept)) and kept
+    found = {r["rule_id"]: r for r in row["by_rule"]}
+    assert [r["rule_id"] for r in row["by_rule"]] == sorted(found) and found["low_ttc_pair"]["events"] == 3
+    assert sum(r["reviewed"] for r in row["by_rule"]) == run.reviewed.count() and sum(r["events"] for r in row["by_rule"]) == run.events.count()

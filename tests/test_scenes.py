@@ -114,3 +114,31 @@ def test_ends_turn_with_the_lane(spark):
     told = {r["feature_id"]: r for r in relational_maps.lane_ends(rows).collect()}
     assert told[1]["start"]["heading"] == pytest.approx(math.pi / 2) and abs(told[1]["end"]["heading"]) == pytest.approx(math.pi)
     assert told[2]["start"]["heading"] is None and told[2]["end"]["heading"] is None
+
+
+def test_described_scenes_without_samples_logs_or_maps(spark):
+    from roadsift.sources import scenes
+
+    table = spark.createDataFrame([("a", "first", "l"), ("b", "second", "gone"), ("c", "third", None)], "scene string, name string, log string")
+    logs = spark.createDataFrame([("l", "town")], "log string, location string")
+    ordered = spark.createDataFrame([("a", 0, 0.0, 3.0, 4.0, 0.5), ("a", 1, 0.5, 5.0, 4.0, 0.6), ("b", 0, 0.0, 1.0, 1.0, 0.0)], "scene string, step_index int, ts double, x double, y double, heading double")
+    features = spark.createDataFrame([("a", "lane", [(0.0, 0.0)], [2]), ("a", "lane", [], None), ("a", "crosswalk", None, None)], "scenario_id string, feature_type string, polyline array<struct<x:double,y:double>>, exit_lanes array<int>")
+    a, b, c = scenes.described_scenes(table, logs, ordered, features).orderBy("scene").collect()
+    assert (a["location"], a["samples"], a["hz"], tuple(a["origin"]), a["features"], a["lanes"], a["centrelines"], a["links"]) == ("town", 2, 2.0, (3.0, 4.0, 0.5), 3, 2, 1, 1)
+    assert set(a["skipped"]) == {"traffic_lights", "lane_geometry"} and "1 of 2 lanes have a centreline." in a["notes"]
+    assert (b["location"], b["samples"], b["hz"], b["lanes"], set(b["skipped"]), len(b["notes"])) == (None, 1, None, 0, {"traffic_lights"}, 2)
+    assert (c["samples"], c["origin"], len(c["notes"])) == (0, None, 1)
+    assert not scenes.described_scenes(table, logs, ordered, features, {}).filter("scene = 'b'").first()["skipped"]
+
+
+def test_profile_of_scenarios_that_lack_parts(spark):
+    from roadsift.operators import review
+
+    states = spark.createDataFrame([("s", 0, 0.0, "1", "vehicle", True), ("s", 1, 0.1, "1", "vehicle", False), ("s", 0, 0.0, "2", None, True)], "scenario_id string, step_index int, ts double, track_id string, object_type string, valid boolean")
+    features = spark.createDataFrame([("s", "lane"), ("s", "lane"), ("s", "stop_sign")], "scenario_id string, feature_type string")
+    lights = spark.createDataFrame([("s", 0, "go"), ("s", 1, "stop"), ("s", 1, None)], "scenario_id string, step_index int, state string")
+    scenarios = spark.createDataFrame([("s", "1", 1), ("none", None, 0)], "scenario_id string, sdc_track_id string, current_time_index int")
+    none, s = review.scenario_profile(states, features, lights, scenarios).orderBy("scenario_id").collect()
+    assert (s["steps"], s["tracks"], s["valid_states"]) == (2, 2, 2) and s["tracks_by_type"] == {"vehicle": 1, "unknown": 1}
+    assert s["features_by_type"] == {"lane": 2, "stop_sign": 1} and s["lights_now"] == {"stop": 1, "unknown": 1}
+    assert (none["steps"], none["first_ts"], none["tracks_by_type"], none["features_by_type"], none["lights_now"]) == (0, None, {}, {}, {})
