@@ -16,3 +16,8 @@ def test_states_are_not_shuffled_again(spark):
 
 def test_lights_are_not_broadcast(spark):
     assert "Broadcast" not in plan_of(spark, "prd_11_near_red_light_stop_point")
+
+
+def test_segments_are_not_broadcast_and_agents_not_shuffled(spark):
+    assert "Broadcast" not in plan_of(spark, "fea_11_lane_match")
+    assert "ENSURE_REQUIREMENTS" not in plan_of(spark, "fea_11_lane_match")
