@@ -21,3 +21,8 @@ def test_lights_are_not_broadcast(spark):
 def test_segments_are_not_broadcast_and_agents_not_shuffled(spark):
     assert "Broadcast" not in plan_of(spark, "fea_11_lane_match")
     assert "ENSURE_REQUIREMENTS" not in plan_of(spark, "fea_11_lane_match")
+
+
+def test_pairs_of_a_frame_need_no_join(spark):
+    plan = plan_of(spark, "sub_05_agent_pair_unordered")
+    assert "Join" not in plan and "ENSURE_REQUIREMENTS" not in plan
