@@ -5,8 +5,8 @@ from roadsift import catalog
 SF = "/root/testdata/sf0.001"
 
 
-def plan_of(spark, name):
-    return catalog.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+def plan_of(spark, name, sf=SF):
+    return catalog.QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
 
 
 def test_states_are_not_shuffled_again(spark):
@@ -26,3 +26,22 @@ def test_segments_are_not_broadcast_and_agents_not_shuffled(spark):
 def test_pairs_of_a_frame_need_no_join(spark):
     plan = plan_of(spark, "sub_05_agent_pair_unordered")
     assert "Join" not in plan and "ENSURE_REQUIREMENTS" not in plan
+
+
+def test_scenarios_are_not_broadcast(spark):
+    for name in ("prd_17_sdc_blocked_unable_to_proceed", "prd_23_sdc_repeated_lane_change", "prd_25_same_lane_or_path", "rule_cut_in_risk", "rule_lane_change_conflict", "rule_sdc_vehicle_stopped_at_red", "rul_02_event_metadata", "sub_10_lateral_gate"):
+        assert "Broadcast" not in plan_of(spark, name), name
+
+
+def test_runs_broadcast_no_table(spark):
+    for name in ("rul_02_operator_metrics", "run_02_scenario_stats", "run_02_rule_counts"):
+        assert "Broadcast" not in plan_of(spark, name), name
+
+
+def test_a_gate_leaves_states_where_they_lie(spark):
+    assert "ENSURE_REQUIREMENTS" not in plan_of(spark, "sub_10_lateral_gate", SF.replace("0.001", "0.1"))  # one partition alone would be dealt out anew
+
+
+def test_near_pairs_need_no_join(spark):
+    plan = plan_of(spark, "sub_08_candidate_prefilter")
+    assert "Join" not in plan and "ENSURE_REQUIREMENTS" not in plan
