@@ -128,15 +128,25 @@ def _resampled(points: Column, walked: Column, n: Column) -> Column:
     """n points at equal distances along a line of two points and more; its two ends where it has no length."""
     total = F.element_at(walked, -1)
 
-    def at(k: Column) -> Column:
+    def placed(k: Column) -> Column:
         target = total * k / (n - 1)
-        i = F.size(F.filter(F.slice(walked, F.lit(2), F.size(points) - 2), lambda w: w < target)) + 1
-        a, b = F.element_at(points, i), F.element_at(points, i + 1)
-        long = F.element_at(walked, i + 1) - F.element_at(walked, i)
-        part = F.when(long > NOTHING, F.try_divide(target - F.element_at(walked, i), long)).otherwise(0.0)
-        return F.struct((a["x"] + part * (b["x"] - a["x"])).alias("x"), (a["y"] + part * (b["y"] - a["y"])).alias("y"))
+        return F.struct(target.alias("target"), (F.size(F.filter(F.slice(walked, F.lit(2), F.size(points) - 2), lambda w: w < target)) + 1).alias("i"))
 
-    return F.when(total <= NOTHING, F.array(F.element_at(points, 1), F.element_at(points, -1))).otherwise(F.transform(F.sequence(F.lit(0), n - 1), at))
+    def between(p: Column) -> Column:
+        return F.struct(p["target"].alias("target"), F.element_at(points, p["i"]).alias("a"), F.element_at(points, p["i"] + 1).alias("b"), F.element_at(walked, p["i"]).alias("before"), F.element_at(walked, p["i"] + 1).alias("after"))
+
+    def shared(p: Column) -> Column:
+        long = p["after"] - p["before"]
+        return F.struct(p["a"].alias("a"), p["b"].alias("b"), F.when(long > NOTHING, F.try_divide(p["target"] - p["before"], long)).otherwise(0.0).alias("part"))
+
+    def at(p: Column) -> Column:
+        a, b = p["a"], p["b"]
+        return F.struct((a["x"] + p["part"] * (b["x"] - a["x"])).alias("x"), (a["y"] + p["part"] * (b["y"] - a["y"])).alias("y"))
+
+    evenly = F.sequence(F.lit(0), n - 1)
+    for step in (placed, between, shared, at):  # one list after another, as what a step's function names twice is computed twice
+        evenly = F.transform(evenly, step)
+    return F.when(total <= NOTHING, F.array(F.element_at(points, 1), F.element_at(points, -1))).otherwise(evenly)
 
 
 def centrelines(lanes: DataFrame) -> DataFrame:

@@ -1,6 +1,9 @@
 """Plans that keep states where they lie and send no table of them whole to the driver."""
 
+from pyspark.sql import functions as F
+
 from roadsift import catalog
+from roadsift.sources import relational_maps
 
 SF = "/root/testdata/sf0.001"
 
@@ -45,3 +48,11 @@ def test_a_gate_leaves_states_where_they_lie(spark):
 def test_near_pairs_need_no_join(spark):
     plan = plan_of(spark, "sub_08_candidate_prefilter")
     assert "Join" not in plan and "ENSURE_REQUIREMENTS" not in plan
+
+
+def test_a_window_is_sorted_by_its_frame_alone(spark):
+    assert "array_sort" not in plan_of(spark, "fea_04_lateral_range")
+
+
+def test_places_along_a_line_are_looked_up_once(spark):
+    assert str(relational_maps._resampled(F.col("p"), F.col("w"), F.lit(8))).count("filter(") == 1
