@@ -1,9 +1,10 @@
 """Plans that keep states where they lie and send no table of them whole to the driver."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from roadsift import catalog
-from roadsift.sources import relational_maps
+from roadsift.sources import relational_maps, sinks
 
 SF = "/root/testdata/sf0.001"
 
@@ -56,3 +57,16 @@ def test_a_window_is_sorted_by_its_frame_alone(spark):
 
 def test_places_along_a_line_are_looked_up_once(spark):
     assert str(relational_maps._resampled(F.col("p"), F.col("w"), F.lit(8))).count("filter(") == 1
+
+
+@pytest.fixture
+def large(spark):
+    """Plans as they are where no side is small enough to be broadcast."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield SF.replace("0.001", "0.1")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_documents_are_not_shuffled_to_their_events(spark, large):
+    assert "ENSURE_REQUIREMENTS" not in plan_of(spark, "rev_18_payload", large)
