@@ -92,7 +92,13 @@ def totals(events: DataFrame, shard: Column) -> DataFrame:
 
 def profile(states: DataFrame) -> DataFrame:
     """Per scenario: steps, time range, tracks and valid states."""
-    return states.groupBy("scenario_id").agg(F.count_distinct("step_index").alias("steps"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"), F.count_distinct("track_id").alias("tracks"), F.count_if("valid").alias("valid_states"))
+    return states.groupBy("scenario_id").agg(_distinct("step_index").alias("steps"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"), _distinct("track_id").alias("tracks"), F.count_if("valid").alias("valid_states"))
+
+
+def _distinct(c: str) -> Column:
+    """How many distinct values a scenario has. Two distinct counts would write every row thrice and shuffle the copies; a scenario's steps and tracks are few."""
+    return F.size(F.collect_set(c)).cast("long")
+
 
 def counts_by(rows: DataFrame, name: Column, alias: str) -> DataFrame:
     """(scenario_id, map of row counts by name); names are words of a fixed list, null counts as "unknown"."""
@@ -137,19 +143,29 @@ def whole_payload(states: DataFrame, events: DataFrame, features: DataFrame, mar
     Besides frames and events it has the box of all valid states with a margin, the map features that
     meet it (the first ``most_features`` by id), the primary events by tag, counts of steps, tracks
     and valid states, and the summary of the events. ``events`` have review_group and risk_level.
-    Scenarios without events have an empty summary. All parts are aggregates by scenario.
+    Scenarios without events have an empty summary. All parts are aggregates by scenario, those
+    of the states made in one pass, so that documents meet only what lies by scenario as they do.
     """
-    frames = states.groupBy("scenario_id", "step_index", "ts").agg(F.array_sort(F.collect_list(F.struct("track_id", "object_type", "x", "y", "heading", "valid"))).alias("agents"))
-    frames = frames.groupBy("scenario_id").agg(F.array_sort(F.collect_list(F.struct("step_index", "ts", "agents"))).alias("frames"))
+    held = F.array_sort(F.collect_list(F.struct("track_id", "object_type", "x", "y", "heading", "valid"))).alias("agents")
+    edges = {"min_x": F.min, "min_y": F.min, "max_x": F.max, "max_y": F.max}
+    boxes = [of(F.when(F.col("valid"), F.col(c[-1]))).alias(c) for c, of in edges.items()]
+    frames = states.groupBy("scenario_id", "step_index", "ts").agg(held, *boxes, F.count_if("valid").alias("valid_states"))
+    frames = frames.groupBy("scenario_id").agg(F.array_sort(F.collect_list(F.struct("step_index", "ts", "agents"))).alias("frames"), _distinct("step_index").alias("steps"), *[of(c).alias(c) for c, of in edges.items()], F.sum("valid_states").alias("valid_states"))
+    tracks = F.size(F.array_compact(F.array_distinct(F.flatten(F.transform("frames", lambda f: f["agents"]["track_id"]))))).cast("long")
+    box = F.struct(*[F.coalesce(F.col(c) + (-margin if c[:3] == "min" else margin), F.lit(-50.0 if c[:3] == "min" else 50.0)).alias(c) for c in edges])
+    frames = frames.select("scenario_id", "frames", F.struct("steps", tracks.alias("tracks"), "valid_states").alias("stats"), F.when(F.col("valid_states") > 0, box).alias("bounds"))
     pairs_first = F.when(F.col("subject_id").contains(":"), 0).otherwise(1)
     told = events.groupBy("scenario_id").agg(F.array_sort(F.collect_list(F.struct("frame_index", pairs_first.alias("_o"), "tag_name", "subject_id", "review_group", risk_of(F.col("risk_level"), F.col("review_group")).alias("risk_level")))).alias("_e"))
     told = told.select("scenario_id", F.transform("_e", lambda e: e.dropFields("_o")).alias("events"))
     groups = events.filter("review_group = 'primary'").groupBy("scenario_id", "tag_name").agg(F.min("frame_index").alias("first_frame"), F.count("*").alias("events"))
     groups = groups.groupBy("scenario_id").agg(F.array_sort(F.collect_list(F.struct("first_frame", "tag_name", "events"))).alias("groups"))
-    box = bounds(states.filter("valid"), ["scenario_id"], margin)
-    mapped = crop_map(features, box, most_features).groupBy("scenario_id").agg(F.array_sort(F.collect_list(F.struct("feature_id", "feature_type", "polyline"))).alias("map"))
-    rows = frames.join(told, "scenario_id", "left").join(groups, "scenario_id", "left").join(box.select("scenario_id", F.struct("min_x", "min_y", "max_x", "max_y").alias("bounds")), "scenario_id", "left").join(mapped, "scenario_id", "left")
-    rows = rows.join(profile(states).select("scenario_id", F.struct("steps", "tracks", "valid_states").alias("stats")), "scenario_id", "left")
+    x, y = F.col("polyline.x"), F.col("polyline.y")
+    extents = {"x0": F.array_min(x), "x1": F.array_max(x), "y0": F.array_min(y), "y1": F.array_max(y)}
+    mapped = features.groupBy("scenario_id").agg(F.array_sort(F.collect_list(F.struct("feature_id", "feature_type", "polyline", *[v.alias(n) for n, v in extents.items()]))).alias("_map"))
+    b = F.col("bounds")
+    met = F.filter("_map", lambda f: (f["x1"] >= b["min_x"]) & (f["x0"] <= b["max_x"]) & (f["y1"] >= b["min_y"]) & (f["y0"] <= b["max_y"]))
+    shown = F.transform(F.slice(met, 1, most_features), lambda f: f.dropFields(*extents))
+    rows = frames.join(told, "scenario_id", "left").join(groups, "scenario_id", "left").join(mapped, "scenario_id", "left").withColumn("_shown", shown).withColumn("map", F.when(F.size("_shown") > 0, F.col("_shown")))
     summed = scenario_summary(events)
     rows = rows.join(summed.select("scenario_id", F.struct(*[c for c in summed.columns if c != "scenario_id"]).alias("summary")), "scenario_id", "left")
     return rows.select("scenario_id", F.to_json(F.struct("scenario_id", "stats", "bounds", "summary", "groups", "events", "map", "frames")).alias("document"))

@@ -70,3 +70,9 @@ def large(spark):
 
 def test_documents_are_not_shuffled_to_their_events(spark, large):
     assert "ENSURE_REQUIREMENTS" not in plan_of(spark, "rev_18_payload", large)
+
+
+def test_whole_documents_are_made_of_states_in_one_pass(spark, large):
+    plan = plan_of(spark, "rev_18_whole_payload", large)
+    assert "ENSURE_REQUIREMENTS" not in plan and "Expand" not in plan
+    assert len([line for line in plan.splitlines() if "FileScan" in line and "l_partkey" in line]) == 1
