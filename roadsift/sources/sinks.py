@@ -12,8 +12,8 @@ def write_events(events: DataFrame, path: str) -> None:
 
 
 def write_payloads(documents: DataFrame, path: str, shard: str = "shard") -> None:
-    """One JSON document a row, in a folder for each shard."""
-    documents.select(shard, F.col("document").alias("value")).write.partitionBy(shard).text(path)
+    """One JSON document a row, in a folder for each shard; compressed, as a document repeats its names with every state."""
+    documents.select(shard, F.col("document").alias("value")).write.partitionBy(shard).option("compression", "gzip").text(path)
 
 
 def write_summary(summary: DataFrame, path: str) -> None:

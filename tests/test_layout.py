@@ -76,3 +76,13 @@ def test_whole_documents_are_made_of_states_in_one_pass(spark, large):
     plan = plan_of(spark, "rev_18_whole_payload", large)
     assert "ENSURE_REQUIREMENTS" not in plan and "Expand" not in plan
     assert len([line for line in plan.splitlines() if "FileScan" in line and "l_partkey" in line]) == 1
+
+
+def test_documents_are_written_compressed(spark, tmp_path):
+    frames = ", ".join(f'{{"step_index": {i}}}' for i in range(2000))
+    documents = spark.createDataFrame([(0, f'{{"scenario_id": "a", "frames": [{frames}], "events": []}}')], "shard int, document string")
+    sinks.write_payloads(documents, str(tmp_path / "p"))
+    files = list((tmp_path / "p").glob("shard=*/part-*"))
+    assert files and sum(f.stat().st_size for f in files) < 15_000
+    index, broken = sinks.index_payloads(spark, str(tmp_path / "p"))
+    assert [(r.scenario_id, r.n_frames) for r in index.collect()] == [("a", 2000)] and broken.count() == 0
