@@ -22,6 +22,8 @@ RING_POINTS, LINE_POINTS = 3, 2
 #: Fewest and most points of a centreline, and what counts as no length.
 FEWEST, MOST, NOTHING = 8, 32, 1e-9
 REACH_M, TURN_RAD = 3.0, 0.7
+#: What tells features apart before they have ids.
+FEATURE = ("location", "_order", "position", "part", "token", "feature_type")
 
 MAP_SCHEMA = ", ".join([
     "node array<struct<token:string,x:double,y:double>>", "polygon array<struct<token:string,exterior_node_tokens:array<string>>>", "line array<struct<token:string,node_tokens:array<string>>>",
@@ -44,10 +46,14 @@ def records(maps: DataFrame) -> dict[str, DataFrame]:
 
 
 def _resolved(tables: dict[str, DataFrame], lists: DataFrame, key: list[str]) -> DataFrame:
-    """lists (key, location, tokens) with points: array of (token, x, y) in the tokens' order, x and y null where the node isn't there."""
-    each = lists.select(*key, "location", F.posexplode("tokens").alias("_at", "node"))
-    nodes = tables["node"].groupBy("location", F.col("token").alias("node")).agg(F.max_by(F.struct("x", "y"), "position").alias("_n"))
-    met = each.join(nodes, ["location", "node"], "left")
+    """lists (key, location, tokens) with points: array of (token, x, y) in the tokens' order, x and y null where the node isn't there.
+
+    Tokens meet their nodes by a window and not by a join, which would shuffle tables that lie by location by (location, token) anew.
+    """
+    each = lists.select(*dict.fromkeys([*key, "location"]), F.posexplode("tokens").alias("_at", "node"))
+    nodes = tables["node"].filter("location IS NOT NULL AND token IS NOT NULL").select("location", F.col("token").alias("node"), F.struct("x", "y").alias("_xy"), "position")
+    both = each.unionByName(nodes, allowMissingColumns=True)
+    met = both.withColumn("_n", F.max_by("_xy", "position").over(Window.partitionBy("location", "node"))).filter("_at IS NOT NULL")
     points = met.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("_at", F.col("node").alias("token"), F.col("_n.x").alias("x"), F.col("_n.y").alias("y")))).alias("_p"))
     return points.select(*key, F.transform("_p", lambda p: F.struct(p["token"].alias("token"), p["x"].alias("x"), p["y"].alias("y"))).alias("points"))
 
@@ -80,14 +86,17 @@ def resolve_features(tables: dict[str, DataFrame]) -> DataFrame:
         rows = rows.unionByName(more)
     shapes = tables["polygon"].select("location", F.lit(True).alias("is_area"), F.col("token").alias("shape"), F.col("exterior_node_tokens").alias("tokens"))
     shapes = shapes.unionByName(tables["line"].select("location", F.lit(False).alias("is_area"), F.col("token").alias("shape"), F.col("node_tokens").alias("tokens")))
-    points = cut(_resolved(tables, shapes, ["location", "is_area", "shape"]))
-    areas = points.filter("is_area").select("location", "shape", F.col("points").alias("ring"))
-    lines = points.filter("NOT is_area").select("location", "shape", "points")
+    points = _resolved(tables, shapes, ["location", "is_area", "shape"])
     is_area = F.col("feature_type").isin(*AREAS, *MANY_AREAS)
-    rows = rows.withColumn("_area", F.when(is_area, F.col("shape"))).withColumn("_line", F.when(~is_area, F.col("shape")))
-    rows = rows.join(areas.withColumnRenamed("shape", "_area"), ["location", "_area"], "left").join(lines.select("location", F.col("shape").alias("_line"), F.col("points").alias("line")), ["location", "_line"], "left")
-    for side in ("from", "to"):
-        rows = rows.join(lines.select("location", F.col("shape").alias(f"_{side}"), F.col("points").alias(f"{side}_edge")), ["location", f"_{side}"], "left")
+    named = [F.struct(F.when(is_area, "ring").otherwise("line").alias("role"), is_area.alias("is_area"), F.col("shape").alias("shape"))]
+    named += [F.struct(F.lit(f"{side}_edge").alias("role"), F.lit(False).alias("is_area"), F.col(f"_{side}").alias("shape")) for side in ("from", "to")]
+    named = F.array(*named)
+    # Features meet all shapes that they name in one window and are put together in one grouping; joined one by one, each shape would carry those before it.
+    asked = rows.select(*FEATURE, "properties", F.explode(F.filter(named, lambda n: n["role"].isin("ring", "line") | n["shape"].isNotNull())).alias("n")).select(*FEATURE, "properties", "n.*")
+    known = points.filter("location IS NOT NULL AND shape IS NOT NULL").withColumnRenamed("points", "_given")
+    both = asked.unionByName(known, allowMissingColumns=True)
+    found = both.withColumn("points", F.first("_given", True).over(Window.partitionBy("location", "is_area", "shape"))).filter("role IS NOT NULL")
+    rows = found.groupBy(*FEATURE).agg(F.any_value("properties", True).alias("properties"), *[F.any_value(F.when(F.col("role") == r, F.col("points")), True).alias(r) for r in ("ring", "line", "from_edge", "to_edge")])
     none = F.array().cast("array<struct<x:double,y:double>>")
     given = F.coalesce("ring", "line")
     rows = rows.withColumns({"polygon": F.coalesce(_known("ring"), none), "polyline": F.coalesce(_known("line"), none), "unresolved": F.coalesce(F.size(F.filter(given, lambda p: p["x"].isNull())), F.lit(0))})

@@ -86,3 +86,8 @@ def test_documents_are_written_compressed(spark, tmp_path):
     assert files and sum(f.stat().st_size for f in files) < 15_000
     index, broken = sinks.index_payloads(spark, str(tmp_path / "p"))
     assert [(r.scenario_id, r.n_frames) for r in index.collect()] == [("a", 2000)] and broken.count() == 0
+
+
+def test_tokens_meet_nodes_where_they_lie(spark, large):
+    plan = plan_of(spark, "nrm_14_map_tokens", large)
+    assert "ENSURE_REQUIREMENTS" not in plan and "Join" not in plan
