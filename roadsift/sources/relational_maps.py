@@ -226,9 +226,9 @@ def with_topology(features: DataFrame, key: str = "location") -> DataFrame:
     links = cut(lane_links(ends, key))
     out = links.groupBy(key, F.col("from_lane").alias("feature_id")).agg(F.array_sort(F.collect_set("to_lane")).alias("exit_lanes"))
     into = links.groupBy(key, F.col("to_lane").alias("feature_id")).agg(F.array_sort(F.collect_set("from_lane")).alias("entry_lanes"))
-    rows = features.join(into, [key, "feature_id"], "left").join(out, [key, "feature_id"], "left")
-    has_line = (F.col("feature_type") == "lane") & (F.size("polyline") > 0)
-    return rows.withColumns({c: F.when(has_line, F.coalesce(c, F.array().cast("array<long>"))) for c in ("entry_lanes", "exit_lanes")})
+    has_line = (F.col("feature_type") == "lane") & (F.size("polyline") > 0)  # told before the joins, which needn't carry the lines of those who don't ask for them
+    rows = features.withColumn("_has_line", has_line).join(into, [key, "feature_id"], "left").join(out, [key, "feature_id"], "left")
+    return rows.withColumns({c: F.when(F.col("_has_line"), F.coalesce(c, F.array().cast("array<long>"))) for c in ("entry_lanes", "exit_lanes")}).drop("_has_line")
 
 
 def map_features(tables: dict[str, DataFrame]) -> DataFrame:

@@ -91,3 +91,11 @@ def test_documents_are_written_compressed(spark, tmp_path):
 def test_tokens_meet_nodes_where_they_lie(spark, large):
     plan = plan_of(spark, "nrm_14_map_tokens", large)
     assert "ENSURE_REQUIREMENTS" not in plan and "Join" not in plan
+
+
+def test_topology_joins_no_lines_that_nobody_asks_for(spark):
+    features = spark.createDataFrame([("m", 1, "lane", [(0.0, 0.0), (5.0, 0.0)]), ("m", 2, "lane", [(5.0, 0.0), (9.0, 0.0)]), ("m", 3, "lane", [])], "location string, feature_id long, feature_type string, polyline array<struct<x:double,y:double>>")
+    rows = relational_maps.with_topology(features).select("feature_id", "entry_lanes", "exit_lanes")
+    assert sorted(map(tuple, rows.collect())) == [(1, [], [2]), (2, [1], []), (3, None, None)]
+    joined = [line for line in rows._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Project" in line]
+    assert not any(line.split("Project")[1].strip(" []").endswith("polyline") or ", polyline#" in line for line in joined), joined
