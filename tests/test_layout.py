@@ -99,3 +99,8 @@ def test_topology_joins_no_lines_that_nobody_asks_for(spark):
     assert sorted(map(tuple, rows.collect())) == [(1, [], [2]), (2, [1], []), (3, None, None)]
     joined = [line for line in rows._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Project" in line]
     assert not any(line.split("Project")[1].strip(" []").endswith("polyline") or ", polyline#" in line for line in joined), joined
+
+
+def test_a_kind_of_jump_looks_at_nothing_else(spark):
+    assert "ATAN2" not in plan_of(spark, "qlt_02_acceleration_jump").upper()
+    assert "SQRT" not in plan_of(spark, "qlt_03_heading_jump").upper()
