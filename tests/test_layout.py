@@ -3,7 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from roadsift import catalog
+from roadsift import binding, catalog
+from roadsift.operators import subjects
 from roadsift.sources import relational_maps, sinks
 
 SF = "/root/testdata/sf0.001"
@@ -104,3 +105,15 @@ def test_topology_joins_no_lines_that_nobody_asks_for(spark):
 def test_a_kind_of_jump_looks_at_nothing_else(spark):
     assert "ATAN2" not in plan_of(spark, "qlt_02_acceleration_jump").upper()
     assert "SQRT" not in plan_of(spark, "qlt_03_heading_jump").upper()
+
+
+def test_tracks_meet_before_they_become_states(spark):
+    for name in ("prd_09_lateral_motion_toward", "sub_07_sdc_pair"):
+        assert not [line for line in plan_of(spark, name).splitlines() if "Sort [" in line and "step_index" in line], name
+
+
+def test_pairs_of_tracks_are_those_of_states(spark):
+    pairs, states = catalog.pairs_of(spark, SF), subjects.sdc_pairs(binding.agent_states(spark, SF), binding.scenarios(spark, SF))
+    assert sorted(pairs.columns) == sorted(states.columns)
+    states = states.select(*pairs.columns)
+    assert pairs.count() > 0 and pairs.exceptAll(states).isEmpty() and states.exceptAll(pairs).isEmpty()
