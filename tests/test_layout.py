@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from roadsift import binding, catalog
-from roadsift.operators import subjects
+from roadsift.operators import features, subjects
 from roadsift.sources import relational_maps, sinks
 
 SF = "/root/testdata/sf0.001"
@@ -117,3 +117,28 @@ def test_pairs_of_tracks_are_those_of_states(spark):
     assert sorted(pairs.columns) == sorted(states.columns)
     states = states.select(*pairs.columns)
     assert pairs.count() > 0 and pairs.exceptAll(states).isEmpty() and states.exceptAll(pairs).isEmpty()
+
+
+def test_segments_are_tested_in_compiled_code(spark):
+    """No map of lists by cell is made for each scenario, and no lambda runs for each state and segment."""
+    plan = plan_of(spark, "fea_11_lane_match")
+    assert "map_from_entries" not in plan and "collect_list" not in plan
+    joined = plan[: plan.index("SortMergeJoin")]
+    assert "lambdafunction" not in joined and "row_number" in joined
+
+
+def test_a_state_given_twice_keeps_both_rows_and_their_lane(spark):
+    lanes = spark.createDataFrame([(1, 0, "lane", 7, [(0.0, 0.0), (10.0, 0.0), (20.0, 0.0)])], "scenario_id long, feature_pos int, feature_type string, feature_id long, polyline array<struct<x:double,y:double>>")
+    states = spark.createDataFrame([(1, 0, 10.0, 1.0, 0.0), (1, 0, 10.0, 1.0, 0.0), (1, 0, 10.0, 9.0, 0.0), (1, 0, None, 1.0, 0.0), (2, 0, 1.0, 1.0, 0.0)], "scenario_id long, step_index int, x double, y double, heading double")
+    got = features.lane_match(states, features.lane_segments(lanes), 1.5, 0.7).collect()
+    assert sorted((r["scenario_id"], r["y"], r["lane_id"] or 0, r["lane_lateral"] or 0, r["lane_s"] or 0) for r in got) == [(1, 1.0, 0, 0, 0), (1, 1.0, 7, 1.0, 10.0), (1, 1.0, 7, 1.0, 10.0), (1, 9.0, 0, 0, 0), (2, 1.0, 0, 0, 0)]
+
+
+def test_lanes_are_looked_up_once_for_both_sides_of_pairs(spark):
+    for name in ("prd_25_same_lane_or_path", "rule_low_ttc_pair"):
+        assert plan_of(spark, name).count("Window [row_number() windowspecdefinition(scenario_id") == 2, name  # one numbers the tracks
+
+
+def test_steps_of_a_sequence_are_worked_out_once(spark):
+    plan = plan_of(spark, "rule_cut_in_risk")
+    assert [plan.count(f"filter(_p{k}#") for k in range(4)] == [1, 1, 1, 1]
