@@ -142,3 +142,12 @@ def test_lanes_are_looked_up_once_for_both_sides_of_pairs(spark):
 def test_steps_of_a_sequence_are_worked_out_once(spark):
     plan = plan_of(spark, "rule_cut_in_risk")
     assert [plan.count(f"filter(_p{k}#") for k in range(4)] == [1, 1, 1, 1]
+
+
+def test_the_nearest_segment_of_a_lane_is_told_once(spark):
+    plan = plan_of(spark, "rule_red_light_running")
+    assert plan.count("array_min(") == 1 and "map_from_entries" not in plan
+
+
+def test_lane_windows_are_sorted_without_a_comparator(spark):
+    assert "array_sort" not in plan_of(spark, "prd_22_sdc_lane_changed")
