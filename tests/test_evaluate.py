@@ -114,3 +114,15 @@ def test_scenario_stats_tell_rules_that_looked_and_rules_that_could_not(spark):
     found = {r["rule_id"]: r for r in row["by_rule"]}
     assert [r["rule_id"] for r in row["by_rule"]] == sorted(found) and found["low_ttc_pair"]["events"] == 3
     assert sum(r["reviewed"] for r in row["by_rule"]) == run.reviewed.count() and sum(r["events"] for r in row["by_rule"]) == run.events.count()
+
+
+def test_a_run_tells_its_frames_and_red_lanes_once(spark, monkeypatch):
+    frames, written, cut, visible = [], [], E.cut, E.visible_frames
+    monkeypatch.setattr(E, "cut", lambda df: written.append(df.columns) or cut(df))
+    monkeypatch.setattr(E, "visible_frames", lambda *a: frames.append(a) or visible(*a))
+    agents = [(k, 20, -6.0 + 3 * k, 0, 10, 0, 0) for k in range(6)]
+    run = E.evaluate(tables(spark, agents, [(k, 0, 0, "stop", 0.0, 0.0) for k in range(6)], [[(-20, 0), (0, 0), (20, 0)]]), [r for r in pack.all_rules() if r.tag.startswith("red_light")])
+    assert {("red_light_running", k) for k in (3, 4, 5)} <= {(r["tag_name"], r["frame_index"]) for r in run.events.collect()}
+    counts = {r["rule_id"]: r for r in run.counters.collect()}
+    assert (counts["red_light_running"]["subjects"], counts["red_light_running"]["candidates"], counts["red_light_running"]["frames_evaluated"]) == (6, 6, 6)
+    assert len(frames) == 1 and sum("dir_x" in c for c in written) == 1
